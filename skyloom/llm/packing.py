@@ -231,3 +231,8 @@ def op1_packing(spark, sf_dir: str) -> DataFrame:
     """All documents in sequences of at most 1024 tokens."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return pack_documents(docs, with_ids=False).drop("ids")
+
+
+def stage_packing(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents' pieces in sequences, with their ids."""
+    return pack_documents(docs)

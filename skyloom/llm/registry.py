@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
-from skyloom.llm import licenses, packing, toxicity
+import corpus_pipeline
+from skyloom.llm import licenses, packing, quality, sharding, simhash, toxicity
 
 
 def queries() -> dict:
     return {
+        "pipeline": corpus_pipeline.run,
         "op1_packing": packing.op1_packing,
         "op2_license_scan": licenses.op2_license_scan,
+        "op3_quality_rules": quality.op3_quality_rules,
+        "op4_sharding": sharding.op4_sharding,
         "op5_toxicity": toxicity.op5_toxicity,
+        "op7_simhash": simhash.op7_simhash,
     }
 
 
