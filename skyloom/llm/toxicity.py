@@ -22,6 +22,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from skyloom.session import materialise
+
 BITS = 20
 SIZES = (3, 4, 5)
 _MULTIPLIER = np.uint32(0x9E3779B1)
@@ -94,21 +96,20 @@ def _class_counts(rows: DataFrame) -> DataFrame:
 def fit(docs: DataFrame, labels: DataFrame, *, max_rows: int = 20_000, max_features: int = 8_192, min_z: float = 3.0, smoothing: float = 0.5, l2: float = 2e-3, steps: int = 100) -> Model:
     """Fit on at most ``max_rows`` labelled rows outside fold 0.
 
-    What reaches the driver is bounded: at most ``2**BITS`` bucket counts, of which those with a clear
-    ratio (``min_z`` standard errors) stay, and ``max_rows`` short feature lists.
+    What reaches the driver is bounded: the ``max_features`` buckets with the clearest ratios (``min_z``
+    standard errors at least) and ``max_rows`` short feature lists.
     """
     rows = labelled(docs, labels, max_rows)
-    counts = _class_counts(rows).where("bucket < 0 or pos + neg >= 3").toPandas()
-    total = counts[counts.bucket < 0]
-    counts = counts[counts.bucket >= 0].sort_values("bucket")
+    counts = materialise(_class_counts(rows), "toxicity-counts")
+    total = counts.where("bucket < 0").toPandas()
     n_pos, n_neg = (int(total[c].sum()) for c in ("pos", "neg"))
     if not n_pos or not n_neg:
         return Model(intercept=20.0 if n_pos else -20.0)
-    p, q = counts["pos"].to_numpy() + smoothing, counts["neg"].to_numpy() + smoothing
-    ratio = np.log(p / (n_pos + 2 * smoothing)) - np.log(q / (n_neg + 2 * smoothing))
-    z = np.abs(ratio) / np.sqrt(1 / p + 1 / q)
-    chosen = np.sort(np.argsort(-z, kind="stable")[:max_features][: int((z >= min_z).sum())])
-    buckets, ratios = counts["bucket"].to_numpy()[chosen].astype(np.int32), ratio[chosen].astype(np.float32)
+    p, q = F.col("pos") + smoothing, F.col("neg") + smoothing
+    ratio = F.log(p / (n_pos + 2 * smoothing)) - F.log(q / (n_neg + 2 * smoothing))
+    clear = counts.where("bucket >= 0").select("bucket", ratio.alias("ratio"), (F.abs(ratio) / F.sqrt(1 / p + 1 / q)).alias("z"))
+    chosen = clear.where(F.col("z") >= min_z).orderBy(F.desc("z"), "bucket").limit(max_features).toPandas().sort_values("bucket")
+    buckets, ratios = chosen["bucket"].to_numpy(np.int32), chosen["ratio"].to_numpy(np.float32)
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place = np.full(1 << BITS, -1, np.int32)
