@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from skyloom.llm import licenses, packing, quality, sharding, simhash, toxicity
+from skyloom.llm import bpe, licenses, media, packing, quality, sharding, simhash, toxicity
 
 
 def queries() -> dict:
@@ -14,7 +14,9 @@ def queries() -> dict:
         "op3_quality_rules": quality.op3_quality_rules,
         "op4_sharding": sharding.op4_sharding,
         "op5_toxicity": toxicity.op5_toxicity,
+        "op6_media_columns": media.op6_media_columns,
         "op7_simhash": simhash.op7_simhash,
+        "op8_bpe": bpe.op8_bpe,
     }
 
 
