@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from skyloom.llm import bpe, licenses, media, packing, quality, sharding, simhash, toxicity
+from skyloom.llm import bpe, licenses, media, packing, quality, sharding, simhash, toxicity, warc
 
 
 def queries() -> dict:
@@ -17,8 +17,9 @@ def queries() -> dict:
         "op6_media_columns": media.op6_media_columns,
         "op7_simhash": simhash.op7_simhash,
         "op8_bpe": bpe.op8_bpe,
+        "op9_warc_derivatives": warc.op9_warc_derivatives,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op9_warc_derivatives": warc.ORACLE_SQL}
