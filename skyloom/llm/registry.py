@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from skyloom.llm import bpe, licenses, media, packing, quality, sharding, simhash, toxicity, warc
+from skyloom.llm import bpe, langid, licenses, media, packing, quality, sharding, simhash, toxicity, warc
 
 
 def queries() -> dict:
@@ -18,6 +18,7 @@ def queries() -> dict:
         "op7_simhash": simhash.op7_simhash,
         "op8_bpe": bpe.op8_bpe,
         "op9_warc_derivatives": warc.op9_warc_derivatives,
+        "op10_language_id": langid.op10_language_id,
     }
 
 
