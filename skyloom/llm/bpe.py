@@ -9,7 +9,9 @@ again by block, and each text's ids are put together in order. Decoding joins id
 token-byte table, whose size is fixed.
 
 A block holds at most ``BLOCK_ROWS`` texts and about ``BLOCK_CHARS`` characters (more only if one text is
-longer), which bounds every group; blocks are written to the shared folder, so lost tasks start from there.
+longer), which bounds every group. Texts and messages cross the first shuffle together, so texts are cut into
+words once; a lost task is computed anew from the scan, whose rows come in the same order again (``docs``
+must be a scan or a written table).
 
 Edge cases: a null or empty text has no ids; a null id stays null; repeated rows are encoded each; an empty
 table gives no rows; other columns are ignored; special-token strings are ordinary text.
@@ -33,12 +35,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyloom.session import materialise
-
 BLOCK_ROWS = 8192
 BLOCK_CHARS = 16_000_000
 #: Messages of a block, at least; as many as shuffle partitions if those are more.
 PARTS = 64
+LEVEL = 7
 
 BLOCKS = "block long, part int, a binary, b binary, c binary, doc_ids array<long>, sizes array<int>"
 _BLOCK_NAMES = ["block", "part", "a", "b", "c", "doc_ids", "sizes"]
@@ -54,7 +55,7 @@ def ranks(path: str) -> dict[bytes, int]:
 def _press(x: np.ndarray) -> bytes:
     """Compressed 32-bit numbers, their bytes in planes."""
     planes = np.ascontiguousarray(x, "<u4").view(np.uint8).reshape(-1, 4).T
-    return zstandard.ZstdCompressor(level=3).compress(planes.tobytes())
+    return zstandard.ZstdCompressor(level=LEVEL).compress(planes.tobytes())
 
 
 def _numbers(b: bytes) -> np.ndarray:
@@ -86,16 +87,19 @@ class _Block:
         """The texts (part -1) and a message of words for each part; frequent words get small numbers."""
         places = np.concatenate(self.texts)
         words = [w.encode() for w in self.known]
-        order = np.argsort(-np.bincount(places, minlength=len(words)), kind="stable")
+        counts = np.bincount(places, minlength=len(words)).tolist()
+        # of equal counts in order of bytes, in which neighbours share beginnings and compress well
+        order = sorted(range(len(words)), key=lambda i: (-counts[i], words[i]))
+        words = [words[i] for i in order]
         number = np.empty(len(words), np.int64)
         number[order] = np.arange(len(words))
         yield block, -1, _press(number[places]), None, None, self.doc_ids, [len(t) for t in self.texts]
         part = np.array([zlib.crc32(w) % parts for w in words], np.int64)
         for k in np.unique(part):
-            # in order of bytes, in which neighbours share beginnings and compress well
-            mine = sorted(np.flatnonzero(part == k).tolist(), key=words.__getitem__)
-            blob = zstandard.ZstdCompressor(level=3).compress(b"".join(words[i] for i in mine))
-            yield block, int(k), _press(number[mine]), _press(np.array([len(words[i]) for i in mine])), blob, None, None
+            mine = np.flatnonzero(part == k)
+            held = [words[i] for i in mine.tolist()]
+            blob = zstandard.ZstdCompressor(level=LEVEL).compress(b"".join(held))
+            yield block, int(k), _press(np.diff(mine, prepend=0)), _press(np.array([len(w) for w in held])), blob, None, None
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -123,15 +127,22 @@ def blocks(docs: DataFrame, parts: int, pattern: str = public_tokenizers.PATTERN
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, BLOCKS)
 
 
-def encode_words(messages: DataFrame, path: str, parts: int) -> DataFrame:
-    """``BLOCKS`` rows with the ids of each message's words: one shuffle by word hash, each word encoded once."""
+def encode_words(cut: DataFrame, path: str, parts: int) -> DataFrame:
+    """``BLOCKS`` with the ids of each message's words in place of the words; texts pass unchanged.
+
+    One shuffle, of messages by word hash, so that a word is encoded once, and of texts by block.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks(path), special_tokens={})
         known: dict[bytes, list[int]] = {}
         for batch in batches:
             for k in range(batch.num_rows):
-                row = batch.slice(k, 1).to_pylist()[0]
+                one = batch.slice(k, 1)
+                row = one.to_pylist()[0]
+                if row["part"] < 0:
+                    yield one
+                    continue
                 ids = []
                 for w in _words(_numbers(row["b"]), zstandard.ZstdDecompressor().decompress(row["c"])):
                     if (x := known.get(w)) is None:
@@ -141,7 +152,8 @@ def encode_words(messages: DataFrame, path: str, parts: int) -> DataFrame:
                 flat = np.fromiter((i for x in ids for i in x), np.int64, int(lengths.sum()))
                 yield _batch([(row["block"], row["part"], row["a"], _press(lengths), _press(flat), None, None)])
 
-    return messages.repartition(parts, "part").mapInArrow(run, BLOCKS)
+    to = F.when(F.col("part") < 0, F.col("block")).otherwise(F.col("part").cast("long"))
+    return cut.repartition(parts, to).mapInArrow(run, BLOCKS)
 
 
 def _assemble(block: pa.Table) -> pa.Table:
@@ -152,7 +164,7 @@ def _assemble(block: pa.Table) -> pa.Table:
         if row["part"] < 0:
             texts = row
         else:
-            number.append(_numbers(row["a"]))
+            number.append(np.cumsum(_numbers(row["a"]), dtype=np.int64))
             lengths.append(_numbers(row["b"]))
             flat.append(_numbers(row["c"]))
     out = []
@@ -181,9 +193,8 @@ def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
     """(doc_id, ids array<int>) of every whole text of ``docs(doc_id, text)``."""
     path = path or public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     parts = max(PARTS, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    cut = materialise(blocks(docs, parts), "bpe-blocks")
-    answers = encode_words(cut.where("part >= 0"), path, parts)
-    return cut.where("part < 0").unionByName(answers).groupBy("block").applyInArrow(_assemble, "doc_id long, ids array<int>")
+    answered = encode_words(blocks(docs, parts), path, parts)
+    return answered.groupBy("block").applyInArrow(_assemble, "doc_id long, ids array<int>")
 
 
 def _with_bytes(ids: DataFrame, path: str, column, schema: str) -> DataFrame:
