@@ -115,14 +115,14 @@ def fit(docs: DataFrame, labels: DataFrame, *, max_rows: int = 10_000, max_featu
         place = np.full(1 << BITS, -1, np.int32)
         place[buckets] = np.arange(len(buckets))
         for batch in _texts(batches):
-            held = [(x := place[ngram_buckets(t)], np.unique(x[x >= 0]))[1] for t in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(held, pa.list_(pa.int32())), batch.column(1)], ["at", "label"])
+            held = [(x := place[ngram_buckets(t)], np.unique(x[x >= 0]).astype("<i4").tobytes())[1] for t in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(held, pa.binary()), batch.column(1)], ["at", "label"])
 
-    data = rows.mapInArrow(features, "at array<int>, label int").toPandas()
+    data = rows.mapInArrow(features, "at binary, label int").toPandas()
     if data.empty or not len(buckets):
         return Model(intercept=float(np.log(n_pos / n_neg)))
-    lengths = data["at"].map(len).to_numpy()
-    column = np.concatenate(data["at"].to_numpy()) if lengths.sum() else np.zeros(0, np.int32)
+    lengths = data["at"].map(len).to_numpy() // 4
+    column = np.frombuffer(b"".join(map(bytes, data["at"])), "<i4")
     row = np.repeat(np.arange(len(data), dtype=np.int32), lengths)
     y = data["label"].to_numpy(float)
     value = ratios[column]
