@@ -104,7 +104,7 @@ def text_likelihoods(rows: DataFrame, model: np.ndarray, weight: int = WEIGHT) -
 
 def _counts(rows: DataFrame, by: list[str], n: int) -> DataFrame:
     """``by`` and ``c array<double>``: how many rows suggest each language."""
-    own = rows.where(~F.isnull(by[-1])).groupBy(*by).agg(*(F.sum((F.col("best") == k).cast("double")).alias(f"c{k}") for k in range(n)))
+    own = rows.where(~F.isnull(by[-1])).groupBy(*by).agg(*(F.coalesce(F.sum((F.col("best") == k).cast("double")), F.lit(0.0)).alias(f"c{k}") for k in range(n)))
     return own.select(*by, F.array(*(f"c{k}" for k in range(n))).alias("c"))
 
 
