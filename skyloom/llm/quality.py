@@ -137,7 +137,8 @@ def _nearest(rows: DataFrame, keys: list[str], keep: float) -> DataFrame:
     upto = each.orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     counts = counts.select(*keys, "bin", F.sum("n").over(upto).alias("upto"), F.sum("n").over(each).alias("all"))
     limit = counts.where(F.col("upto") >= keep * F.col("all")).groupBy(*keys).agg(F.min("bin").alias("limit"))
-    return binned.join(limit, keys).where("bin <= limit").drop("bin", "limit")
+    # a row for each group: written, it is known to be small and the rows stay where they are
+    return binned.join(materialise(limit, "quality-limits"), keys).where("bin <= limit").drop("bin", "limit")
 
 
 def _moments(rows: DataFrame, keys: list[str], p: int, floors: tuple[float, ...], factor: float) -> DataFrame:
@@ -153,17 +154,6 @@ def _moments(rows: DataFrame, keys: list[str], p: int, floors: tuple[float, ...]
     return _with_factor(made.select(*keys, *(f"m_{i}" for i in range(p)), *cov), keys, p)
 
 
-def _nearest(rows: DataFrame, keys: list[str], keep: float) -> DataFrame:
-    """The rows of each group up to the bin of ``d2`` with which the share ``keep`` is reached."""
-    binned = rows.withColumn("bin", F.floor(F.log2(F.col("d2") + 1e-6) * BINS).cast("int"))
-    counts = binned.groupBy(*keys, "bin").agg(F.count("*").alias("n"))
-    each = Window.partitionBy(*keys)
-    upto = each.orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    counts = counts.select(*keys, "bin", F.sum("n").over(upto).alias("upto"), F.sum("n").over(each).alias("all"))
-    limit = counts.where(F.col("upto") >= keep * F.col("all")).groupBy(*keys).agg(F.min("bin").alias("limit"))
-    return binned.join(limit, keys).where("bin <= limit").drop("bin", "limit")
-
-
 def robust_estimates(rows: DataFrame, p: int, floors: tuple[float, ...], *, keys: list[str], keep: float = KEEP, consistency: float = CONSISTENCY, steps: int = STEPS) -> DataFrame:
     """Minimum-covariance-determinant estimates of ``rows(keys, x_0 ..)``: keys, means m_i and inverse factors k_i_j.
 
@@ -211,6 +201,7 @@ def estimate(docs: DataFrame, *, floors: tuple[float, ...] = FLOORS, least: int
     rows = stats.where(~base_failed()).join(groups, same).select("g_lang", "g_source", *(f"x_{i}" for i in range(len(x))))
     rows = materialise(rows, "quality-vectors")
     enough = rows.groupBy("g_lang", "g_source").agg(F.count("*").alias("n")).where(F.col("n") >= 5 * len(x)).drop("n")
+    enough = materialise(enough, "quality-enough")
     found = robust_estimates(rows.join(enough, ["g_lang", "g_source"]), len(x), floors, keys=["g_lang", "g_source"], **options)
     return stats, materialise(groups.join(found, ["g_lang", "g_source"]).drop("g_lang", "g_source"), "quality-estimates")
 
