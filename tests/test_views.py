@@ -29,7 +29,7 @@ def test_triangulation(spark):
     for k in range(5):
         p = rng.normal(size=3) + [0, 0, 10]
         for t in range(4):
-            rows.append((k, float((p[0] - t) / p[2]), float(p[1] / p[2]), [1.0, 0, 0, -float(t), 0, 1.0, 0, 0, 0, 0, 1.0, 0.0], *map(float, p)))
+            rows.append((k, float((p[0] - t) / p[2]), float(p[1] / p[2]), [float(x) for x in (1, 0, 0, -t, 0, 1, 0, 0, 0, 0, 1, 0)], *map(float, p)))
     df = spark.createDataFrame(rows, "k long, u double, v double, p array<double>, x0 double, y0 double, z0 double")
     for r in render.triangulate(df, "k", "u", "v", "p").join(df.select("k", "x0", "y0", "z0").distinct(), "k").collect():
         assert (r.x, r.y, r.z) == pytest.approx((r.x0, r.y0, r.z0), abs=1e-6) and r.rms_px < 1e-6
@@ -52,7 +52,7 @@ def test_track_is_conditioned(spark):
     t = np.arange(120) * 0.5
     df = pd.DataFrame({"k": 1, "t": t, "lat": 12.9 + t * 4e-5, "lon": 77.5 + 0 * t, "alt": 900.0})
     df.loc[60, "lat"] = 13.5
-    made = compose.condition_track(spark.createDataFrame(df), ["k"], "t", max_speed=30.0, max_accel=15.0).orderBy("t").toPandas()
+    made = compose.condition_track(spark.createDataFrame(df), ["k"], "t", max_speed=30.0, max_accel=15.0, tolerance=15.0).orderBy("t").toPandas()
     assert (made["flags"] & S.FLAGS["outlier"] != 0).sum() == 1 and made["flags"][60] & S.FLAGS["outlier"]
     assert np.abs(made.lat - (12.9 + made.t * 4e-5)).max() < 5e-5
 
