@@ -169,13 +169,13 @@ def tile_medians(spark, sf_dir):
 
 
 @register("tile_range_join", f"""with t as (select p_partkey as tile, p_size as x0, p_size + 3 as x1, p_retailprice / 100 as shift from part)
-    select tile, count(*) as n, round(avg(z - shift), 5) as mean from {P} p join t on p.x >= x0 and p.x < x1 and p.voxel = tile group by tile""")
+    select tile, count(*) as n, round(avg(z - shift), 8) as mean from {P} p join t on p.x >= x0 and p.x < x1 and p.voxel = tile group by tile""")
 def tile_range_join(spark, sf_dir):
     """Points within a tile's range, shifted by the tile."""
     tiles = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("tile"), F.col("p_size").alias("x0"), (F.col("p_size") + 3).alias("x1"), (F.col("p_retailprice") / 100).alias("shift"))
     p = points(spark, sf_dir)
     rows = p.join(tiles, (p["voxel"] == tiles["tile"]) & (F.col("x") >= F.col("x0")) & (F.col("x") < F.col("x1")))
-    return rounded(rows.groupBy("tile").agg(F.count("*").alias("n"), F.avg(F.col("z") - F.col("shift")).alias("mean")), 5)
+    return rounded(rows.groupBy("tile").agg(F.count("*").alias("n"), F.avg(F.col("z") - F.col("shift")).alias("mean")), 8)
 
 
 @register("weighted_fusion", f"""with o as (select voxel from {P} where class = 'A' and weight > 0.07 group by voxel having count(*) >= 4),

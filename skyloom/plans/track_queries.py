@@ -211,7 +211,8 @@ def interp_angle(spark, sf_dir):
     """Interpolation of angles on the unit circle."""
     rows = telemetry(spark, sf_dir)
     source = windows.last_per_key(rows.where("event_id % 3 = 0").select("track", "t", "yaw", "event_id"), ["track", "t"], [F.col("event_id")])
-    return rounded(interp.at_times(source, rows.where("event_id % 7 = 0"), ["track"], "t", [], ["yaw"], lone_fills=False), 4)
+    found = interp.at_times(source, rows.where("event_id % 7 = 0"), ["track"], "t", [], ["yaw"], lone_fills=False)
+    return found.withColumn("yaw", F.round("yaw", 4))
 
 
 @register("gapfill_merge", f"""with f as (select track, t, event_id, case when value > 150 then value end as value from {T}),
