@@ -142,12 +142,12 @@ def near_camera(spark, sf_dir):
 
 @register("bilinear_sample", f"""with g as {GRID_SQL}, s as (select point_id, x + 0.25 as x, y * 0.9 as y from {P}),
     k as (select *, floor(x) as c0, floor(y) as r0, x - floor(x) as fx, y - floor(y) as fy from s)
-    select k.point_id, round(a.z * (1 - fx) * (1 - fy) + b.z * fx * (1 - fy) + c.z * (1 - fx) * fy + d.z * fx * fy, 6) as z from k
+    select k.point_id, round(a.z * (1 - fx) * (1 - fy) + b.z * fx * (1 - fy) + c.z * (1 - fx) * fy + d.z * fx * fy, 10) as z from k
       left join g a on a.row = r0 and a.col = c0 left join g b on b.row = r0 and b.col = c0 + 1 left join g c on c.row = r0 + 1 and c.col = c0 left join g d on d.row = r0 + 1 and d.col = c0 + 1""")
 def bilinear_sample(spark, sf_dir):
     """Bilinear surface value at every point."""
     samples = points(spark, sf_dir).select("point_id", (F.col("x") + 0.25).alias("x"), (F.col("y") * 0.9).alias("y"))
-    return rounded(raster.bilinear(samples, "point_id", grid(spark, sf_dir), "x", "y"))
+    return rounded(raster.bilinear(samples, "point_id", grid(spark, sf_dir), "x", "y"), 10)
 
 
 @register("tile_offsets", f"""with g as {GRID_SQL}, o as (select unnest(range(-2, 3)) as d),
@@ -180,12 +180,12 @@ def tile_range_join(spark, sf_dir):
 
 @register("weighted_fusion", f"""with o as (select voxel from {P} where class = 'A' and weight > 0.07 group by voxel having count(*) >= 4),
     f as (select voxel, sum(weight) as w, count(distinct view) as frames, sum(weight * x) / nullif(sum(weight), 0) as x, sum(weight * z) / nullif(sum(weight), 0) as z from {P} where voxel not in (select voxel from o) group by voxel)
-    select voxel, round(least(w, 2), 6) as w, frames, round(x, 6) as x, round(z, 6) as z from f where w >= 0.5 and w >= 0.5""")
+    select voxel, round(least(w, 2), 9) as w, frames, round(x, 9) as x, round(z, 9) as z from f where w >= 0.5 and w >= 0.5""")
 def weighted_fusion(spark, sf_dir):
     """Weighted fusion outside zone 1."""
     p = points(spark, sf_dir)
     zone1 = p.where("class = 'A' and weight > 0.07").groupBy("voxel").agg(F.count("*").alias("n")).where("n >= 4").select("voxel")
-    return rounded(cloud.weighted_fusion(p.join(zone1, "voxel", "left_anti"), "voxel", "view", "weight", ["x", "z"], 0.5, 2.0))
+    return rounded(cloud.weighted_fusion(p.join(zone1, "voxel", "left_anti"), "voxel", "view", "weight", ["x", "z"], 0.5, 2.0), 9)
 
 
 @register("error_stats_by_group", f"""with d as (select unnest([class, source, case when class = 'A' and source = 'F' then 'AF' end, 'all']) as grp, z - 35 as d from {P}), e as (select * from d where grp is not null),
