@@ -180,12 +180,12 @@ def tile_range_join(spark, sf_dir):
 
 @register("weighted_fusion", f"""with o as (select voxel from {P} where class = 'A' and weight > 0.07 group by voxel having count(*) >= 4),
     f as (select voxel, sum(weight) as w, count(distinct view) as frames, sum(weight * x) / nullif(sum(weight), 0) as x, sum(weight * z) / nullif(sum(weight), 0) as z from {P} where voxel not in (select voxel from o) group by voxel)
-    select voxel, round(least(w, 2), 9) as w, frames, round(x, 9) as x, round(z, 9) as z from f where w >= 0.5 and w >= 0.5""")
+    select voxel, round(least(w, 2), 8) as w, frames, round(x, 8) as x, round(z, 8) as z from f where w >= 0.5 and w >= 0.5""")
 def weighted_fusion(spark, sf_dir):
     """Weighted fusion outside zone 1."""
     p = points(spark, sf_dir)
     zone1 = p.where("class = 'A' and weight > 0.07").groupBy("voxel").agg(F.count("*").alias("n")).where("n >= 4").select("voxel")
-    return rounded(cloud.weighted_fusion(p.join(zone1, "voxel", "left_anti"), "voxel", "view", "weight", ["x", "z"], 0.5, 2.0), 9)
+    return rounded(cloud.weighted_fusion(p.join(zone1, "voxel", "left_anti"), "voxel", "view", "weight", ["x", "z"], 0.5, 2.0), 8)
 
 
 @register("error_stats_by_group", f"""with d as (select unnest([class, source, case when class = 'A' and source = 'F' then 'AF' end, 'all']) as grp, z - 35 as d from {P}), e as (select * from d where grp is not null),

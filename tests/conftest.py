@@ -10,7 +10,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 def spark():
     from skyloom.session import local_session
 
-    session = local_session("4", 8, "tests")
+    session = local_session("4", 2, "tests")
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
