@@ -52,7 +52,7 @@ def cluster(seed, n, spread):
 
 @pytest.mark.parametrize("settings", [{}, {"joined": 4, "block": 16}])
 def test_links_lose_no_component(spark, settings):
-    values = {x for s in range(6) for x in cluster(s, 60, 5)} | {int(x) for x in np.random.default_rng(9).integers(0, 2**63, 300)}
+    values = {x for s in range(3) for x in cluster(s, 30, 5)} | {int(x) for x in np.random.default_rng(9).integers(0, 2**63, 60)}
     signed = [int(np.uint64(v).astype(np.int64)) for v in values]
     edges = links(spark.createDataFrame([(v,) for v in signed], "fp long"), 4, **settings)
     found = {r.node: r.root for r in components(edges).collect()}
@@ -78,7 +78,7 @@ def test_thresholds_cover_the_distance():
 
 
 def test_long_chain(spark):
-    edges = spark.createDataFrame([(k, k + 1) for k in range(200)] + [(900, 900)], "a long, b long")
+    edges = spark.createDataFrame([(k, k + 1) for k in range(40)] + [(900, 900)], "a long, b long")
     assert {r.root for r in components(edges).collect()} == {0}
 
 
