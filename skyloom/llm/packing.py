@@ -42,6 +42,10 @@ class Limits:
     segments: int = 64
     loss_tokens: int = 1024
 
+    def __post_init__(self) -> None:
+        if min(self.tokens, self.segments, self.loss_tokens) < 1:
+            raise ValueError("every limit must be at least 1")
+
 
 @cache
 def encoder(ranks: str) -> tiktoken.Encoding:
