@@ -43,9 +43,14 @@ PROBE_COST = 20.0
 _LOWER = bytes.maketrans(bytes(range(0x41, 0x5B)), bytes(range(0x61, 0x7B)))
 
 
+def normal_words(text: str | None) -> list[bytes]:
+    """The words of a text in lower case (ASCII), cut at white space."""
+    return (text or "").encode().translate(_LOWER).split()
+
+
 def fingerprint(text: str | None, width: int = 4) -> int:
     """Majority bits of the XXH64 of all ``width``-word shingles, as a signed 64-bit number."""
-    words = (text or "").encode().translate(_LOWER).split()
+    words = normal_words(text)
     if not words:
         return 0
     joined = b" ".join(words)
@@ -255,7 +260,11 @@ def near_duplicates(docs: DataFrame, width: int = 4, distance: int = 4) -> DataF
 
 def keep_one(docs: DataFrame, width: int = 4, distance: int = 4) -> DataFrame:
     """``docs`` with one row of each component: that with the smallest id, then text hash; repeats of it go too."""
-    rows, roots = _grouped(docs, width, distance)
+    return first_of_each(docs, *_grouped(docs, width, distance))
+
+
+def first_of_each(docs: DataFrame, rows: DataFrame, roots: DataFrame) -> DataFrame:
+    """The first row of ``docs`` in each component, given ``rows(doc_id, text_hash, fp)`` and ``roots(fp, root)``."""
     first = rows.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "text_hash")).alias("first")).join(roots, "fp")
     kept = first.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.doc_id").alias("__id"), F.col("first.text_hash").alias("__hash"))
     same = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__hash"))
@@ -266,8 +275,3 @@ def keep_one(docs: DataFrame, width: int = 4, distance: int = 4) -> DataFrame:
 def op7_simhash(spark, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents."""
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
-
-
-def stage_near_duplicates(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate component."""
-    return keep_one(docs)
