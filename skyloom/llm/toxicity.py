@@ -26,6 +26,8 @@ from skyloom.session import materialise
 
 BITS = 20
 SIZES = (3, 4, 5)
+#: Training rows summed at once on the driver.
+CHUNK = 1024
 _MULTIPLIER = np.uint32(0x9E3779B1)
 
 
@@ -59,7 +61,7 @@ def _texts(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.Re
             yield batch.slice(at, rows)
 
 
-def labelled(docs: DataFrame, labels: DataFrame, max_rows: int = 10_000, folds: int = 5) -> DataFrame:
+def labelled(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, folds: int = 5) -> DataFrame:
     """Training rows (text, label): crc32 of the id as text is not divisible by ``folds``.
 
     At most ``max_rows`` ids, those with the smallest hashes; so few that the join broadcasts them and no
@@ -93,7 +95,7 @@ def _class_counts(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "bucket long, pos long, neg long").groupBy("bucket").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
 
 
-def fit(docs: DataFrame, labels: DataFrame, *, max_rows: int = 10_000, max_features: int = 4_096, min_z: float = 3.0, smoothing: float = 0.5, l2: float = 2e-3, steps: int = 100) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, *, max_rows: int = 20_000, max_features: int = 8_192, min_z: float = 3.0, smoothing: float = 0.5, l2: float = 2e-3, steps: int = 100) -> Model:
     """Fit on at most ``max_rows`` labelled rows outside fold 0.
 
     What reaches the driver is bounded: the ``max_features`` buckets with the clearest ratios (``min_z``
@@ -123,16 +125,23 @@ def fit(docs: DataFrame, labels: DataFrame, *, max_rows: int = 10_000, max_featu
         return Model(intercept=float(np.log(n_pos / n_neg)))
     lengths = data["at"].map(len).to_numpy() // 4
     column = np.frombuffer(b"".join(map(bytes, data["at"])), "<i4")
-    row = np.repeat(np.arange(len(data), dtype=np.int32), lengths)
     y = data["label"].to_numpy(float)
-    value = ratios[column]
+    del data
+    ends = np.append(0, np.cumsum(lengths))
     cost = np.where(y == 1, 0.5 / max(y.sum(), 1), 0.5 / max((1 - y).sum(), 1))
     cost = 0.5 * cost / cost.sum() + 0.5 / len(y)
     w, b, speed, second = np.zeros(len(buckets)), 0.0, np.zeros(len(buckets) + 1), np.zeros(len(buckets) + 1)
     for step in range(1, steps + 1):
-        margin = np.bincount(row, value * w[column].astype(np.float32), len(y)) + b
-        slope = cost * (1 / (1 + np.exp(-np.clip(margin, -30, 30))) - y)
-        grad = np.append(np.bincount(column, value * slope.astype(np.float32)[row], len(buckets)) + l2 * w / len(buckets) ** 0.5, slope.sum())
+        grad = np.append(l2 * w / len(buckets) ** 0.5, 0.0)
+        scaled = (ratios * w).astype(np.float32)
+        for at in range(0, len(y), CHUNK):  # sums by chunks of rows, so that their copies stay small
+            part = slice(at, at + CHUNK)
+            held, n = column[ends[at] : ends[min(at + CHUNK, len(y))]], len(y[part])
+            row = np.repeat(np.arange(n), lengths[part])
+            margin = np.bincount(row, scaled[held], n) + b
+            slope = cost[part] * (1 / (1 + np.exp(-np.clip(margin, -30, 30))) - y[part])
+            grad[:-1] += ratios * np.bincount(held, slope[row], len(buckets))
+            grad[-1] += slope.sum()
         speed = 0.9 * speed + 0.1 * grad
         second = 0.99 * second + 0.01 * grad**2
         move = 0.05 * (speed / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.99**step)) + 1e-8)

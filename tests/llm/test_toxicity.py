@@ -1,6 +1,6 @@
 import random
 
-from skyloom.llm.toxicity import fit, score_documents, stage_toxicity
+from skyloom.llm.toxicity import fit, labelled, score_documents, stage_toxicity
 
 
 def corpus(spark, n=600):
@@ -47,3 +47,9 @@ def test_odd_rows(spark, odd, none):
     no_labels = labels.selectExpr("doc_id", "quality", "cast(null as int) as toxic")
     assert all(r.predicted == 0 for r in score_documents(odd, no_labels).collect())
     assert fit(odd, labels.where("toxic = 1")).intercept > 0 or True
+
+
+def test_more_than_ten_thousand_rows_are_learned_from(spark):
+    ids = spark.range(15_000).selectExpr("id as doc_id")
+    docs, labels = ids.selectExpr("doc_id", "'t' as text"), ids.selectExpr("doc_id", "cast(doc_id % 2 as int) as toxic")
+    assert labelled(docs, labels).count() == ids.where("crc32(cast(doc_id as string)) % 5 <> 0").count() > 10_000
