@@ -15,6 +15,7 @@ once each; ties go to the earlier piece of the pool; an empty table gives no row
 from __future__ import annotations
 
 import base64
+import json
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -47,12 +48,21 @@ class Limits:
             raise ValueError("every limit must be at least 1")
 
 
+def added_tokens(tokenizer: str | None = None) -> tuple[tuple[str, int], ...]:
+    """(string, id) of the added tokens of a tokenizer file (default: the 50k byte-level vocabulary)."""
+    with open(tokenizer or public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as f:
+        found = json.load(f)["added_tokens"]
+    if any(t[flag] for t in found for flag in ("single_word", "lstrip", "rstrip", "normalized")):
+        raise ValueError("only added tokens that match exactly are supported")
+    return tuple((t["content"], t["id"]) for t in found)
+
+
 @cache
-def encoder(ranks: str) -> tiktoken.Encoding:
-    """Byte-level BPE from a rank file; special-token strings are ordinary text."""
+def encoder(ranks: str, added: tuple[tuple[str, int], ...] = ()) -> tiktoken.Encoding:
+    """Byte-level BPE from a rank file; strings of ``added`` become their ids, others are ordinary text."""
     with open(ranks, "rb") as f:
         table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={})
+    return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens=dict(added))
 
 
 class _Pool:
@@ -179,6 +189,7 @@ def pack(
     limits: Limits = Limits(),
     *,
     ranks: str | None = None,
+    added: tuple[tuple[str, int], ...] = (),
     end_id: int = 0,
     pool_size: int = 1024,
     with_ids: bool = True,
@@ -186,12 +197,14 @@ def pack(
     """Pack ``examples(doc_id, segments array<struct<text string, loss boolean>>)``; returns ``PIECES``.
 
     Tokens of a segment bear loss if its flag says so; the closing ``end_id`` never does. ``ranks`` is a rank
-    file with the ids of the tokenizer that is meant (default: the 50k byte-level vocabulary).
+    file with the ids of the tokenizer that is meant (default: the 50k byte-level vocabulary). Where a text holds
+    a string of ``added`` it is cut and the string's id set, as the ``tokenizers`` library does.
     """
+    specials = {string for string, _ in added}
     ranks = ranks or public_tokenizers.path("byte_bpe_50k.tiktoken")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = encoder(ranks)
+        bpe = encoder(ranks, added)
 
         def read() -> Iterator[tuple]:
             for batch in batches:
@@ -201,7 +214,7 @@ def pack(
                         ids, loss = [], []
                         for s in segments or ():
                             if s and s["text"]:
-                                x = bpe.encode_to_numpy(s["text"], disallowed_special=())
+                                x = bpe.encode_to_numpy(s["text"], allowed_special=specials, disallowed_special=())
                                 ids.append(x)
                                 loss.append(np.full(len(x), bool(s["loss"])))
                         ids.append(np.array([end_id], np.uint32))
@@ -234,9 +247,9 @@ def pack_conversations(turns: DataFrame, limits: Limits = Limits(), loss_role: s
 def op1_packing(spark, sf_dir: str) -> DataFrame:
     """All documents in sequences of at most 1024 tokens."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return pack_documents(docs, with_ids=False).drop("ids")
+    return pack_documents(docs, added=added_tokens(), with_ids=False).drop("ids")
 
 
 def stage_packing(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents' pieces in sequences, with their ids."""
-    return pack_documents(docs)
+    return pack_documents(docs, added=added_tokens())

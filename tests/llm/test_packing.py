@@ -4,7 +4,7 @@ import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
-from skyloom.llm.packing import Limits, _sequences, pack_conversations, pack_documents
+from skyloom.llm.packing import Limits, _sequences, op1_packing, pack_conversations, pack_documents, stage_packing
 
 
 def test_pieces_hold_each_token_once(odd):
@@ -53,3 +53,17 @@ def test_conversations_bear_loss_on_one_role(spark):
 
 def test_empty(none):
     assert pack_documents(none).count() == 0
+
+
+def test_registered_packing_takes_added_tokens_as_the_library_does(spark, tmp_path):
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x  <|endoftext|><|endoftext|>\n y", "<|endoftext", "it's  plain <|endo <|endoftext|>7"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    ids = {k: tokenizer.encode(t, add_special_tokens=False).ids + [0] for k, t in enumerate(texts)}
+    assert ids[0] == [64, 220, 50256, 275, 0]
+    for r in stage_packing(spark, docs, "").collect():
+        assert list(r.ids) == ids[r.doc_id][r.start : r.start + r.length]
+    for r in op1_packing(spark, str(tmp_path)).collect():
+        assert r.doc_tokens == len(ids[r.doc_id])
+        assert r.ids_crc32 == zlib.crc32(np.array(ids[r.doc_id][r.start : r.start + r.length], "<u4").tobytes())
