@@ -7,8 +7,8 @@ distance to its group's final estimate is beyond ``cutoff`` is rejected. Every s
 over the written statistics; the distance comes from a Cholesky factor, inverted, written out as expressions. Quantiles
 of distances are counts by logarithmic bins, so they merge in any order and give the same result each time.
 
-Groups of fewer than ``least`` rows are pooled by language, then over all; a pool that is still smaller judges
-no row. Variances have a floor (``FLOORS``), so a statistic that hardly varies rejects nothing by itself.
+Groups of fewer than ``least`` rows that pass the base rules are judged by all rows of their language, or by all
+rows of the table where the language has too few; only a table with fewer than five rows for each statistic judges no row. Variances have a floor (``FLOORS``), so a statistic that hardly varies rejects nothing by itself.
 
 Edge cases: a null or empty text has no words and fails the base rules; null languages and sources are
 groups of their own; repeated rows count as often as they stand; an empty table gives no rows; other columns
@@ -179,15 +179,26 @@ def robust_estimates(rows: DataFrame, p: int, floors: tuple[float, ...], *, keys
     return found
 
 
-def _pooled(stats: DataFrame, least: int) -> DataFrame:
-    """The group of each (lang, source): itself, its language's pool, or the pool of all (``level`` 0, 1, 2)."""
-    sizes = stats.groupBy("lang", "source").agg(F.count("*").alias("n"))
-    small = F.col("n") < least
-    by_lang = Window.partitionBy("lang", small)
-    sizes = sizes.withColumn("pool", F.sum("n").over(by_lang))
-    level = F.when(~small, 0).when(F.col("pool") >= least, 1).otherwise(2)
-    name = lambda c, upto: F.when(F.col("level") <= upto, F.coalesce(F.concat(F.lit("="), c), F.lit("-"))).otherwise("*")
-    return sizes.withColumn("level", level).select("lang", "source", name("lang", 1).alias("g_lang"), name("source", 0).alias("g_source"))
+def _pooled(stats: DataFrame, least: int, enough: int) -> DataFrame:
+    """For each (lang, source) the group that judges it and, in ``into``, all groups that its rows are counted in.
+
+    A group has ``least`` rows that pass the base rules, or its language's pool does, or else the pool of all judges
+    from ``enough`` rows on. A pool holds the rows of all it covers, those with a group of their own too.
+    """
+    least = max(least, enough)
+    sizes = materialise(stats.groupBy("lang", "source").agg(F.count_if(~base_failed()).alias("n")), "quality-sizes")
+    langs = sizes.groupBy("lang").agg(F.sum("n").alias("pool"), F.min("n").alias("least")).withColumnRenamed("lang", "of")
+    total = sizes.agg(F.sum("n").alias("total")).crossJoin(langs.agg(F.min("pool").alias("least_pool")))
+    sizes = sizes.join(langs, F.col("lang").eqNullSafe(F.col("of"))).crossJoin(F.broadcast(total))
+    name = lambda c: F.coalesce(F.concat(F.lit("="), c), F.lit("-"))
+    group = lambda a, b: F.struct(a.alias("g_lang"), b.alias("g_source"))
+    own, lang, every = group(name("lang"), name("source")), group(name("lang"), F.lit("*")), group(F.lit("*"), F.lit("*"))
+    large, pooled = F.col("n") >= least, F.col("pool") >= least
+    level = F.when(large, own).when(pooled, lang).when(F.col("total") >= enough, every)
+    into = F.array_compact(
+        F.array(F.when(large, own), F.when(pooled & (F.col("least") < least), lang), F.when((F.col("least_pool") < least) & (F.col("total") >= enough), every))
+    )
+    return sizes.select("lang", "source", level.alias("g"), into.alias("into")).select("lang", "source", "g.g_lang", "g.g_source", "into")
 
 
 def estimate(docs: DataFrame, *, floors: tuple[float, ...] = FLOORS, least: int = LEAST, **options) -> tuple[DataFrame, DataFrame]:
@@ -196,14 +207,12 @@ def estimate(docs: DataFrame, *, floors: tuple[float, ...] = FLOORS, least: int
     stats = text_statistics(own).drop("text")
     x = vector()
     stats = materialise(stats.select("*", *(c.alias(f"x_{i}") for i, c in enumerate(x))), "quality-statistics")
-    groups = materialise(_pooled(stats, least), "quality-groups")
+    groups = materialise(_pooled(stats, least, 5 * len(x)), "quality-groups")
     same = _all([stats[c].eqNullSafe(groups[c]) for c in ("lang", "source")])
-    rows = stats.where(~base_failed()).join(groups, same).select("g_lang", "g_source", *(f"x_{i}" for i in range(len(x))))
-    rows = materialise(rows, "quality-vectors")
-    enough = rows.groupBy("g_lang", "g_source").agg(F.count("*").alias("n")).where(F.col("n") >= 5 * len(x)).drop("n")
-    enough = materialise(enough, "quality-enough")
-    found = robust_estimates(rows.join(enough, ["g_lang", "g_source"]), len(x), floors, keys=["g_lang", "g_source"], **options)
-    return stats, materialise(groups.join(found, ["g_lang", "g_source"]).drop("g_lang", "g_source"), "quality-estimates")
+    rows = stats.where(~base_failed()).join(groups, same).select(F.explode("into").alias("g"), *(f"x_{i}" for i in range(len(x))))
+    rows = materialise(rows.select("g.*", *(f"x_{i}" for i in range(len(x)))), "quality-vectors")
+    found = robust_estimates(rows, len(x), floors, keys=["g_lang", "g_source"], **options)
+    return stats, materialise(groups.drop("into").join(found, ["g_lang", "g_source"]).drop("g_lang", "g_source"), "quality-estimates")
 
 
 def _judged(rows: DataFrame, estimates: DataFrame, p: int, cutoff: float) -> DataFrame:

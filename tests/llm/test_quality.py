@@ -1,3 +1,4 @@
+import random
 import re
 from collections import Counter
 
@@ -63,3 +64,22 @@ def test_clashing_columns_and_empty(odd, none):
     assert keep_good(odd).columns == odd.columns
     assert judge(none).count() == 0 and keep_good(none).count() == 0
     assert keep_good(odd.withColumn("lang", F.lit(None).cast("string"))).count() > 0
+
+
+def _plain(rng, n):
+    return " ".join(rng.choice("the river runs under old stone bridges while people walk home at night".split()) for _ in range(n))
+
+
+def test_small_languages_and_junk_sources_fall_back_to_larger_pools(spark):
+    rng = random.Random(6)
+    rows = [(k, _plain(rng, 60 + k % 40), "en", "a") for k in range(300)]
+    rows += [(1000 + k, _plain(rng, 70), "xx", "b") for k in range(4)]  # a language of a few rows: the pool of all
+    rows += [(2000 + k, "#" if k >= 10 else _plain(rng, 70), "en", "junk") for k in range(260)]  # ten pass the base rules: its language
+    long = " ".join(f"#|$%{j}&&&" for j in range(30))
+    rows += [(9000, long, "xx", "b"), (9001, long, "en", "junk"), (9002, long, "en", "a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    found = {r.doc_id: r for r in judge(docs).collect()}
+    assert sum(found[k].base_failed for k in range(2000, 2260)) == 250
+    for k in (9000, 9001, 9002):
+        assert not found[k].base_failed and found[k].distance2 is not None and not found[k].kept
+    assert found[1000].kept and found[2000].kept and found[1].kept
