@@ -16,6 +16,7 @@ from collections.abc import Iterator
 from functools import cache
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -97,6 +98,7 @@ _NORMAL = bytes.maketrans(
 )
 _LOWER = bytes.maketrans(bytes(range(0x41, 0x5B)), bytes(range(0x61, 0x7B)))
 _TOKENS = re.compile(r"[()]|[A-Za-z0-9.+:-]+")
+_LINE_TOKENS = re.compile(r"[()\n]|[A-Za-z0-9.+:-]+")
 
 
 @cache
@@ -170,13 +172,14 @@ def expression_labels(text: str) -> list[str]:
     return [IDENTIFIERS[n][0] for n in names if n in IDENTIFIERS]
 
 
-def _expression(behind: bytes) -> str:
-    """The expression behind a tag: up to where it stops parsing, the line's end at most."""
-    line = behind.split(b"\n", 1)[0].decode("latin-1")
+def _expression(text: str, at: int) -> str:
+    """The expression behind a tag that ends before ``at``: up to where it stops parsing, the line's end at most."""
     kept: list[str] = []
     operand, depth = True, 0
-    for m in _TOKENS.finditer(line):
+    for m in _LINE_TOKENS.finditer(text, at):
         token, low = m[0], m[0].lower()
+        if token == "\n":
+            break
         if low in PRECEDENCE or token == ")":
             if operand or (token == ")" and not depth):
                 break
@@ -198,19 +201,25 @@ def scan_text(text: str | None) -> tuple:
     """All of ``RESULT`` for one text, without its id."""
     words, tags = _automata()
     raw = (text or "").encode()
-    tokens = raw.translate(_NORMAL).split()
+    plain = raw.translate(_NORMAL)
+    tokens = plain.split()
     flat = b" ".join([b"", *tokens, b""]).decode("latin-1")
-    found = []
-    for end, (size, label, kind) in words.iter(flat):
-        found.append((flat.count(" ", 0, end - size + 1), label, kind))
+    found = [(end - size + 1, label, kind) for end, (size, label, kind) in words.iter(flat)]
+    if found:  # a word's number is that of the space before it
+        spaces = np.flatnonzero(np.frombuffer(flat.encode("latin-1"), np.uint8) == 0x20)
+        places = np.searchsorted(spaces, [x[0] for x in found]).tolist()
+        found = [(n, label, kind) for n, (_, label, kind) in zip(places, found, strict=True)]
     base = [x for x in found if x[2] == "base"]
-    expressions, freedom, spans = [], None, found
-    if b"license identifier" in raw.translate(_NORMAL):
+    expressions, freedom, spans = [], None, list(found)
+    if b"license identifier" in plain:
+        letters = np.frombuffer(plain, np.uint8) != 0x20
+        starts = np.flatnonzero(letters & ~np.append(False, letters[:-1]))  # of words
+        text = raw.decode("latin-1")
         for end, _ in tags.iter(raw.translate(_LOWER).decode("latin-1")):
-            if e := _expression(raw[end + 1 :]):
+            if e := _expression(text, end + 1):
                 expressions.append(e)
-                word = len(raw[: end + 1].translate(_NORMAL).split())
-                spans = spans + [(word, x, "tag") for x in expression_labels(e)]
+                word = int(np.searchsorted(starts, end + 1))
+                spans += [(word, x, "tag") for x in expression_labels(e)]
                 if (postfix := parse_expression(e)) is not None:
                     freedom = min(evaluate(postfix), 1.0 if freedom is None else freedom)
     doubt = 1.0

@@ -1,4 +1,6 @@
+import random
 import re
+import time
 
 import pytest
 
@@ -49,3 +51,27 @@ def test_tags_and_odd_rows(spark, odd, none):
     assert len(rows) == 10 and all(0 <= r.score <= 1 for r in rows)
     assert next(r for r in rows if r.doc_id == 1).base_labels == "mit"
     assert scan_licenses(none).count() == 0
+
+
+def test_random_texts_equal_brute_force():
+    rng = random.Random(3)
+    parts = ["under", "the", "mit", "license", "apache", "version", "2", "cc", "by", "nc", "MIT", "é", "-", "/", "\n"]
+    for _ in range(300):
+        text = rng.choice(["", " "]).join(rng.choice(parts) + rng.choice([" ", " ", "-"]) for _ in range(rng.randrange(60)))
+        assert scan_text(text)[:5] == brute(text)
+
+
+def test_places_of_tags_are_word_numbers():
+    text = "one two\nSPDX-License-Identifier: MIT\nthree SPDX-License-Identifier: ISC"
+    assert [(x["label"], x["word"]) for x in scan_text(text)[9]] == [("mit", 5), ("isc", 10)]
+
+
+@pytest.mark.parametrize("unit", ["cc by nc ", "SPDX-License-Identifier: MIT ", "SPDX-License-Identifier: MIT OR "])
+def test_a_million_words_take_linear_time(unit):
+    n = 400_000 // len(unit.split())
+    began = time.process_time()
+    scan_text(unit * (n // 4))
+    quarter = time.process_time() - began
+    began = time.process_time()
+    assert scan_text(unit * n)[0] >= n
+    assert time.process_time() - began < 10 * quarter + 1
