@@ -189,7 +189,7 @@ def pack(
     limits: Limits = Limits(),
     *,
     ranks: str | None = None,
-    added: tuple[tuple[str, int], ...] = (),
+    added: tuple[tuple[str, int], ...] | None = None,
     end_id: int = 0,
     pool_size: int = 1024,
     with_ids: bool = True,
@@ -198,8 +198,10 @@ def pack(
 
     Tokens of a segment bear loss if its flag says so; the closing ``end_id`` never does. ``ranks`` is a rank
     file with the ids of the tokenizer that is meant (default: the 50k byte-level vocabulary). Where a text holds
-    a string of ``added`` it is cut and the string's id set, as the ``tokenizers`` library does.
+    a string of ``added`` (default: the added tokens of that vocabulary's tokenizer file) it is cut and the string's
+    id set, as the ``tokenizers`` library does.
     """
+    added = added_tokens() if added is None else added
     specials = {string for string, _ in added}
     ranks = ranks or public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -247,9 +249,9 @@ def pack_conversations(turns: DataFrame, limits: Limits = Limits(), loss_role: s
 def op1_packing(spark, sf_dir: str) -> DataFrame:
     """All documents in sequences of at most 1024 tokens."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return pack_documents(docs, added=added_tokens(), with_ids=False).drop("ids")
+    return pack_documents(docs, with_ids=False).drop("ids")
 
 
 def stage_packing(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents' pieces in sequences, with their ids."""
-    return pack_documents(docs, added=added_tokens())
+    """The documents' pieces in sequences, with their ids; null texts, repeated rows and empty tables as in ``pack``."""
+    return pack_documents(docs)

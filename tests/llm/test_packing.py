@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import numpy as np
@@ -10,7 +11,6 @@ from skyloom.llm.packing import Limits, _sequences, op1_packing, pack_conversati
 def test_pieces_hold_each_token_once(odd):
     rows = pack_documents(odd).toPandas()
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     texts = {r.doc_id: r.text or "" for r in odd.collect()}
     for doc, group in rows.groupby("doc_id"):
         ids = tokenizer.encode(texts[int(doc)], add_special_tokens=False).ids + [0]
@@ -67,3 +67,15 @@ def test_registered_packing_takes_added_tokens_as_the_library_does(spark, tmp_pa
     for r in op1_packing(spark, str(tmp_path)).collect():
         assert r.doc_tokens == len(ids[r.doc_id])
         assert r.ids_crc32 == zlib.crc32(np.array(ids[r.doc_id][r.start : r.start + r.length], "<u4").tobytes())
+
+
+def test_ids_equal_the_library_on_random_texts(spark):
+    rng = random.Random(11)
+    parts = ["<|endoftext|>", "<|endoftext", "|>", " ", "  ", "\n", "\t ", "'s", "'LL", "don't", "Straße", "日本語", "😀", "e\u0301", "\x00", "1234", "...", " the", "word", "\u00a0", "\u2003x", "ǅ", "٣", "-"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(40))) for _ in range(400)]
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    found = {k: [] for k in range(len(texts))}
+    for r in pack_documents(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect():
+        found[r.doc_id].append((r.start, list(r.ids)))
+    for k, t in enumerate(texts):
+        assert [i for _, ids in sorted(found[k]) for i in ids] == tokenizer.encode(t, add_special_tokens=False).ids + [0]
