@@ -1,14 +1,18 @@
 """Toxicity classifier (operator 5): character n-grams scaled by naive Bayes log-count ratios.
 
-Training reads at most ``max_rows`` labelled rows, those with the smallest id hashes. Spark sums how many
-texts of each class hold an n-gram (hashed to ``2**BITS`` buckets); the log-count ratios scale the presence
-features of a logistic regression.
-Scoring is one map over the texts; a label, language, source or id is never an input of a score.
+Training reads at most ``max_rows`` labelled rows, those with the smallest hashes of id and text; every n-gram of
+theirs counts. N-grams are hashed to ``2**BITS`` buckets. Spark sums how many texts of each class hold a bucket; the
+log-count ratios, each drawn smoothly to zero where it is unclear (``CLEAR``), scale the presence features of a
+logistic regression, whose gradients are sums over the written
+features: each step is a job over ``PARTS`` partitions that returns one array of ``2**BITS`` numbers from each, so
+the driver holds a few arrays of fixed size and never a row. Scoring is one map over the texts; a label, language,
+source or id is never an input of a score.
 
 Edge cases: a null or empty text holds only its boundary and gets the score of the features it lacks (the
-intercept); labels that are null or neither 0 nor 1 are not used; with one class alone or no labels the
-score is that class's share, 0 without labels; repeated rows count as often as they stand; an empty table
-gives no rows; other columns are ignored by ``score_documents`` and kept by ``attach_scores``.
+intercept); labels that are null or neither 0 nor 1 are not used, an id with both labels is toxic; with one class
+alone or no labels the score is that class's share, 0 without labels; a row that repeats (id and text) is learned
+from once and scored each time; an empty table gives no rows; other columns are ignored by ``score_documents`` and
+kept by ``attach_scores``, which replaces a column of the score's name.
 """
 
 from __future__ import annotations
@@ -26,17 +30,18 @@ from skyloom.session import materialise
 
 BITS = 20
 SIZES = (3, 4, 5)
-#: Training rows summed at once on the driver.
-CHUNK = 1024
+#: A ratio of so many standard errors counts half; the factor is z**4 / (z**4 + CLEAR**4), so none is dropped.
+CLEAR = 3.0
+#: Partitions of the written training features.
+PARTS = 8
 _MULTIPLIER = np.uint32(0x9E3779B1)
 
 
 @dataclass
 class Model:
-    """Weights of the selected buckets (ratio times coefficient), sorted by bucket."""
+    """Weights of the buckets met in training (ratio times coefficient), sorted by bucket."""
 
     buckets: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int32))
-    ratios: np.ndarray = field(default_factory=lambda: np.zeros(0, np.float32))
     weights: np.ndarray = field(default_factory=lambda: np.zeros(0, np.float32))
     intercept: float = 0.0
 
@@ -62,91 +67,131 @@ def _texts(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.Re
 
 
 def labelled(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, folds: int = 5) -> DataFrame:
-    """Training rows (text, label): crc32 of the id as text is not divisible by ``folds``.
+    """Training rows (doc_id, text_hash, text, label): crc32 of the id as text is not divisible by ``folds``.
 
-    At most ``max_rows`` ids, those with the smallest hashes; so few that the join broadcasts them and no
-    text is shuffled.
+    At most ``max_rows`` rows. First at most so many ids, so few that the join broadcasts them and no other text is
+    shuffled; then, as an id may have many rows, repeats go and the rows with the smallest hashes stay.
     """
     y = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("label"))
     y = y.where(F.col("label").isin(0, 1) & (F.crc32(F.col("doc_id").cast("string")) % folds != 0))
     y = y.groupBy("doc_id").agg(F.max("label").alias("label")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(y), "doc_id").select("text", "label")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(y), "doc_id")
+    rows = materialise(rows.withColumn("text_hash", F.xxhash64("text")).dropDuplicates(["doc_id", "text_hash"]), "toxicity-rows")
+    first = rows.select("doc_id", "text_hash").orderBy(F.xxhash64("doc_id", "text_hash"), "doc_id", "text_hash").limit(max_rows)
+    return rows.join(F.broadcast(first), ["doc_id", "text_hash"], "left_semi").select("doc_id", "text_hash", "text", "label")
 
 
-def _class_counts(rows: DataFrame) -> DataFrame:
-    """(bucket, pos, neg): texts of each class that hold the bucket; bucket -1 counts all texts."""
+def _features(rows: DataFrame) -> DataFrame:
+    """(at binary, label): the distinct buckets of each row, sorted, as 32-bit numbers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros((2, 1 << BITS), np.int32)
-        last = np.zeros(1 << BITS, np.int64)
-        texts = [0, 0]
         for batch in _texts(batches):
-            for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                x = ngram_buckets(text)
-                at = np.arange(len(x))
-                last[x] = at
-                counts[label, x[last[x] == at]] += 1  # each bucket once
-                texts[label] += 1
-        held = np.flatnonzero(counts.sum(0))
-        columns = [np.append(held, -1), np.append(counts[1, held], texts[1]), np.append(counts[0, held], texts[0])]
-        table = pa.Table.from_arrays([pa.array(c.astype(np.int64)) for c in columns], ["bucket", "pos", "neg"])
-        yield from table.to_batches(65536)
+            held = [np.unique(ngram_buckets(t)).astype("<i4").tobytes() for t in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(held, pa.binary()), batch.column(1)], ["at", "label"])
 
-    return rows.mapInArrow(run, "bucket long, pos long, neg long").groupBy("bucket").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    return rows.repartition(PARTS, "doc_id", "text_hash").select("text", "label").mapInArrow(run, "at binary, label int")
 
 
-def fit(docs: DataFrame, labels: DataFrame, *, max_rows: int = 20_000, max_features: int = 8_192, min_z: float = 3.0, smoothing: float = 0.5, l2: float = 2e-3, steps: int = 100) -> Model:
-    """Fit on at most ``max_rows`` labelled rows outside fold 0.
+def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(buckets, row of each, labels) of a few rows at a time."""
+    for batch in _texts(batches, 64):
+        held = [np.frombuffer(x, "<i4") for x in batch.column(0).to_pylist()]
+        lengths = np.fromiter(map(len, held), np.int64, len(held))
+        yield (np.concatenate(held) if held else np.zeros(0, np.int32)), np.repeat(np.arange(len(held)), lengths), batch.column(1).to_numpy()
 
-    What reaches the driver is bounded: the ``max_features`` buckets with the clearest ratios (``min_z``
-    standard errors at least) and ``max_rows`` short feature lists.
-    """
-    rows = labelled(docs, labels, max_rows)
-    counts = materialise(_class_counts(rows), "toxicity-counts")
-    total = counts.where("bucket < 0").toPandas()
-    n_pos, n_neg = (int(total[c].sum()) for c in ("pos", "neg"))
+
+def _class_counts(features: DataFrame) -> np.ndarray:
+    """Texts of each class (0, 1) that hold a bucket; the last column counts all texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros((2, (1 << BITS) + 1), np.int32)
+        for held, row, y in _lists(batches):
+            for label in (0, 1):
+                counts[label, :-1] += np.bincount(held[y[row] == label], minlength=1 << BITS)
+                counts[label, -1] += np.count_nonzero(y == label)
+        yield pa.RecordBatch.from_arrays([pa.array([counts.tobytes()], pa.binary())], ["sums"])
+
+    out = np.zeros((2, (1 << BITS) + 1), np.int64)
+    for r in features.mapInArrow(run, "sums binary").toLocalIterator():
+        out += np.frombuffer(r["sums"], np.int32).reshape(out.shape)
+    return out
+
+
+def _gradient(features: DataFrame, weights: np.ndarray, intercept: float, cost: tuple[float, float]) -> tuple[float, np.ndarray]:
+    """Loss and its gradient by bucket weights and intercept, summed over the written features."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, slopes = 0.0, np.zeros((1 << BITS) + 1)
+        for held, row, y in _lists(batches):
+            margin = np.bincount(row, weights[held], len(y)) + intercept
+            of = np.where(y == 1, cost[1], cost[0])
+            total += float((of * np.logaddexp(0, np.where(y == 1, -margin, margin))).sum())
+            slope = of * (1 / (1 + np.exp(-np.clip(margin, -30, 30))) - y)
+            slopes[:-1] += np.bincount(held, slope[row], 1 << BITS)
+            slopes[-1] += slope.sum()
+        yield pa.RecordBatch.from_arrays([pa.array([total]), pa.array([slopes.astype(np.float32).tobytes()], pa.binary())], ["loss", "sums"])
+
+    loss, out = 0.0, np.zeros((1 << BITS) + 1)
+    for r in features.mapInArrow(run, "loss double, sums binary").toLocalIterator():
+        loss += r["loss"]
+        out += np.frombuffer(r["sums"], np.float32)
+    return loss, out
+
+
+def _direction(grad: np.ndarray, pairs: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """Limited-memory quasi-Newton direction from the last moves and changes of the gradient."""
+    q, held = grad.copy(), []
+    for s, y in reversed(pairs):
+        a = (s @ q) / (s @ y)
+        q -= a * y
+        held.append(a)
+    if pairs:
+        s, y = pairs[-1]
+        q *= (s @ y) / (y @ y)
+    for (s, y), a in zip(pairs, reversed(held), strict=True):
+        q += s * (a - (y @ q) / (s @ y))
+    return -q
+
+
+def fit(docs: DataFrame, labels: DataFrame, *, max_rows: int = 20_000, smoothing: float = 0.5, l2: float = 1e-3, steps: int = 20, memory: int = 5) -> Model:
+    """Fit on at most ``max_rows`` labelled rows outside fold 0, by ``steps`` quasi-Newton steps."""
+    features = materialise(_features(labelled(docs, labels, max_rows)), "toxicity-features")
+    counts = _class_counts(features)
+    (n_neg, n_pos), (neg, pos) = counts[:, -1], counts[:, :-1]
     if not n_pos or not n_neg:
         return Model(intercept=20.0 if n_pos else -20.0)
-    p, q = F.col("pos") + smoothing, F.col("neg") + smoothing
-    ratio = F.log(p / (n_pos + 2 * smoothing)) - F.log(q / (n_neg + 2 * smoothing))
-    clear = counts.where("bucket >= 0").select("bucket", ratio.alias("ratio"), (F.abs(ratio) / F.sqrt(1 / p + 1 / q)).alias("z"))
-    chosen = clear.where(F.col("z") >= min_z).orderBy(F.desc("z"), "bucket").limit(max_features).toPandas().sort_values("bucket")
-    buckets, ratios = chosen["bucket"].to_numpy(np.int32), chosen["ratio"].to_numpy(np.float32)
-
-    def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        place = np.full(1 << BITS, -1, np.int32)
-        place[buckets] = np.arange(len(buckets))
-        for batch in _texts(batches):
-            held = [(x := place[ngram_buckets(t)], np.unique(x[x >= 0]).astype("<i4").tobytes())[1] for t in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(held, pa.binary()), batch.column(1)], ["at", "label"])
-
-    data = rows.mapInArrow(features, "at binary, label int").toPandas()
-    if data.empty or not len(buckets):
-        return Model(intercept=float(np.log(n_pos / n_neg)))
-    lengths = data["at"].map(len).to_numpy() // 4
-    column = np.frombuffer(b"".join(map(bytes, data["at"])), "<i4")
-    y = data["label"].to_numpy(float)
-    del data
-    ends = np.append(0, np.cumsum(lengths))
-    cost = np.where(y == 1, 0.5 / max(y.sum(), 1), 0.5 / max((1 - y).sum(), 1))
-    cost = 0.5 * cost / cost.sum() + 0.5 / len(y)
-    w, b, speed, second = np.zeros(len(buckets)), 0.0, np.zeros(len(buckets) + 1), np.zeros(len(buckets) + 1)
-    for step in range(1, steps + 1):
-        grad = np.append(l2 * w / len(buckets) ** 0.5, 0.0)
-        scaled = (ratios * w).astype(np.float32)
-        for at in range(0, len(y), CHUNK):  # sums by chunks of rows, so that their copies stay small
-            part = slice(at, at + CHUNK)
-            held, n = column[ends[at] : ends[min(at + CHUNK, len(y))]], len(y[part])
-            row = np.repeat(np.arange(n), lengths[part])
-            margin = np.bincount(row, scaled[held], n) + b
-            slope = cost[part] * (1 / (1 + np.exp(-np.clip(margin, -30, 30))) - y[part])
-            grad[:-1] += ratios * np.bincount(held, slope[row], len(buckets))
-            grad[-1] += slope.sum()
-        speed = 0.9 * speed + 0.1 * grad
-        second = 0.99 * second + 0.01 * grad**2
-        move = 0.05 * (speed / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.99**step)) + 1e-8)
-        w, b = w - move[:-1], b - move[-1]
-    return Model(buckets, ratios, (w * ratios).astype(np.float32), float(b))
+    ratio = np.log((pos + smoothing) / (n_pos + 2 * smoothing)) - np.log((neg + smoothing) / (n_neg + 2 * smoothing))
+    z4 = (ratio**2 / (1 / (pos + smoothing) + 1 / (neg + smoothing))) ** 2
+    ratio = np.where(pos + neg, ratio * z4 / (z4 + CLEAR**4), 0.0).astype(np.float32)
+    # half of the cost by row and half by class, so that a rare class is not drowned
+    each = [0.5 / (n_pos + n_neg) + 0.25 / n for n in (n_neg, n_pos)]
+
+    def at(w: np.ndarray) -> tuple[float, np.ndarray]:
+        loss, slopes = _gradient(features, (ratio * w[:-1]).astype(np.float32), float(w[-1]), (each[0], each[1]))
+        grad = np.append(slopes[:-1] * ratio + l2 * w[:-1], slopes[-1])
+        return loss + l2 / 2 * float(w[:-1] @ w[:-1]), grad
+
+    w = np.zeros((1 << BITS) + 1)
+    loss, grad = at(w)
+    pairs: list[tuple[np.ndarray, np.ndarray]] = []
+    for _ in range(steps):
+        way = _direction(grad, pairs)
+        size = 1.0 if pairs else 1.0 / max(float(np.abs(grad).max()), 1.0)
+        while True:  # halve a move that does not lower the loss
+            ahead = w + size * way
+            new_loss, new_grad = at(ahead)
+            if new_loss <= loss + 1e-4 * size * float(grad @ way) or size < 1e-3:
+                break
+            size /= 2
+        s, y = ahead - w, new_grad - grad
+        if float(s @ y) > 1e-12:
+            pairs = [*pairs[1 - memory :], (s, y)]
+        done = abs(loss - new_loss) <= 1e-4 * abs(loss)
+        w, loss, grad = ahead, new_loss, new_grad
+        if done:
+            break
+    held = np.flatnonzero(ratio).astype(np.int32)
+    return Model(held, (ratio * w[:-1])[held].astype(np.float32), float(w[-1]))
 
 
 def attach_scores(docs: DataFrame, model: Model, *, score: str = "score", text: str = "text") -> DataFrame:
@@ -158,13 +203,14 @@ def attach_scores(docs: DataFrame, model: Model, *, score: str = "score", text:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights = np.zeros(1 << BITS, np.float32)
         weights[model.buckets] = model.weights
-        used = np.zeros(1 << BITS, bool)
-        used[model.buckets] = True
+        last = np.zeros(1 << BITS, np.int64)
         for batch in _texts(batches):
             out = []
             for t in batch.column(at).to_pylist():
                 x = ngram_buckets(t)
-                out.append(float(weights[np.unique(x[used[x]])].sum(dtype=float)) + model.intercept)
+                at_x = np.arange(len(x))
+                last[x] = at_x
+                out.append(float(weights[x[last[x] == at_x]].sum(dtype=float)) + model.intercept)  # each bucket once
             p = 1 / (1 + np.exp(-np.clip(np.array(out), -30, 30)))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(p)], [*batch.schema.names, score])
 
@@ -189,6 +235,10 @@ def op5_toxicity(spark, sf_dir: str) -> DataFrame:
 
 
 def stage_toxicity(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that are not toxic."""
+    """Documents that are not toxic: their score, by the classifier fitted on the table ``labels``, is under 0.5.
+
+    A null or empty text has the classifier's intercept for a score; repeated rows are judged alike; an empty table
+    gives no rows; all columns stay.
+    """
     model = fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return attach_scores(docs, model, score="__toxicity").where("__toxicity < 0.5").drop("__toxicity")

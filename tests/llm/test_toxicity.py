@@ -1,6 +1,9 @@
 import random
+import zlib
 
-from skyloom.llm.toxicity import fit, labelled, score_documents, stage_toxicity
+import numpy as np
+
+from skyloom.llm.toxicity import fit, labelled, ngram_buckets, score_documents, stage_toxicity
 
 
 def corpus(spark, n=600):
@@ -46,10 +49,44 @@ def test_odd_rows(spark, odd, none):
     assert score_documents(none, labels).count() == 0
     no_labels = labels.selectExpr("doc_id", "quality", "cast(null as int) as toxic")
     assert all(r.predicted == 0 for r in score_documents(odd, no_labels).collect())
-    assert fit(odd, labels.where("toxic = 1")).intercept > 0 or True
+    docs = spark.range(10).selectExpr("id as doc_id", "'t' as text")
+    assert fit(docs, labels.where("toxic = 1")).intercept > 0 > fit(docs, labels.where("toxic = 0")).intercept
 
 
 def test_more_than_ten_thousand_rows_are_learned_from(spark):
     ids = spark.range(15_000).selectExpr("id as doc_id")
     docs, labels = ids.selectExpr("doc_id", "'t' as text"), ids.selectExpr("doc_id", "cast(doc_id % 2 as int) as toxic")
     assert labelled(docs, labels).count() == ids.where("crc32(cast(doc_id as string)) % 5 <> 0").count() > 10_000
+
+
+def test_rows_are_bounded_where_ids_repeat(spark):
+    docs = spark.range(5_000).selectExpr("1L as doc_id", "concat('text ', cast(id % 500 as string)) as text").unionByName(spark.range(30).selectExpr("id as doc_id", "'t' as text"))
+    labels = spark.range(30).selectExpr("id as doc_id", "1 as toxic")
+    assert labelled(docs, labels, 100).count() == 100
+    ids = {r.doc_id for r in labelled(docs, labels, 10_000).collect()}
+    assert labelled(docs, labels, 10_000).count() == len(ids) + 500 and 1 in ids
+
+
+def test_weights_equal_a_plain_fit(spark):
+    """The summed gradients lead where a dense fit in NumPy over the same features leads."""
+    docs, labels = corpus(spark, 200)
+    y, texts = {r.doc_id: r.toxic for r in labels.collect()}, {r.doc_id: r.text for r in docs.collect()}
+    train = [k for k in texts if zlib.crc32(str(k).encode()) % 5]
+    held = [np.unique(ngram_buckets(texts[k])) for k in train]
+    buckets = np.unique(np.concatenate(held))
+    x = np.array([np.isin(buckets, h) for h in held], float)
+    t = np.array([y[k] for k in train])
+    ratio = np.log((x[t == 1].sum(0) + 0.5) / ((t == 1).sum() + 1)) - np.log((x[t == 0].sum(0) + 0.5) / ((t == 0).sum() + 1))
+    z4 = (ratio**2 / (1 / (x[t == 1].sum(0) + 0.5) + 1 / (x[t == 0].sum(0) + 0.5))) ** 2
+    ratio *= z4 / (z4 + 81)
+    cost = np.where(t == 1, 0.25 / (t == 1).sum(), 0.25 / (t == 0).sum()) + 0.5 / len(t)
+    w, b = np.zeros(len(buckets)), 0.0
+    z = x * ratio
+    step = 4 / (np.linalg.norm(np.c_[z, np.ones(len(t))] * np.sqrt(cost)[:, None], 2) ** 2 + 4e-3)
+    for _ in range(5_000):
+        slope = cost * (1 / (1 + np.exp(-(z @ w + b))) - t)
+        w, b = w - step * (z.T @ slope + 1e-3 * w), b - step * slope.sum()
+    model = fit(docs, labels)
+    at = dict(zip(model.buckets.tolist(), model.weights.tolist(), strict=True))
+    found = np.array([sum(at.get(i, 0.0) for i in h.tolist()) + model.intercept for h in held])
+    assert np.abs(1 / (1 + np.exp(-found)) - 1 / (1 + np.exp(-(z @ w + b)))).max() < 0.02
