@@ -7,9 +7,9 @@ For each row the log posterior of a language is the sum of
   values by the language that the text alone suggests,
 - the log prior of its host: counts of suggested languages of the host, smoothed by those of its domain, which
   are smoothed by those of all rows.
-All counts are grouped aggregates over all rows; only the trigram models are fitted on a bounded sample, the
-``max_rows`` labelled texts with the smallest id hashes. A language that a row itself is labelled with is
-never evidence for that row.
+All counts are grouped aggregates over all rows. The trigram models are counts over all labelled texts, kept apart
+for two halves of the ids: a row is scored by the counts of the other half, so that neither its label nor its text is
+in the model that judges it (rows without an id are scored by both halves, whose texts they are not among).
 
 Edge cases: a null or empty text gives even likelihoods, so the other evidence decides; a null host, suffix or
 declaration gives no evidence; repeated rows count as often as they stand; ties go to the language that comes
@@ -54,52 +54,74 @@ def _slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.R
             yield batch.slice(at, rows)
 
 
-def fit(labelled: DataFrame, *, max_rows: int = 20_000, max_languages: int = 200, smoothing: float = 0.1) -> tuple[list[str], np.ndarray]:
-    """Languages and the log-probabilities (bucket, language) of trigrams from ``labelled(doc_id, text, lang)``.
+def _half(doc_id: Column) -> Column:
+    """0 or 1 by the id; null for a null id."""
+    return F.when(doc_id.isNotNull(), F.pmod(F.xxhash64(doc_id.cast("long"), F.lit("half")), F.lit(2)).cast("int"))
 
-    At most ``max_rows`` texts and the ``max_languages`` most frequent languages among them; the driver gets
-    one count for each bucket and language.
+
+def fit(labelled: DataFrame, *, smoothing: float = 0.1, most: int = 1000) -> tuple[list[str], np.ndarray]:
+    """Languages and the log-probabilities (3, bucket, language) of trigrams from ``labelled(doc_id, text, lang)``.
+
+    The first table is for rows of half 0 and leaves their half out, the second for those of half 1, the third is of
+    all rows. The driver gets one count for each half, bucket and language; more than ``most`` languages are an error.
     """
-    rows = labelled.where("lang is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "lang")
-    sample = rows.orderBy(F.xxhash64("doc_id"), "doc_id", "lang").limit(max_rows).select("doc_id").distinct()
-    texts = labelled.where("lang is not null").join(F.broadcast(sample), labelled["doc_id"].cast("long") == sample["doc_id"], "left_semi").select("lang", "text")
+    texts = labelled.where("lang is not null").select(F.coalesce(_half(F.col("doc_id")), F.lit(-1)).alias("half"), F.col("lang").cast("string").alias("lang"), "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: dict[str, np.ndarray] = {}
+        counts: dict[tuple[int, str], np.ndarray] = {}
         for batch in _slices(batches):
-            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                counts.setdefault(lang, np.zeros(1 << BUCKET_BITS, np.int64))
-                counts[lang] += np.bincount(trigrams(text), minlength=1 << BUCKET_BITS)
-        for lang, c in counts.items():
+            for half, lang, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                mine = counts.setdefault((half, lang), np.zeros(1 << BUCKET_BITS, np.int64))
+                x = trigrams(text)
+                for at in range(0, len(x), 1 << 20):
+                    mine += np.bincount(x[at : at + (1 << 20)], minlength=1 << BUCKET_BITS)
+        for (half, lang), c in counts.items():
             held = np.flatnonzero(c)
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(held), pa.string()), pa.array(held), pa.array(c[held])], ["lang", "bucket", "n"])
-
-    counts = texts.mapInArrow(run, "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
-    totals = counts.groupBy("lang").agg(F.sum("n").alias("of")).orderBy(F.desc("of"), "lang").limit(max_languages)
-    found = counts.join(F.broadcast(totals), "lang").select("lang", "bucket", "n").toPandas()
-    languages = sorted(found["lang"].unique())
-    table = np.full((1 << BUCKET_BITS, len(languages)), smoothing)
-    table[found["bucket"].to_numpy(int), found["lang"].map(languages.index).to_numpy(int)] += found["n"].to_numpy()
-    return languages, np.log(table / table.sum(0)).astype(np.float32)
+            n = len(held)
+            yield pa.RecordBatch.from_arrays([pa.array([half] * n, pa.int32()), pa.array([lang] * n, pa.string()), pa.array(held), pa.array(c[held])], ["half", "lang", "bucket", "n"])
+
+    counts = materialise(texts.mapInArrow(run, "half int, lang string, bucket long, n long").groupBy("half", "lang", "bucket").agg(F.sum("n").alias("n")), "langid-trigrams")
+    languages = sorted(r["lang"] for r in counts.select("lang").distinct().limit(most + 1).collect())
+    if len(languages) > most:
+        raise ValueError(f"more than {most} languages; raise `most` where workers hold so many tables")
+    table = np.zeros((3, 1 << BUCKET_BITS, len(languages)))
+    place = {lang: k for k, lang in enumerate(languages)}
+    for r in counts.toArrow().to_batches(65536):
+        half, lang, bucket, n = (r.column(c).to_numpy(zero_copy_only=False) for c in ("half", "lang", "bucket", "n"))
+        lang = np.fromiter((place[x] for x in lang), np.int64, len(lang))
+        for k in range(3):
+            use = half != k
+            np.add.at(table[k], (bucket[use], lang[use]), n[use])
+    for k in range(3):
+        seen = table[k].sum(0) > 0
+        table[k] = np.log((table[k] + smoothing) / (table[k] + smoothing).sum(0))
+        if seen.any():  # a language without text in the other half is no likelier than the least likely
+            table[k][:, ~seen] = table[k][:, seen].min(1, keepdims=True)
+    return languages, table.astype(np.float32)
 
 
 def text_likelihoods(rows: DataFrame, model: np.ndarray, weight: int = WEIGHT) -> DataFrame:
     """``rows`` with ``ll array<double>`` in place of ``text``: tempered log-likelihoods by language."""
-    at = rows.columns.index("text")
-    keep = [k for k in range(len(rows.columns)) if k != at]
-    schema = T.StructType([*(rows.schema.fields[k] for k in keep), T.StructField("ll", T.ArrayType(T.DoubleType()))])
+    kept = rows.withColumn("__half", F.coalesce(_half(F.col("doc_id")), F.lit(2)))
+    at, half = kept.columns.index("text"), kept.columns.index("__half")
+    keep = [k for k in range(len(kept.columns)) if k not in (at, half)]
+    schema = T.StructType([*(kept.schema.fields[k] for k in keep), T.StructField("ll", T.ArrayType(T.DoubleType()))])
+    none = np.zeros(model.shape[2])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _slices(batches):
             out = []
-            for text in batch.column(at).to_pylist():
+            for text, table in zip(batch.column(at).to_pylist(), batch.column(half).to_pylist(), strict=True):
                 x = trigrams(text)
-                out.append((model[x].mean(0) * min(len(x), weight) if len(x) else np.zeros(model.shape[1])).astype(float))
-            flat = pa.array(np.concatenate(out))
-            offsets = pa.array((np.arange(len(out) + 1) * model.shape[1]).astype(np.int32))
+                total = none
+                for k in range(0, len(x), 1 << 16):
+                    total = total + model[table][x[k : k + (1 << 16)]].sum(0, dtype=float)
+                out.append(total / max(len(x), 1) * min(len(x), weight))
+            flat = pa.array(np.concatenate(out) if out else none[:0])
+            offsets = pa.array((np.arange(len(out) + 1) * model.shape[2]).astype(np.int32))
             yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in keep), pa.ListArray.from_arrays(offsets, flat)], schema.names)
 
-    return rows.mapInArrow(run, schema)
+    return kept.mapInArrow(run, schema)
 
 
 def _counts(rows: DataFrame, by: list[str], n: int) -> DataFrame:
@@ -184,8 +206,7 @@ def identify(evidence: DataFrame, labelled: DataFrame, **options) -> DataFrame:
 
 
 def op10_language_id(spark, sf_dir: str) -> DataFrame:
-    """Languages of all documents and pages; the trigram models learn from labelled documents outside fold 0."""
+    """Languages of all documents and pages; the trigram models learn from the languages of all documents."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
-    labelled = docs.where(F.crc32(F.col("doc_id").cast("string")) % 5 != 0)
-    return identify(evidence_of_documents(docs).unionByName(evidence_of_pages(pages)), labelled)
+    return identify(evidence_of_documents(docs).unionByName(evidence_of_pages(pages)), docs)
