@@ -1,18 +1,23 @@
 """Quality rules by robust multivariate outliers (operator 3), native.
 
-Each text gives a vector of transformed statistics. For each language and source the minimum-covariance-
-determinant estimate is found by concentration steps: from medians and median deviations as a start, the share
-``keep`` of rows with the smallest Mahalanobis distances gives the next mean and covariance. A row whose
-distance to its group's final estimate is beyond ``cutoff`` is rejected. Every step is a grouped aggregate
-over the written statistics; the distance comes from a Cholesky factor, inverted, written out as expressions. Quantiles
-of distances are counts by logarithmic bins, so they merge in any order and give the same result each time.
-
-Groups of fewer than ``least`` rows that pass the base rules are judged by all rows of their language, or by all
-rows of the table where the language has too few; only a table with fewer than five rows for each statistic judges no row. Variances have a floor (``FLOORS``), so a statistic that hardly varies rejects nothing by itself.
-
-Edge cases: a null or empty text has no words and fails the base rules; null languages and sources are
-groups of their own; repeated rows count as often as they stand; an empty table gives no rows; other columns
-are ignored by ``judge`` and kept by ``keep_good``; columns with clashing names are left as they are.
+Each text gives a vector of transformed statistics. Minimum-covariance-determinant estimates are made for each
+language and source, for each language, and for all rows: of several starts (medians and quartiles alone, with the
+correlations of squashed values, with those of directions) concentration steps go on to the rows with the smallest
+Mahalanobis distances, the share ``keep`` of a group; after ``trials`` steps the start with the least determinant
+goes on alone until no group's determinant falls any more. A row is judged by its language's and source's estimate,
+drawn towards the language's, that towards the one of all rows, and that towards a wide prior (``PRIOR``), each as if
+what it is drawn to stood for ``weight`` rows: one formula for groups of every size. A row whose distance is beyond
+``cutoff`` is rejected.
+
+Every step is a grouped aggregate over the written statistics; the distance comes from a Cholesky factor, inverted,
+written out as expressions. Quantiles are counts by bins that are merged, written and only then put in order, so that
+no group's rows meet in a task and the result does not depend on an order. The last bin counts in part, so that the
+nearest rows weigh exactly the share ``keep``. Variances have a floor (``FLOORS``), so a statistic that hardly varies
+rejects nothing by itself.
+
+Edge cases: a null or empty text has no words and fails the base rules; null languages and sources are groups of
+their own; repeated rows count as often as they stand; an empty table gives no rows; other columns are ignored by
+``judge`` and kept by ``keep_good``; columns with clashing names are left as they are.
 """
 
 from __future__ import annotations
@@ -31,10 +36,14 @@ FLOORS = (0.5, 0.15, 0.05, 0.15, 0.15, 0.10, 0.10)
 CUTOFF = 30.0
 #: Share of rows that an estimate is made of, and what makes its covariance that of a whole normal group.
 KEEP, CONSISTENCY = 0.75, 1.33
-STEPS = 3
-LEAST = 200
-#: Bins of a distance for each doubling.
-BINS = 16
+#: Concentration steps of every start, and at most of the best.
+TRIALS, STEPS = 2, 15
+#: Bins of a distance for each doubling; bins of a statistic for each unit.
+BINS, UNIT_BINS = 64, 512
+#: What an estimate is drawn to counts as so many rows.
+WEIGHT = 100.0
+#: (mean, standard deviation) of each statistic that stand for texts of any kind.
+PRIOR = ((5.0, 2.0), (1.7, 0.5), (0.0, 0.3), (0.1, 0.4), (0.2, 0.4), (0.2, 0.25), (0.15, 0.25))
 
 SPACE = r"[\x20\x09-\x0D]+"
 WIDTH = 5
@@ -116,10 +125,13 @@ def _factor(p: int) -> list[tuple[str, Column]]:
     return out
 
 
-def _with_factor(groups: DataFrame, keys: list[str], p: int) -> DataFrame:
+def _with_factor(groups: DataFrame, p: int) -> DataFrame:
+    """``groups`` with the inverse factor k_i_j and the log-determinant ``logdet`` of its covariance c_i_j."""
+    kept = groups.columns
     for name, column in _factor(p):
         groups = groups.withColumn(name, column)
-    return groups.select(*keys, *(f"m_{i}" for i in range(p)), *(f"k_{i}_{j}" for i in range(p) for j in range(i + 1)))
+    logdet = 2 * sum((F.log(F.col(f"l_{i}_{i}")) for i in range(p)), F.lit(0.0))
+    return groups.select(*kept, *(f"k_{i}_{j}" for i in range(p) for j in range(i + 1)), logdet.alias("logdet"))
 
 
 def _distance(p: int, x: str = "x_", e: str = "") -> Column:
@@ -129,132 +141,176 @@ def _distance(p: int, x: str = "x_", e: str = "") -> Column:
     return sum((F.pow(r, 2) for r in rows), F.lit(0.0))
 
 
-def _nearest(rows: DataFrame, keys: list[str], keep: float) -> DataFrame:
-    """The rows of each group up to the bin of ``d2`` with which the share ``keep`` is reached."""
-    binned = rows.withColumn("bin", F.floor(F.log2(F.col("d2") + 1e-6) * BINS).cast("int"))
-    counts = binned.groupBy(*keys, "bin").agg(F.count("*").alias("n"))
-    each = Window.partitionBy(*keys)
+def _quartiles(rows: DataFrame, keys: list[str], p: int, floors: tuple[float, ...]) -> DataFrame:
+    """(keys, m_i, s_i): medians and floored deviations from quartiles, to a bin of 1 / UNIT_BINS."""
+    bins = F.array(*(F.floor(F.col(f"x_{i}") * UNIT_BINS).cast("int") for i in range(p)))
+    counts = rows.select(*keys, F.posexplode(bins).alias("i", "bin")).groupBy(*keys, "i", "bin").agg(F.count("*").alias("n"))
+    counts = materialise(counts, "quality-bins")
+    each = Window.partitionBy(*keys, "i")
     upto = each.orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    counts = counts.select(*keys, "bin", F.sum("n").over(upto).alias("upto"), F.sum("n").over(each).alias("all"))
-    limit = counts.where(F.col("upto") >= keep * F.col("all")).groupBy(*keys).agg(F.min("bin").alias("limit"))
-    # a row for each group: written, it is known to be small and the rows stay where they are
-    return binned.join(materialise(limit, "quality-limits"), keys).where("bin <= limit").drop("bin", "limit")
-
-
-def _moments(rows: DataFrame, keys: list[str], p: int, floors: tuple[float, ...], factor: float) -> DataFrame:
-    """Mean and floored covariance of each group, from sums that merge in any order."""
-    sums = [F.avg(f"x_{i}").alias(f"m_{i}") for i in range(p)]
-    sums += [F.avg(F.col(f"x_{i}") * F.col(f"x_{j}")).alias(f"s_{i}_{j}") for i in range(p) for j in range(i + 1)]
-    made = rows.groupBy(*keys).agg(*sums)
-    cov = [
-        (factor * (F.col(f"s_{i}_{j}") - F.col(f"m_{i}") * F.col(f"m_{j}")) + (floors[i] ** 2 if i == j else 0.0)).alias(f"c_{i}_{j}")
-        for i in range(p)
-        for j in range(i + 1)
-    ]
-    return _with_factor(made.select(*keys, *(f"m_{i}" for i in range(p)), *cov), keys, p)
-
+    counts = counts.select(*keys, "i", "bin", F.sum("n").over(upto).alias("upto"), F.sum("n").over(each).alias("all"))
+    at = [F.min(F.when(F.col("upto") >= q * F.col("all"), (F.col("bin") + 0.5) / UNIT_BINS)) for q in (0.25, 0.5, 0.75)]
+    found = counts.groupBy(*keys, "i").agg(at[1].alias("m"), (at[2] - at[0]).alias("q"))
+    pick = lambda name, i: F.max(F.when(F.col("i") == i, F.col(name)))
+    return found.groupBy(*keys).agg(
+        *(pick("m", i).alias(f"m_{i}") for i in range(p)),
+        *(F.sqrt(F.pow(pick("q", i) / 1.349, 2) + floors[i] ** 2 + 1e-12).alias(f"s_{i}") for i in range(p)),
+    )
 
-def robust_estimates(rows: DataFrame, p: int, floors: tuple[float, ...], *, keys: list[str], keep: float = KEEP, consistency: float = CONSISTENCY, steps: int = STEPS) -> DataFrame:
-    """Minimum-covariance-determinant estimates of ``rows(keys, x_0 ..)``: keys, means m_i and inverse factors k_i_j.
 
-    ``rows`` is read in every step and must be a written table; each step's estimates, a row for each group,
-    are written too.
-    """
-    medians = rows.groupBy(*keys).agg(*(F.percentile_approx(f"x_{i}", 0.5, 1000).alias(f"m_{i}") for i in range(p)))
-    medians = materialise(medians, "quality-medians")
-    spread = rows.join(medians, keys).groupBy(*keys).agg(
-        *(F.first(f"m_{i}").alias(f"m_{i}") for i in range(p)),
-        *(F.percentile_approx(F.abs(F.col(f"x_{i}") - F.col(f"m_{i}")), 0.5, 1000).alias(f"d_{i}") for i in range(p)),
+def _starts(rows: DataFrame, keys: list[str], p: int, floors: tuple[float, ...]) -> DataFrame:
+    """(keys, start, m_i, c_i_j): the quartiles' scales with no correlations (0), those of squashed values (1), of directions (2)."""
+    scales = materialise(_quartiles(rows, keys, p, floors), "quality-quartiles")
+    z = [(F.col(f"x_{i}") - F.col(f"m_{i}")) / F.col(f"s_{i}") for i in range(p)]
+    length = F.sqrt(sum((F.pow(c, 2) for c in z), F.lit(1e-12)))
+    rows = rows.join(scales, keys).select(*keys, *(F.tanh(c).alias(f"t_{i}") for i, c in enumerate(z)), *((c / length).alias(f"u_{i}") for i, c in enumerate(z)))
+    sums = [F.avg(F.col(f"{a}_{i}") * F.col(f"{a}_{j}")).alias(f"{a}_{i}_{j}") for a in "tu" for i in range(p) for j in range(i + 1)]
+    made = rows.groupBy(*keys).agg(*sums).join(scales, keys)
+
+    def start(k: int, a: str) -> Column:
+        size = lambda i: F.sqrt(F.col(f"{a}_{i}_{i}") + 1e-9)
+        cells = []
+        for i in range(p):
+            for j in range(i + 1):
+                r = F.lit(1.0 if i == j else 0.0) if not a or i == j else F.col(f"{a}_{i}_{j}") / (size(i) * size(j))
+                cells.append((F.col(f"s_{i}") * F.col(f"s_{j}") * r).alias(f"c_{i}_{j}"))
+        return F.struct(F.lit(k).alias("start"), *cells)
+
+    made = made.select(*keys, *(f"m_{i}" for i in range(p)), F.explode(F.array(start(0, ""), start(1, "t"), start(2, "u"))).alias("x"))
+    return made.select(*keys, "x.start", *(f"m_{i}" for i in range(p)), *(f"x.c_{i}_{j}" for i in range(p) for j in range(i + 1)))
+
+
+def _concentrated(rows: DataFrame, found: DataFrame, keys: list[str], p: int, floors: tuple[float, ...], keep: float, consistency: float) -> DataFrame:
+    """One step: (keys, start, n, m_i, c_i_j, k_i_j, logdet) of the share ``keep`` of rows nearest to ``found``."""
+    by, x = [*keys, "start"], [f"x_{i}" for i in range(p)]
+    factors = found.select(*by, *(f"m_{i}" for i in range(p)), *(f"k_{i}_{j}" for i in range(p) for j in range(i + 1)))
+    far = rows.join(factors, keys).select(*by, *x, F.floor(F.log2(_distance(p) + 1e-6) * BINS).cast("int").alias("bin"))
+    counts = materialise(far.groupBy(*by, "bin").agg(F.count("*").alias("n")), "quality-bins")
+    each = Window.partitionBy(*by)
+    upto = each.orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    counts = counts.select(*by, "bin", "n", F.sum("n").over(upto).alias("upto"), F.sum("n").over(each).alias("all"))
+    share = (keep * F.col("all") - (F.col("upto") - F.col("n"))) / F.col("n")  # of the bin with which `keep` is reached
+    limits = counts.where(F.col("upto") >= keep * F.col("all")).groupBy(*by).agg(F.min("bin").alias("limit"), F.min_by(share, "bin").alias("share"), F.max("all").alias("n"))
+    # a row for each group and start: written, it is known to be small and the rows stay where they are
+    near = far.join(materialise(limits, "quality-limits"), by).where("bin <= limit")
+    w = F.when(F.col("bin") < F.col("limit"), 1.0).otherwise(F.col("share"))
+    sums = [F.sum(w).alias("w"), F.first("n").alias("n")]
+    sums += [F.sum(w * F.col(c)).alias(f"a_{i}") for i, c in enumerate(x)]
+    sums += [F.sum(w * F.col(x[i]) * F.col(x[j])).alias(f"s_{i}_{j}") for i in range(p) for j in range(i + 1)]
+    made = near.groupBy(*by).agg(*sums).select(
+        *by, "n", *((F.col(f"a_{i}") / F.col("w")).alias(f"m_{i}") for i in range(p)), *((F.col(f"s_{i}_{j}") / F.col("w")).alias(f"s_{i}_{j}") for i in range(p) for j in range(i + 1))
     )
     cov = [
-        (F.pow(1.4826 * F.col(f"d_{i}"), 2) + floors[i] ** 2 if i == j else F.lit(0.0)).alias(f"c_{i}_{j}")
+        (consistency * (F.col(f"s_{i}_{j}") - F.col(f"m_{i}") * F.col(f"m_{j}")) + (floors[i] ** 2 if i == j else 0.0)).alias(f"c_{i}_{j}")
         for i in range(p)
         for j in range(i + 1)
     ]
-    found = materialise(_with_factor(spread.select(*keys, *(f"m_{i}" for i in range(p)), *cov), keys, p), "quality-start")
-    x = [f"x_{i}" for i in range(p)]
-    for _ in range(steps):
-        near = _nearest(rows.join(found, keys).select(*keys, *x, _distance(p).alias("d2")), keys, keep)
-        found = materialise(_moments(near, keys, p, floors, consistency), "quality-step")
-    return found
+    return materialise(_with_factor(made.select(*by, "n", *(f"m_{i}" for i in range(p)), *cov), p), "quality-step")
 
 
-def _pooled(stats: DataFrame, least: int, enough: int) -> DataFrame:
-    """For each (lang, source) the group that judges it and, in ``into``, all groups that its rows are counted in.
+def robust_estimates(
+    rows: DataFrame, p: int, floors: tuple[float, ...], *, keys: list[str], keep: float = KEEP, consistency: float = CONSISTENCY, trials: int = TRIALS, steps: int = STEPS
+) -> DataFrame:
+    """Minimum-covariance-determinant estimates of ``rows(keys, x_0 ..)``: keys, n, means m_i, covariances c_i_j, k_i_j, logdet.
 
-    A group has ``least`` rows that pass the base rules, or its language's pool does, or else the pool of all judges
-    from ``enough`` rows on. A pool holds the rows of all it covers, those with a group of their own too.
+    ``rows`` is read in every step and must come from a written table; each step's estimates, a row for each group
+    and start, are written too. The driver reads one number after each step.
     """
-    least = max(least, enough)
-    sizes = materialise(stats.groupBy("lang", "source").agg(F.count_if(~base_failed()).alias("n")), "quality-sizes")
-    langs = sizes.groupBy("lang").agg(F.sum("n").alias("pool"), F.min("n").alias("least")).withColumnRenamed("lang", "of")
-    total = sizes.agg(F.sum("n").alias("total")).crossJoin(langs.agg(F.min("pool").alias("least_pool")))
-    sizes = sizes.join(langs, F.col("lang").eqNullSafe(F.col("of"))).crossJoin(F.broadcast(total))
-    name = lambda c: F.coalesce(F.concat(F.lit("="), c), F.lit("-"))
+    found = materialise(_with_factor(_starts(rows, keys, p, floors), p), "quality-start")
+    for _ in range(trials):
+        found = _concentrated(rows, found, keys, p, floors, keep, consistency)
+    best = F.row_number().over(Window.partitionBy(*keys).orderBy("logdet", "start"))
+    found = materialise(found.withColumn("__best", best).where("__best = 1").drop("__best"), "quality-best")
+    for _ in range(steps):
+        ahead = _concentrated(rows, found, keys, p, floors, keep, consistency)
+        before = found.select(*keys, F.col("logdet").alias("before"))
+        fell = ahead.join(before, keys).agg(F.max(F.abs(F.col("logdet") - F.col("before")))).first()[0]
+        found = ahead
+        if fell is None or fell < 1e-4:
+            break
+    return found.drop("start")
+
+
+def _drawn(stats: DataFrame, found: DataFrame, p: int, weight: float) -> DataFrame:
+    """(lang, source, m_i, k_i_j): each estimate drawn to its language's, to that of all rows and to the prior."""
+    groups = stats.select("lang", "source").distinct()
+    cells = [(i, j) for i in range(p) for j in range(i + 1)]
+    m, c = [F.lit(mean) for mean, _ in PRIOR[:p]], [F.lit(PRIOR[i][1] ** 2 if i == j else 0.0) for i, j in cells]
+    for k, (lang, source) in enumerate(((F.lit("*"), F.lit("*")), (_name("lang"), F.lit("*")), (_name("lang"), _name("source")))):
+        level = found.select("g_lang", "g_source", F.struct("n", *(f"m_{i}" for i in range(p)), *(f"c_{i}_{j}" for i, j in cells)).alias(f"e{k}"))
+        groups = groups.join(level, (F.col("g_lang") == lang) & (F.col("g_source") == source), "left").drop("g_lang", "g_source")
+        a = F.coalesce(F.col(f"e{k}.n") / (F.col(f"e{k}.n") + weight), F.lit(0.0))
+        mix = lambda own, above, a=a: a * F.coalesce(own, above) + (1 - a) * above
+        m = [mix(F.col(f"e{k}.m_{i}"), above) for i, above in enumerate(m)]
+        c = [mix(F.col(f"e{k}.c_{i}_{j}"), above) for (i, j), above in zip(cells, c, strict=True)]
+        names = [f"m{k}_{i}" for i in range(p)] + [f"c{k}_{i}_{j}" for i, j in cells]
+        groups = groups.withColumns(dict(zip(names, [*m, *c], strict=True)))
+        m, c = [F.col(n) for n in names[:p]], [F.col(n) for n in names[p:]]
+    made = groups.select("lang", "source", *(x.alias(f"m_{i}") for i, x in enumerate(m)), *(x.alias(f"c_{i}_{j}") for (i, j), x in zip(cells, c, strict=True)))
+    return _with_factor(made, p).drop("logdet", *(f"c_{i}_{j}" for i, j in cells))
+
+
+def _name(c: str) -> Column:
+    """A group's name of a value that may be null; none is that of a pool, ``*``."""
+    return F.coalesce(F.concat(F.lit("="), F.col(c)), F.lit("-"))
+
+
+def _measured(docs: DataFrame, prefix: str) -> DataFrame:
+    """``docs`` with the statistics and, as ``<prefix>x_i``, their vector."""
+    stats = text_statistics(docs, prefix=prefix)
+    return stats.select("*", *(c.alias(f"{prefix}x_{i}") for i, c in enumerate(vector(prefix))))
+
+
+def estimates(measured: DataFrame, prefix: str = "__q_", *, floors: tuple[float, ...] = FLOORS, weight: float = WEIGHT, **options) -> DataFrame:
+    """(lang, source, m_i, k_i_j) for each language and source in the written table ``measured``."""
+    p = len(FLOORS)
+    stats = measured.select(F.col("lang").cast("string").alias("lang"), F.col("source").cast("string").alias("source"), (~base_failed(prefix)).alias("good"), *(F.col(f"{prefix}x_{i}").alias(f"x_{i}") for i in range(p)))
     group = lambda a, b: F.struct(a.alias("g_lang"), b.alias("g_source"))
-    own, lang, every = group(name("lang"), name("source")), group(name("lang"), F.lit("*")), group(F.lit("*"), F.lit("*"))
-    large, pooled = F.col("n") >= least, F.col("pool") >= least
-    level = F.when(large, own).when(pooled, lang).when(F.col("total") >= enough, every)
-    into = F.array_compact(
-        F.array(F.when(large, own), F.when(pooled & (F.col("least") < least), lang), F.when((F.col("least_pool") < least) & (F.col("total") >= enough), every))
-    )
-    return sizes.select("lang", "source", level.alias("g"), into.alias("into")).select("lang", "source", "g.g_lang", "g.g_source", "into")
+    levels = F.array(group(F.lit("*"), F.lit("*")), group(_name("lang"), F.lit("*")), group(_name("lang"), _name("source")))
+    rows = stats.where("good").select(F.explode(levels).alias("g"), *(f"x_{i}" for i in range(p))).select("g.*", *(f"x_{i}" for i in range(p)))
+    found = robust_estimates(rows, p, floors, keys=["g_lang", "g_source"], **options)
+    return materialise(_drawn(stats, found, p, weight), "quality-estimates")
 
 
-def estimate(docs: DataFrame, *, floors: tuple[float, ...] = FLOORS, least: int = LEAST, **options) -> tuple[DataFrame, DataFrame]:
-    """The written statistics of ``docs(doc_id, text, lang, source)`` and (lang, source, means and factors)."""
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), F.col("source").cast("string").alias("source"), "text")
-    stats = text_statistics(own).drop("text")
-    x = vector()
-    stats = materialise(stats.select("*", *(c.alias(f"x_{i}") for i, c in enumerate(x))), "quality-statistics")
-    groups = materialise(_pooled(stats, least, 5 * len(x)), "quality-groups")
-    same = _all([stats[c].eqNullSafe(groups[c]) for c in ("lang", "source")])
-    rows = stats.where(~base_failed()).join(groups, same).select(F.explode("into").alias("g"), *(f"x_{i}" for i in range(len(x))))
-    rows = materialise(rows.select("g.*", *(f"x_{i}" for i in range(len(x)))), "quality-vectors")
-    found = robust_estimates(rows, len(x), floors, keys=["g_lang", "g_source"], **options)
-    return stats, materialise(groups.drop("into").join(found, ["g_lang", "g_source"]).drop("g_lang", "g_source"), "quality-estimates")
-
-
-def _judged(rows: DataFrame, estimates: DataFrame, p: int, cutoff: float) -> DataFrame:
-    """``rows(lang, source, x_i, statistics)`` with ``base_failed``, ``d2`` and ``kept``."""
-    named = estimates.withColumnsRenamed({"lang": "e_lang", "source": "e_source"})
-    same = F.col("lang").eqNullSafe(F.col("e_lang")) & F.col("source").eqNullSafe(F.col("e_source"))
-    rows = rows.join(named, same, "left").withColumn("d2", _distance(p)).withColumn("base_failed", base_failed())
-    return rows.withColumn("kept", ~F.col("base_failed") & ~F.coalesce(F.col("d2") > cutoff, F.lit(False)))
+def _judged(rows: DataFrame, found: DataFrame, prefix: str, cutoff: float) -> DataFrame:
+    """``rows`` (measured) with ``<prefix>d2`` and ``<prefix>kept``."""
+    of = F.struct(F.col("lang").cast("string").alias("lang"), F.col("source").cast("string").alias("source"))
+    named = found.select(F.struct("lang", "source").alias(f"{prefix}of"), F.struct(*(c for c in found.columns if c not in ("lang", "source"))).alias(f"{prefix}e"))
+    rows = rows.withColumn(f"{prefix}key", of)
+    same = F.col(f"{prefix}key.lang").eqNullSafe(F.col(f"{prefix}of.lang")) & F.col(f"{prefix}key.source").eqNullSafe(F.col(f"{prefix}of.source"))
+    d2 = _distance(len(FLOORS), f"{prefix}x_", f"{prefix}e.")
+    rows = rows.join(named, same, "left").withColumn(f"{prefix}d2", d2)
+    return rows.withColumn(f"{prefix}kept", ~base_failed(prefix) & ~F.coalesce(F.col(f"{prefix}d2") > cutoff, F.lit(False)))
 
 
 def judge(docs: DataFrame, *, cutoff: float = CUTOFF, **options) -> DataFrame:
     """(doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, distance2) of every row."""
-    stats, estimates = estimate(docs, **options)
-    return _judged(stats, estimates, len(vector()), cutoff).select(
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", "source", "text")
+    rows = materialise(_measured(own, "__q_").drop("text"), "quality-statistics")
+    rows = _judged(rows, estimates(rows, **options), "__q_", cutoff)
+    return rows.select(
         "doc_id",
         F.col("__q_words").alias("n_words"),
         F.col("__q_word_chars").alias("word_chars"),
         F.col("__q_symbols").alias("n_symbols"),
         F.col("__q_dup_lines").alias("n_dup_lines"),
         F.col("__q_repeat_words").alias("n_repeat_words"),
-        "base_failed",
-        "kept",
-        F.col("d2").alias("distance2"),
+        base_failed().alias("base_failed"),
+        F.col("__q_kept").alias("kept"),
+        F.col("__q_d2").alias("distance2"),
     )
 
 
 def keep_good(docs: DataFrame, *, cutoff: float = CUTOFF, **options) -> DataFrame:
     """``docs``, with all its columns, without the rows that ``judge`` rejects.
 
-    The statistics are computed once for the estimates and once more beside the rows that they judge: that
-    costs a second pass, but no text is shuffled.
+    The rows are written once with their statistics; the estimates read the statistics alone.
     """
-    _, estimates = estimate(docs, **options)
-    named = {"lang": "__lang", "source": "__source"}
-    # the row number keeps the filter below from being moved, with all it computes, under the statistics
-    rows = text_statistics(docs).withColumn("__row", F.monotonically_increasing_id())
-    rows = rows.select("*", *(c.alias(f"__x_{i}") for i, c in enumerate(vector())))
-    key = rows.select("*", F.struct(F.col("lang").cast("string").alias("lang"), F.col("source").cast("string").alias("source")).alias("__key"))
-    e = estimates.select(F.struct(*named).alias("__of"), F.struct(*(c for c in estimates.columns if c not in named)).alias("__e"))
-    rows = key.join(e, F.col("__key.lang").eqNullSafe(F.col("__of.lang")) & F.col("__key.source").eqNullSafe(F.col("__of.source")), "left")
-    far = F.coalesce(_distance(len(vector()), "__x_", "__e.") > cutoff, F.lit(False))
-    return rows.where((F.col("__row") >= 0) & ~base_failed() & ~far).select(*docs.columns)
+    prefix = "__q_"
+    while any(c.lower().startswith(prefix) for c in docs.columns):
+        prefix = f"_{prefix}"
+    rows = materialise(_measured(docs, prefix), "quality-rows")
+    return _judged(rows, estimates(rows, prefix, **options), prefix, cutoff).where(f"{prefix}kept").select(*docs.columns)
 
 
 def op3_quality_rules(spark, sf_dir: str) -> DataFrame:
@@ -263,5 +319,8 @@ def op3_quality_rules(spark, sf_dir: str) -> DataFrame:
 
 
 def stage_quality(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep."""
+    """Documents that the quality rules keep, with all their columns.
+
+    Null and empty texts go, as they fail the base rules; repeated rows are judged alike; an empty table stays empty.
+    """
     return keep_good(docs)
