@@ -112,7 +112,7 @@ def _class_counts(features: DataFrame) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array([counts.tobytes()], pa.binary())], ["sums"])
 
     out = np.zeros((2, (1 << BITS) + 1), np.int64)
-    for r in features.mapInArrow(run, "sums binary").toLocalIterator():
+    for r in features.mapInArrow(run, "sums binary").collect():
         out += np.frombuffer(r["sums"], np.int32).reshape(out.shape)
     return out
 
@@ -136,7 +136,7 @@ def _gradient(features: DataFrame, weights: np.ndarray, intercept: float, cost:
         yield pa.RecordBatch.from_arrays([pa.array([total]), pa.array([slopes.astype(np.float32).tobytes()], pa.binary())], ["loss", "sums"])
 
     loss, out = 0.0, np.zeros((1 << BITS) + 1)
-    for r in features.mapInArrow(run, "loss double, sums binary").toLocalIterator():
+    for r in features.mapInArrow(run, "loss double, sums binary").collect():
         loss += r["loss"]
         out += np.frombuffer(r["sums"], np.float32)
     return loss, out
@@ -159,7 +159,7 @@ def _direction(grad: np.ndarray, pairs: list[tuple[np.ndarray, np.ndarray]]) ->
 
 def fit(docs: DataFrame, labels: DataFrame, *, max_rows: int = 20_000, smoothing: float = 0.5, l2: float = 1e-3, steps: int = 20, memory: int = 5) -> Model:
     """Fit on at most ``max_rows`` labelled rows outside fold 0, by ``steps`` quasi-Newton steps."""
-    features = materialise(_features(labelled(docs, labels, max_rows)), "toxicity-features")
+    features = materialise(_features(labelled(docs, labels, max_rows)), "toxicity-features").coalesce(PARTS)
     counts = _class_counts(features)
     (n_neg, n_pos), (neg, pos) = counts[:, -1], counts[:, :-1]
     if not n_pos or not n_neg:
