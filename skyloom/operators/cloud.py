@@ -114,10 +114,15 @@ def visible(projected: DataFrame, cam: str, u: str, v: str, depth: str, toleranc
 
 
 def weighted_fusion(df: DataFrame, key: str, frame: str, weight: str, values: list[str], least_weight: float, cap: float) -> DataFrame:
-    """Weighted means of each voxel over its frames, with enough weight, the weight capped."""
-    w = F.col(weight)
-    made = df.groupBy(key).agg(F.sum(w).alias("w"), F.countDistinct(frame).alias("frames"), *((F.sum(w * F.col(v)) / F.nullif(F.sum(w), F.lit(0.0))).alias(v) for v in values))
-    return made.where(F.col("w") >= least_weight).withColumn("w", F.least("w", F.lit(cap)))
+    """Weighted means of each voxel over its frames, with enough weight, the weight capped.
+
+    Weights and values count to six decimals: the sums are exact, so their order doesn't show.
+    """
+    exact = lambda c: F.col(c).cast("decimal(12,6)")
+    sums = [F.sum((exact(weight) * exact(v)).cast("decimal(24,12)")).cast("double").alias(v) for v in values]
+    made = df.groupBy(key).agg(F.sum(exact(weight)).alias("w"), F.countDistinct(frame).alias("frames"), *sums).where(F.col("w") >= least_weight)
+    w = F.col("w").cast("double")
+    return made.select(key, F.least(w, F.lit(float(cap))).alias("w"), "frames", *((F.col(v) / F.nullif(w, F.lit(0.0))).alias(v) for v in values))
 
 
 def near_camera(points: DataFrame, cameras: DataFrame, point_id: str, cam_id: str, coords: list[str], clearance: float) -> DataFrame:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
@@ -46,21 +44,6 @@ def first_folder_wins(df: DataFrame, kind: str, order: str) -> DataFrame:
     return windows.last_per_key(df, [kind], [F.col(order)])
 
 
-def gap_sampled(df: DataFrame, keys: list[str], time: str, gap: float, **limits) -> DataFrame:
-    """Rows at least ``gap`` after the one kept before; a segment of a long track starts anew."""
-
-    def kernel(pdf: pd.DataFrame) -> dict:
-        at, kept, last = pdf[time].to_numpy(float), np.zeros(len(pdf), bool), -np.inf
-        own = pdf["__own"].to_numpy(bool)
-        for i in np.flatnonzero(own):
-            if at[i] - last >= gap:
-                kept[i], last = True, at[i]
-        return {"kept": kept}
-
-    made = recurrences._by_segment(df, keys, [time], [], kernel, "kept boolean", **limits)
-    return made.where("kept").drop("kept")
-
-
 def strip_input(df: DataFrame, keys: list[str], time: str, columns: list[str], start: float, end: float) -> DataFrame:
     """A track cut to [start, end] on its own clock, with an interpolated first row at the cut."""
     cut = interp.at_times(df, df.select(*keys).distinct().withColumn(time, F.lit(float(start))), keys, time, columns).drop("interpolated")

@@ -179,13 +179,14 @@ def tile_range_join(spark, sf_dir):
 
 
 @register("weighted_fusion", f"""with o as (select voxel from {P} where class = 'A' and weight > 0.07 group by voxel having count(*) >= 4),
-    f as (select voxel, sum(weight) as w, count(distinct view) as frames, sum(weight * x) / nullif(sum(weight), 0) as x, sum(weight * z) / nullif(sum(weight), 0) as z from {P} where voxel not in (select voxel from o) group by voxel)
-    select voxel, round(least(w, 2), 3) as w, frames, round(x, 3) as x, round(z, 3) as z from f where w >= 0.5 and w >= 0.5""")
+    f as (select voxel, sum(cast(weight as decimal(12, 6))) as w, count(distinct view) as frames, sum(cast(cast(weight as decimal(12, 6)) * cast(x as decimal(12, 6)) as decimal(24, 12))) as x,
+      sum(cast(cast(weight as decimal(12, 6)) * cast(z as decimal(12, 6)) as decimal(24, 12))) as z from {P} where voxel not in (select voxel from o) group by voxel)
+    select voxel, cast(least(w, 2) as double) as w, frames, cast(x as double) / cast(w as double) as x, cast(z as double) / cast(w as double) as z from f where w >= 0.5""")
 def weighted_fusion(spark, sf_dir):
-    """Weighted fusion outside zone 1."""
+    """Weighted fusion outside zone 1; sums are decimals, so that no order of rows shows."""
     p = points(spark, sf_dir)
     zone1 = p.where("class = 'A' and weight > 0.07").groupBy("voxel").agg(F.count("*").alias("n")).where("n >= 4").select("voxel")
-    return rounded(cloud.weighted_fusion(p.join(zone1, "voxel", "left_anti"), "voxel", "view", "weight", ["x", "z"], 0.5, 2.0), 3)
+    return cloud.weighted_fusion(p.join(zone1, "voxel", "left_anti"), "voxel", "view", "weight", ["x", "z"], 0.5, 2.0)
 
 
 @register("error_stats_by_group", f"""with d as (select unnest([class, source, case when class = 'A' and source = 'F' then 'AF' end, 'all']) as grp, z - 35 as d from {P}), e as (select * from d where grp is not null),

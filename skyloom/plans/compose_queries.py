@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from skyloom.functions import scalar as S
-from skyloom.operators import compose
+from skyloom.operators import compose, recurrences
 from skyloom.plans.catalog import register
 from skyloom.plans.tables import POINTS_SQL, TELEMETRY_SQL, points, rounded, table, telemetry
 
@@ -53,10 +53,11 @@ def strip_input(spark, sf_dir):
     return rounded(compose.strip_input(rows, ["track"], "t", ["value"], 500000.0, 900000.0))
 
 
-@register("gap_samples")
+@register("gap_samples", f"""with recursive p as (select distinct track, t from {T}), k as (select track, min(t) as t from p group by track
+      union all select k.track, min(p.t) from k join p on p.track = k.track and p.t >= k.t + 43200 group by k.track) select track, t from k""")
 def gap_samples(spark, sf_dir):
     """Samples at least half a day apart on each track."""
-    return compose.gap_sampled(telemetry(spark, sf_dir).select("track", "t").distinct(), ["track"], "t", 43200.0)
+    return recurrences.gap_sampled(telemetry(spark, sf_dir).select("track", "t").distinct(), ["track"], "t", 43200.0)
 
 
 @register("utm_round_trip", f"""select event_id, round(lon, 7) as lon, round(lat, 7) as lat from {T}""")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from skyloom.operators import recurrences, stats
 from skyloom.plans.catalog import register
-from skyloom.plans.tables import FRAMES_SQL, POINTS_SQL, frames, points, rounded, telemetry
+from skyloom.plans.tables import FRAMES_SQL, POINTS_SQL, TELEMETRY_SQL, frames, points, rounded, telemetry
 
 
 def _track(spark, sf_dir):
@@ -14,19 +14,53 @@ def _track(spark, sf_dir):
     return rows.groupBy("track", "t").agg(F.avg("value").alias("x"), F.avg(F.col("lat") * 1000).alias("y"), F.avg("yaw").alias("z"))
 
 
-@register("envelope_fold")
+_TRACK_SQL = f"""(select *, row_number() over (partition by track order by t) as i from
+    (select track, t, avg(value) as x, avg(lat * 1000) as y, avg(yaw) as z from {TELEMETRY_SQL} group by track, t))"""
+
+_ENVELOPE_SQL = f"""with recursive p as {_TRACK_SQL},
+    s as (select track, i, t, false as outlier, t as rt, x as rx, y as ry, z as rz, cast(null as double) as vx, cast(null as double) as vy, cast(null as double) as vz, cast(null as double) as since from p where i = 1
+      union all select track, i, t, far or turned, case when moves then t else rt end, case when moves then x else rx end, case when moves then y else ry end, case when moves then z else rz end,
+        case when moves then (x - rx) / dt else vx end, case when moves then (y - ry) / dt else vy end, case when moves then (z - rz) / dt else vz end, case when moves then t else since end from
+      (select *, not far and not turned and dt >= 0.5 as moves from
+       (select *, not far and dt >= 0.5 and since is not null and sqrt(((x - rx) / dt - vx) ** 2 + ((y - ry) / dt - vy) ** 2 + ((z - rz) / dt - vz) ** 2) * dt > 0.001 * greatest(t - since, 0.5) * dt + 0.4 as turned from
+        (select *, dt <= 0 or sqrt((x - rx) ** 2 + (y - ry) ** 2 + (z - rz) ** 2) > 0.01 * dt + 0.2 as far from
+         (select p.*, p.t - s.rt as dt, s.rt, s.rx, s.ry, s.rz, s.vx, s.vy, s.vz, s.since from s join p on p.track = s.track and p.i = s.i + 1)))))
+    select track, t, outlier from s"""
+
+
+@register("envelope_fold", _ENVELOPE_SQL)
 def envelope_fold(spark, sf_dir):
     """Fixes beyond the motion envelope of the last accepted one."""
     return recurrences.envelope_outliers(_track(spark, sf_dir), ["track"], "t", ["x", "y", "z"], 0.01, 0.001)
 
 
-@register("kalman_rts")
+_KALMAN_SQL = f"""with recursive p as {_TRACK_SQL}, n as (select track, count(*) as n from p group by track),
+    a as (select track, i, t, unnest(['x', 'y', 'z']) as axis, unnest([x, y, z]) as m, unnest([50.0e0, 50.0e0, 80.0e0]) as r from p),
+    v as (select y.track, y.axis, (y.m - x.m) / (y.t - x.t) as v from a x join a y on x.track = y.track and x.axis = y.axis and x.i = 1 and y.i = 2),
+    f as (select a.track, a.axis, 1::bigint as i, a.t, m as px, coalesce(v, 0) as pv, 100.0e0 as pa, 0.0e0 as pb, 25.0e0 as pc,
+        m as ux, coalesce(v, 0) as uv, 100 - 1e4 / (100 + r * r) as ua, 0.0e0 as ub, 25.0e0 as uc, 0.0e0 as dt from a left join v using (track, axis) where a.i = 1
+      union all select track, axis, i, t, px, pv, pa, pb, pc, px + pa * g * (m - px), pv + pb * g * (m - px), pa - pa * pa * g, pb - pa * pb * g, pc - pb * pb * g, dt from
+      (select *, 1 / (pa + r * r) as g from
+       (select a.track, a.axis, a.i, a.t, a.m, a.r, a.t - f.t as dt, ux + (a.t - f.t) * uv as px, uv as pv, ua + (a.t - f.t) * (2 * ub + (a.t - f.t) * uc) + 1e-12 * (a.t - f.t) ** 4 / 4 as pa,
+          ub + (a.t - f.t) * uc + 1e-12 * (a.t - f.t) ** 3 / 2 as pb, uc + 1e-12 * (a.t - f.t) ** 2 as pc from f join a on a.track = f.track and a.axis = f.axis and a.i = f.i + 1))),
+    b as (select f.track, axis, i, t, ux as x, uv as v from f join n on n.track = f.track and n.n = f.i
+      union all select track, axis, i, t, ux + (ua + dt * ub) * (pc * dx - pb * dv) / (pa * pc - pb * pb) + ub * (pa * dv - pb * dx) / (pa * pc - pb * pb),
+        uv + (ub + dt * uc) * (pc * dx - pb * dv) / (pa * pc - pb * pb) + uc * (pa * dv - pb * dx) / (pa * pc - pb * pb) from
+      (select f.track, f.axis, f.i, f.t, f.ux, f.uv, f.ua, f.ub, f.uc, q.dt, q.pa, q.pb, q.pc, b.x - q.px as dx, b.v - q.pv as dv
+       from b join f q on q.track = b.track and q.axis = b.axis and q.i = b.i join f on f.track = b.track and f.axis = b.axis and f.i = b.i - 1))
+    select track, t, round(max(x) filter (axis = 'x'), 4) as s_x, round(max(x) filter (axis = 'y'), 4) as s_y, round(max(x) filter (axis = 'z'), 4) as s_z from b group by track, t"""
+
+
+@register("kalman_rts", _KALMAN_SQL)
 def kalman_rts(spark, sf_dir):
     """Smoothed tracks."""
-    return rounded(recurrences.kalman_smooth(_track(spark, sf_dir), ["track"], "t", ["x", "y", "z"], 1e-6, [50.0, 50.0, 80.0]))
+    return rounded(recurrences.kalman_smooth(_track(spark, sf_dir), ["track"], "t", ["x", "y", "z"], 1e-6, [50.0, 50.0, 80.0]), 4)
 
 
-@register("complementary_filter")
+@register("complementary_filter", f"""with recursive p as {_TRACK_SQL}, d as (select track, median(x - z) as datum, count(*) as n from p group by track),
+    s as (select p.track, i, t, z, z + datum as e from p join d using (track) where i = 1
+      union all select p.track, p.i, p.t, p.z, 0.98 * (s.e + p.z - s.z) + (1 - 0.98) * p.x from s join p on p.track = s.track and p.i = s.i + 1)
+    select p.track, p.t, round(case when n < 3 then x else e end, 6) as altitude from p join d using (track) join s on s.track = p.track and s.i = p.i""")
 def complementary_filter(spark, sf_dir):
     """Fused altitude of each track."""
     return rounded(recurrences.fuse_altitude(_track(spark, sf_dir), ["track"], "t", "x", "z", 0.98))
@@ -54,7 +88,13 @@ def phase_shift(spark, sf_dir):
     return rounded(recurrences.phase_shift(p, "class", "row", "col", "a", "b"), 5)
 
 
-@register("frame_selection")
+@register("frame_selection", f"""with recursive p as (select video, frame, sum(overlap * 0.2) over (partition by video order by frame) as m, sharpness * case when status = 'F' then 1.15 else 1 end as s,
+      row_number() over (partition by video order by frame) as i from {FRAMES_SQL}),
+    k as (select video, i, m, cast(null as double) as overlap from p where i = 1
+      union all select video, i, m, greatest(0, 1 - (m - last)) from
+      (select *, row_number() over (partition by video order by s desc, i) as first from
+       (select p.video, p.i, p.m, p.s, k.m as last, min(p.i) filter (p.m > k.m + 1 - 0.7) over (partition by p.video) as reach from k join p on p.video = k.video and p.i > k.i) where i between reach - 2 and reach) where first = 1)
+    select p.video, p.frame, k.i is not null as selected, round(k.overlap, 6) as overlap from p left join k on k.video = p.video and k.i = p.i""")
 def frame_selection(spark, sf_dir):
     """Overlap-targeted frames of each series."""
     from pyspark.sql.window import Window
@@ -64,7 +104,12 @@ def frame_selection(spark, sf_dir):
     return rounded(recurrences.select_frames(rows, ["video"], "frame", "travel", "sharpness", "key"))
 
 
-@register("exposure_chain")
+@register("exposure_chain", f"""with recursive p as (select video, frame, 0.9 + overlap / 5 as g, overlap - 0.5 as b, status <> 'P' as ok, row_number() over (partition by video order by frame) as i from {FRAMES_SQL}),
+    s as (select video, frame, i, 0.0e0 as lg, 0.0e0 as cb, false as clamped, false as bias_clamped, false as rejected from p where i = 1
+      union all select video, frame, i, least(greatest(asked, ln(0.5)), ln(2)), least(greatest(want, -40), 40), asked not between ln(0.5) and ln(2), want not between -40 and 40, not good from
+      (select *, 0.98 * (lg + case when good then ln(g) else 0 end) as asked, 0.98 * (exp(lg) * case when good then b else 0 end + cb) as want from
+       (select p.video, p.frame, p.i, p.g, p.b, p.ok and p.g between 0.5 and 2 as good, s.lg, s.cb from s join p on p.video = s.video and p.i = s.i + 1)))
+    select video, frame, round(exp(lg), 6) as chain_gain, round(cb, 6) as chain_bias, clamped, bias_clamped, rejected from s""")
 def exposure_chain(spark, sf_dir):
     """Exposure links composed along each series."""
     rows = frames(spark, sf_dir).select("video", "frame", (0.9 + F.col("overlap") / 5).alias("gain"), (F.col("overlap") - 0.5).alias("bias"), (F.col("status") != "P").alias("ok"))

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from skyloom.functions import scalar as S
-from skyloom.operators import checks, compose, images, render
+from skyloom.operators import checks, compose, images, recurrences, render
 
 
 def test_ortho_takes_the_highest_surface(spark):
@@ -74,5 +74,5 @@ def test_fallbacks_and_history(spark, tmp_path):
 
 def test_samples_keep_their_gap(spark):
     df = spark.range(100).selectExpr("1 as k", "id * 0.3D as t")
-    t = [r.t for r in compose.gap_sampled(df, ["k"], "t", 1.0).orderBy("t").collect()]
+    t = [r.t for r in recurrences.gap_sampled(df, ["k"], "t", 1.0).orderBy("t").collect()]
     assert min(np.diff(t)) >= 1.0 and len(t) == 25
