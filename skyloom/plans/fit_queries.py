@@ -48,13 +48,13 @@ _KALMAN_SQL = f"""with recursive p as {_TRACK_SQL}, n as (select track, count(*)
         uv + (ub + dt * uc) * (pc * dx - pb * dv) / (pa * pc - pb * pb) + uc * (pa * dv - pb * dx) / (pa * pc - pb * pb) from
       (select f.track, f.axis, f.i, f.t, f.ux, f.uv, f.ua, f.ub, f.uc, q.dt, q.pa, q.pb, q.pc, b.x - q.px as dx, b.v - q.pv as dv
        from b join f q on q.track = b.track and q.axis = b.axis and q.i = b.i join f on f.track = b.track and f.axis = b.axis and f.i = b.i - 1))
-    select track, t, round(max(x) filter (axis = 'x'), 4) as s_x, round(max(x) filter (axis = 'y'), 4) as s_y, round(max(x) filter (axis = 'z'), 4) as s_z from b group by track, t"""
+    select track, round(t, 2) as t, round(max(x) filter (axis = 'x'), 2) as s_x, round(max(x) filter (axis = 'y'), 2) as s_y, round(max(x) filter (axis = 'z'), 2) as s_z from b group by track, t"""
 
 
 @register("kalman_rts", _KALMAN_SQL)
 def kalman_rts(spark, sf_dir):
     """Smoothed tracks."""
-    return rounded(recurrences.kalman_smooth(_track(spark, sf_dir), ["track"], "t", ["x", "y", "z"], 1e-6, [50.0, 50.0, 80.0]), 4)
+    return rounded(recurrences.kalman_smooth(_track(spark, sf_dir), ["track"], "t", ["x", "y", "z"], 1e-6, [50.0, 50.0, 80.0]), 2)
 
 
 @register("complementary_filter", f"""with recursive p as {_TRACK_SQL}, d as (select track, median(x - z) as datum, count(*) as n from p group by track),
