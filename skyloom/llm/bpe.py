@@ -1,27 +1,26 @@
 """Byte-level BPE over distinct words (operator 8).
 
-Pre-tokens are taken with their positions; each distinct word is encoded once and its ids are joined back.
-A frequent word stands in nearly every text, so what is shuffled is not each place of a word but, for each
-block of texts, its distinct words: a block keeps its texts as lists of word numbers (the positions) and sends
-its words, in messages by word hash, to the tasks that encode them; each such task encodes a word when it
-first meets it, whatever the number of blocks that hold it, and answers every block. Ids and positions meet
-again by block, and each text's ids are put together in order. Decoding joins ids with the vocabulary's
-token-byte table, whose size is fixed.
-
-A block holds at most ``BLOCK_ROWS`` texts and about ``BLOCK_CHARS`` characters (more only if one text is
-longer), which bounds every group. Texts and messages cross the first shuffle together, so texts are cut into
-words once; a lost task is computed anew from the scan, whose rows come in the same order again (``docs``
-must be a scan or a written table).
-
-Edge cases: a null or empty text has no ids; a null id stays null; repeated rows are encoded each; an empty
-table gives no rows; other columns are ignored; special-token strings are ordinary text.
+Texts are cut into pre-tokens with their positions; each distinct word of all texts is encoded once and its ids are
+joined back. A frequent word stands in nearly every text, so what is shuffled is not a row for each place of a word
+but one for each block of texts that holds it: a block keeps its texts as lists of word numbers (the positions) and
+has a row for each of its distinct words. These rows are joined with the table of distinct words and their ids; by
+block the ids come back to the positions and each text's ids are put together in order. Decoding joins ids with the
+vocabulary's token-byte table: the ids of the distinct words, before they are joined back, so that a text's bytes are
+put together like its ids.
+
+Blocks are written once, bucketed by block, so that texts are cut once and never shuffled. A block holds at most
+``BLOCK_ROWS`` texts and about ``BLOCK_CHARS`` characters (more only if one text is longer), which bounds every
+group; the number of buckets grows with the rows. No task keeps words from one batch to the next.
+
+Edge cases: a null or empty text has no ids; a null id stays null; repeated rows are encoded each; an empty table
+gives no rows; other columns are ignored; special-token strings are ordinary text.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
-import zlib
+import uuid
 from collections.abc import Iterator
 from functools import cache
 
@@ -32,18 +31,21 @@ import regex
 import tiktoken
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skyloom.session import shared_dir
+
 BLOCK_ROWS = 8192
 BLOCK_CHARS = 16_000_000
-#: Messages of a block, at least; as many as shuffle partitions if those are more.
-PARTS = 64
+#: Buckets at most, the limit of Spark's own setting.
+BUCKETS = 100_000
 LEVEL = 7
 
-BLOCKS = "block long, part int, a binary, b binary, c binary, doc_ids array<long>, sizes array<int>"
-_BLOCK_NAMES = ["block", "part", "a", "b", "c", "doc_ids", "sizes"]
-_BLOCK_KINDS = [pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int32())]
+#: A text row (number -1) or the row of a word of a block.
+BLOCKS = "block long, number int, word binary, places binary, doc_ids array<long>, sizes array<int>"
+_BLOCK_NAMES = ["block", "number", "word", "places", "doc_ids", "sizes"]
+_BLOCK_KINDS = [pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int32())]
 
 
 @cache
@@ -52,6 +54,21 @@ def ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
 
 
+@cache
+def _encoder(path: str) -> tiktoken.Encoding:
+    return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks(path), special_tokens={})
+
+
+def vocabulary(spark: SparkSession, path: str) -> DataFrame:
+    """(id, token): the token-byte table of a rank file, whose size does not depend on the input."""
+
+    def run(_) -> Iterator[pa.RecordBatch]:
+        table = ranks(path)
+        yield pa.RecordBatch.from_arrays([pa.array(list(table.values()), pa.int32()), pa.array(list(table), pa.binary())], ["id", "token"])
+
+    return spark.range(1, numPartitions=1).mapInArrow(run, "id int, token binary")
+
+
 def _press(x: np.ndarray) -> bytes:
     """Compressed 32-bit numbers, their bytes in planes."""
     planes = np.ascontiguousarray(x, "<u4").view(np.uint8).reshape(-1, 4).T
@@ -63,11 +80,6 @@ def _numbers(b: bytes) -> np.ndarray:
     return np.ascontiguousarray(raw.reshape(4, -1).T).view("<u4").ravel()
 
 
-def _words(lengths: np.ndarray, blob: bytes) -> list[bytes]:
-    ends = np.cumsum(lengths).tolist()
-    return [blob[a:b] for a, b in zip([0, *ends], ends, strict=False)]
-
-
 class _Block:
     """Texts as lists of numbers of words."""
 
@@ -79,35 +91,28 @@ class _Block:
 
     def add(self, doc_id: int | None, text: str, find) -> None:
         words, known = find(text), self.known
-        self.texts.append(np.fromiter((known.setdefault(w, len(known)) for w in words), np.int64, len(words)))
+        self.texts.append(np.fromiter((known.setdefault(w, len(known)) for w in words), np.int32, len(words)))
         self.doc_ids.append(doc_id)
         self.chars += len(text)
 
-    def rows(self, block: int, parts: int) -> Iterator[tuple]:
-        """The texts (part -1) and a message of words for each part; frequent words get small numbers."""
+    def batches(self, block: int) -> Iterator[pa.RecordBatch]:
+        """The texts' row, then the words' rows; frequent words get small numbers."""
         places = np.concatenate(self.texts)
         words = [w.encode() for w in self.known]
-        counts = np.bincount(places, minlength=len(words)).tolist()
-        # of equal counts in order of bytes, in which neighbours share beginnings and compress well
-        order = sorted(range(len(words)), key=lambda i: (-counts[i], words[i]))
-        words = [words[i] for i in order]
+        order = np.argsort(-np.bincount(places, minlength=len(words)), kind="stable")
         number = np.empty(len(words), np.int64)
         number[order] = np.arange(len(words))
-        yield block, -1, _press(number[places]), None, None, self.doc_ids, [len(t) for t in self.texts]
-        part = np.array([zlib.crc32(w) % parts for w in words], np.int64)
-        for k in np.unique(part):
-            mine = np.flatnonzero(part == k)
-            held = [words[i] for i in mine.tolist()]
-            blob = zstandard.ZstdCompressor(level=LEVEL).compress(b"".join(held))
-            yield block, int(k), _press(np.diff(mine, prepend=0)), _press(np.array([len(w) for w in held])), blob, None, None
-
+        sizes = [len(t) for t in self.texts]
+        row = [[block], [-1], [None], [_press(number[places])], [self.doc_ids], [sizes]]
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(row, _BLOCK_KINDS, strict=True)], _BLOCK_NAMES)
+        for at in range(0, len(words), 10_000):
+            part = order[at : at + 10_000].tolist()
+            n = len(part)
+            columns = [pa.array(np.full(n, block)), pa.array(np.arange(at, at + n, dtype=np.int32)), pa.array([words[i] for i in part], pa.binary())]
+            yield pa.RecordBatch.from_arrays([*columns, *(pa.nulls(n, k) for k in _BLOCK_KINDS[3:])], _BLOCK_NAMES)
 
-def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    columns = zip(*rows, strict=True)
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, _BLOCK_KINDS, strict=True)], _BLOCK_NAMES)
 
-
-def blocks(docs: DataFrame, parts: int, pattern: str = public_tokenizers.PATTERN) -> DataFrame:
+def blocks(docs: DataFrame, pattern: str = public_tokenizers.PATTERN) -> DataFrame:
     """``BLOCKS``: the texts of ``docs(doc_id, text)`` in blocks, and the distinct words of each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -119,117 +124,114 @@ def blocks(docs: DataFrame, parts: int, pattern: str = public_tokenizers.PATTERN
                 for doc_id, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
                     block.add(doc_id, text or "", find)
                     if len(block.texts) >= BLOCK_ROWS or block.chars >= BLOCK_CHARS:
-                        yield _batch(list(block.rows(n, parts)))
+                        yield from block.batches(n)
                         block, n = _Block(), n + 1
         if block.texts:
-            yield _batch(list(block.rows(n, parts)))
+            yield from block.batches(n)
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, BLOCKS)
 
 
-def encode_words(cut: DataFrame, path: str, parts: int) -> DataFrame:
-    """``BLOCKS`` with the ids of each message's words in place of the words; texts pass unchanged.
+def _bucketed(df: DataFrame, column: str, parts: int, label: str) -> DataFrame:
+    """``df`` written in the shared folder as a table in ``parts`` buckets by ``column``."""
+    spark = df.sparkSession
+    name = f"{label}_{uuid.uuid4().hex}"
+    df.write.format("parquet").option("path", f"{shared_dir(spark)}/{name}").option("compression", "zstd").bucketBy(parts, column).saveAsTable(name)
+    return spark.table(name)
+
 
-    One shuffle, of messages by word hash, so that a word is encoded once, and of texts by block.
-    """
+def encode_words(words: DataFrame, path: str) -> DataFrame:
+    """(word, ids) of the distinct words in ``words(word)``, each encoded once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks(path), special_tokens={})
-        known: dict[bytes, list[int]] = {}
+        bpe = _encoder(path)
         for batch in batches:
-            for k in range(batch.num_rows):
-                one = batch.slice(k, 1)
-                row = one.to_pylist()[0]
-                if row["part"] < 0:
-                    yield one
-                    continue
-                ids = []
-                for w in _words(_numbers(row["b"]), zstandard.ZstdDecompressor().decompress(row["c"])):
-                    if (x := known.get(w)) is None:
-                        x = known[w] = bpe.encode_ordinary(w.decode())
-                    ids.append(x)
-                lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-                flat = np.fromiter((i for x in ids for i in x), np.int64, int(lengths.sum()))
-                yield _batch([(row["block"], row["part"], row["a"], _press(lengths), _press(flat), None, None)])
-
-    to = F.when(F.col("part") < 0, F.col("block")).otherwise(F.col("part").cast("long"))
-    return cut.repartition(parts, to).mapInArrow(run, BLOCKS)
-
-
-def _assemble(block: pa.Table) -> pa.Table:
-    """(doc_id, ids) of a block: the ids of its words at the places of its texts."""
-    rows = block.to_pylist()
-    number, lengths, flat, texts = [], [], [], None
-    for row in rows:
-        if row["part"] < 0:
-            texts = row
-        else:
-            number.append(np.cumsum(_numbers(row["a"]), dtype=np.int64))
-            lengths.append(_numbers(row["b"]))
-            flat.append(_numbers(row["c"]))
-    out = []
-    if number:
-        number, lengths, flat = (np.concatenate(x).astype(np.int64) for x in (number, lengths, flat))
-        start, count = np.empty(len(number), np.int64), np.empty(len(number), np.int64)
-        start[number] = np.cumsum(lengths) - lengths
-        count[number] = lengths
-        places = _numbers(texts["a"]).astype(np.int64)
-    at = 0
-    for size in texts["sizes"]:
-        if not size:
-            out.append(np.zeros(0, np.int32))
-            continue
-        here = places[at : at + size]
-        n = count[here]
+            ids = [bpe.encode_ordinary(w.decode()) for w in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32()))], ["word", "ids"])
+
+    return words.select("word").distinct().mapInArrow(run, "word binary, ids array<int>")
+
+
+def decode_ids(rows: DataFrame, key: str, path: str) -> DataFrame:
+    """(key, ids, bytes) of ``rows(key, ids)``: each id joined with its token's bytes, in order. Keys must be distinct."""
+    tokens = F.broadcast(vocabulary(rows.sparkSession, path))
+    each = rows.select(key, F.posexplode("ids").alias("pos", "id")).join(tokens, "id")
+    one = each.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("pos", "id", F.hex("token").alias("x")))).alias("t"))
+    return one.select(key, F.col("t.id").alias("ids"), F.unhex(F.array_join("t.x", "")).alias("bytes"))
+
+
+def _gather(lists: pa.Array, number: np.ndarray):
+    """A function from word numbers to the joined entries of their lists (of ids or bytes)."""
+    offsets = np.asarray(lists.offsets if pa.types.is_list(lists.type) else np.frombuffer(lists.buffers()[1], np.int32)[lists.offset : lists.offset + len(lists) + 1], np.int64)
+    if pa.types.is_list(lists.type):
+        flat = lists.values.to_numpy(zero_copy_only=False)
+    else:
+        flat = np.frombuffer(lists.buffers()[2] or b"", np.uint8)
+    start, count = np.zeros(len(number), np.int64), np.zeros(len(number), np.int64)
+    start[number], count[number] = offsets[:-1], np.diff(offsets)
+
+    def take(words: np.ndarray) -> np.ndarray:
+        n = count[words]
         ends = np.cumsum(n)
-        out.append(flat[np.repeat(start[here] - (ends - n), n) + np.arange(ends[-1])].astype(np.int32))
-        at += size
-    offsets = np.append(0, np.cumsum([len(x) for x in out])).astype(np.int32)
-    ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(out)))
-    return pa.table([pa.array(texts["doc_ids"], pa.int64()), ids], ["doc_id", "ids"])
+        return flat[np.repeat(start[words] - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)]
 
+    return take
 
-def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """(doc_id, ids array<int>) of every whole text of ``docs(doc_id, text)``."""
-    path = path or public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    parts = max(PARTS, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    answered = encode_words(blocks(docs, parts), path, parts)
-    return answered.groupBy("block").applyInArrow(_assemble, "doc_id long, ids array<int>")
 
+def _texts(block: pa.Table) -> Iterator[tuple]:
+    """(doc_id, ids, bytes) of each text of a block; the block's words come with it as a list."""
+    for row in range(block.num_rows):
+        words = block.column("words").combine_chunks()[row].values
+        places = _numbers(block.column("places")[row].as_py()).astype(np.int64)
+        if words is not None and len(words):
+            number = words.field("number").to_numpy(zero_copy_only=False)
+            ids, raw = _gather(words.field("ids"), number), _gather(words.field("bytes"), number)
+        at = 0
+        for doc_id, size in zip(block.column("doc_ids")[row].as_py(), block.column("sizes")[row].as_py(), strict=True):
+            here = places[at : at + size]
+            at += size
+            yield (doc_id, ids(here), raw(here).tobytes()) if size else (doc_id, np.zeros(0, np.int32), b"")
 
-def _with_bytes(ids: DataFrame, path: str, column, schema: str) -> DataFrame:
-    """Join ids with the token-byte table and give each row's decoded bytes to ``column(ids, bytes)``."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = [b""] * (max(ranks(path).values()) + 1)
-        for token, i in ranks(path).items():
-            table[i] = token
-        for batch in batches:
-            lists = batch.column(1)
-            rows = []
-            for k in range(batch.num_rows):
-                x = lists[k].values
-                x = np.zeros(0, np.int32) if x is None else x.to_numpy(zero_copy_only=False)
-                rows.append(column(x, b"".join([table[i] for i in x.tolist()])))
-            columns = [pa.array(c) for c in zip(*rows, strict=True)] if rows else []
-            if rows:
-                yield pa.RecordBatch.from_arrays([batch.column(0), *columns], [f.split()[0] for f in schema.split(", ")])
+def _by_block(docs: DataFrame, path: str, column, schema: str) -> DataFrame:
+    """``column(doc_id, ids, bytes)`` of each text of ``docs``, as rows of ``schema``."""
+    spark = docs.sparkSession
+    wanted = max(int(spark.conf.get("spark.sql.shuffle.partitions")), docs.count() // BLOCK_ROWS + 1)
+    cut = _bucketed(blocks(docs), "block", min(wanted, BUCKETS), "bpe_blocks")
+    rows = cut.where("number >= 0").select("block", "number", "word")
+    found = decode_ids(encode_words(rows, path), "word", path)
+    words = rows.join(found, "word").groupBy("block").agg(F.collect_list(F.struct("number", "ids", "bytes")).alias("words"))
+    texts = cut.where("number < 0").select("block", "places", "doc_ids", "sizes").join(words, "block", "left")
+    fields = pa.schema([(f.split()[0], {"long": pa.int64(), "string": pa.string(), "binary": pa.binary()}.get(f.split()[1], pa.list_(pa.int32()))) for f in schema.split(", ")])
+
+    def run(block: pa.Table) -> pa.Table:
+        made = [column(*t) for t in _texts(block)]
+        columns = zip(*made, strict=True) if made else [[] for _ in fields]
+        return pa.table([pa.array(c, f.type) for c, f in zip(columns, fields, strict=True)], schema=fields)
+
+    return texts.groupBy("block").applyInArrow(run, schema)
 
-    return ids.select("doc_id", "ids").mapInArrow(run, schema)
+
+def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
+    """(doc_id, ids array<int>, bytes binary) of every whole text of ``docs(doc_id, text)``: its ids and what they decode to."""
+    path = path or public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return _by_block(docs, path, lambda d, x, b: (d, x, b), "doc_id long, ids array<int>, bytes binary")
 
 
-def decode(ids: DataFrame, path: str | None = None) -> DataFrame:
-    """(doc_id, bytes binary) of ``ids(doc_id, ids array<int>)``."""
+def decode(rows: DataFrame, path: str | None = None) -> DataFrame:
+    """(doc_id, bytes) of ``rows(doc_id, ids)``; ids that are empty or null give no bytes, ids without a token are left out."""
     path = path or public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    return _with_bytes(ids, path, lambda x, b: (b,), "doc_id long, bytes binary")
+    keyed = rows.select(F.struct(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id")).alias("k"), F.coalesce("ids", F.array().cast("array<int>")).alias("ids"))
+    found = decode_ids(keyed.where(F.size("ids") > 0), "k", path).select(F.col("k.doc_id").alias("doc_id"), "bytes")
+    return found.unionByName(keyed.where(F.size("ids") == 0).select(F.col("k.doc_id").alias("doc_id"), F.lit(b"").alias("bytes")))
 
 
 def op8_bpe(spark, sf_dir: str) -> DataFrame:
     """Digests of the ids of all documents and of what they decode to."""
     sha = lambda b: hashlib.sha256(b).hexdigest()
-    return _with_bytes(
-        encode(spark.read.parquet(f"{sf_dir}/documents.parquet")),
+    return _by_block(
+        spark.read.parquet(f"{sf_dir}/documents.parquet"),
         public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
-        lambda x, b: (len(x), sha(np.ascontiguousarray(x, "<u4").tobytes()), sha(b)),
+        lambda d, x, b: (d, len(x), sha(np.ascontiguousarray(x, "<u4").tobytes()), sha(b)),
         "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string",
     )
