@@ -141,6 +141,11 @@ def _distance(p: int, x: str = "x_", e: str = "") -> Column:
     return sum((F.pow(r, 2) for r in rows), F.lit(0.0))
 
 
+def _small(groups: DataFrame, label: str) -> DataFrame:
+    """A row for each group (and start), written as one file: it is read as the small table it is, and joined as one."""
+    return materialise(groups.repartition(1), label)
+
+
 def _quartiles(rows: DataFrame, keys: list[str], p: int, floors: tuple[float, ...]) -> DataFrame:
     """(keys, m_i, s_i): medians and floored deviations from quartiles, to a bin of 1 / UNIT_BINS."""
     bins = F.array(*(F.floor(F.col(f"x_{i}") * UNIT_BINS).cast("int") for i in range(p)))
@@ -160,7 +165,7 @@ def _quartiles(rows: DataFrame, keys: list[str], p: int, floors: tuple[float, ..
 
 def _starts(rows: DataFrame, keys: list[str], p: int, floors: tuple[float, ...]) -> DataFrame:
     """(keys, start, m_i, c_i_j): the quartiles' scales with no correlations (0), those of squashed values (1), of directions (2)."""
-    scales = materialise(_quartiles(rows, keys, p, floors), "quality-quartiles")
+    scales = _small(_quartiles(rows, keys, p, floors), "quality-quartiles")
     z = [(F.col(f"x_{i}") - F.col(f"m_{i}")) / F.col(f"s_{i}") for i in range(p)]
     length = F.sqrt(sum((F.pow(c, 2) for c in z), F.lit(1e-12)))
     rows = rows.join(scales, keys).select(*keys, *(F.tanh(c).alias(f"t_{i}") for i, c in enumerate(z)), *((c / length).alias(f"u_{i}") for i, c in enumerate(z)))
@@ -192,7 +197,7 @@ def _concentrated(rows: DataFrame, found: DataFrame, keys: list[str], p: int, fl
     share = (keep * F.col("all") - (F.col("upto") - F.col("n"))) / F.col("n")  # of the bin with which `keep` is reached
     limits = counts.where(F.col("upto") >= keep * F.col("all")).groupBy(*by).agg(F.min("bin").alias("limit"), F.min_by(share, "bin").alias("share"), F.max("all").alias("n"))
     # a row for each group and start: written, it is known to be small and the rows stay where they are
-    near = far.join(materialise(limits, "quality-limits"), by).where("bin <= limit")
+    near = far.join(_small(limits, "quality-limits"), by).where("bin <= limit")
     w = F.when(F.col("bin") < F.col("limit"), 1.0).otherwise(F.col("share"))
     sums = [F.sum(w).alias("w"), F.first("n").alias("n")]
     sums += [F.sum(w * F.col(c)).alias(f"a_{i}") for i, c in enumerate(x)]
@@ -205,7 +210,7 @@ def _concentrated(rows: DataFrame, found: DataFrame, keys: list[str], p: int, fl
         for i in range(p)
         for j in range(i + 1)
     ]
-    return materialise(_with_factor(made.select(*by, "n", *(f"m_{i}" for i in range(p)), *cov), p), "quality-step")
+    return _small(_with_factor(made.select(*by, "n", *(f"m_{i}" for i in range(p)), *cov), p), "quality-step")
 
 
 def robust_estimates(
@@ -216,11 +221,11 @@ def robust_estimates(
     ``rows`` is read in every step and must come from a written table; each step's estimates, a row for each group
     and start, are written too. The driver reads one number after each step.
     """
-    found = materialise(_with_factor(_starts(rows, keys, p, floors), p), "quality-start")
+    found = _small(_with_factor(_starts(rows, keys, p, floors), p), "quality-start")
     for _ in range(trials):
         found = _concentrated(rows, found, keys, p, floors, keep, consistency)
     best = F.row_number().over(Window.partitionBy(*keys).orderBy("logdet", "start"))
-    found = materialise(found.withColumn("__best", best).where("__best = 1").drop("__best"), "quality-best")
+    found = _small(found.withColumn("__best", best).where("__best = 1").drop("__best"), "quality-best")
     for _ in range(steps):
         ahead = _concentrated(rows, found, keys, p, floors, keep, consistency)
         before = found.select(*keys, F.col("logdet").alias("before"))
@@ -269,7 +274,7 @@ def estimates(measured: DataFrame, prefix: str = "__q_", *, floors: tuple[float,
     levels = F.array(group(F.lit("*"), F.lit("*")), group(_name("lang"), F.lit("*")), group(_name("lang"), _name("source")))
     rows = stats.where("good").select(F.explode(levels).alias("g"), *(f"x_{i}" for i in range(p))).select("g.*", *(f"x_{i}" for i in range(p)))
     found = robust_estimates(rows, p, floors, keys=["g_lang", "g_source"], **options)
-    return materialise(_drawn(stats, found, p, weight), "quality-estimates")
+    return _small(_drawn(stats, found, p, weight), "quality-estimates")
 
 
 def _judged(rows: DataFrame, found: DataFrame, prefix: str, cutoff: float) -> DataFrame:
