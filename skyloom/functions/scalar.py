@@ -379,3 +379,58 @@ def hole_policy(area_m2: C, ground_like: C, neighbours_confident: C, max_fill_m2
 def stride_frames(seconds: C, frames: C, fps: C) -> Column:
     """A stride in frames; the limit in seconds wins where the frame rate is known."""
     return F.when(col(fps) > 0, F.greatest(F.lit(1), F.bround(col(seconds) * col(fps)).cast("int"))).otherwise(col(frames))
+
+
+def utc_time(c: C) -> Column:
+    """A text as a UTC timestamp; null where it is none. A zone is taken off, no zone is UTC."""
+    t = F.trim(col(c).cast("string"))
+    return F.try_to_timestamp(F.when(t.rlike(r"^\d{4}-\d{2}-\d{2}"), t))
+
+
+def run_id(path: C, at: C) -> Column:
+    """a run's name, the file's stem and its start."""
+    name = F.regexp_extract(col(path), r"([^/\\]+)$", 1)
+    return F.concat_ws("_", F.regexp_replace(name, r"(.)\.[^.]*$", "$1"), F.date_format(col(at), "yyyyMMdd_HHmmss"))
+
+
+def shown_number(value: C, digits: int = 2, unit: str = "") -> Column:
+    """a number with thousands apart, a dash where there is none."""
+    return F.coalesce(F.concat(F.format_number(col(value), digits), F.lit(unit)), F.lit("—"))
+
+
+def html_text(c: C) -> Column:
+    """a text whose marks are no markup."""
+    out = col(c)
+    for mark, name in (("&", "amp"), ("<", "lt"), (">", "gt"), ('"', "quot"), ("'", "#x27")):
+        out = F.replace(out, F.lit(mark), F.lit(f"&{name};"))
+    return out
+
+
+def budgeted_size(sizes: list[int], native: C, frames: C, seconds_at_1280: C, available: C) -> Column:
+    """The first of falling ``sizes`` whose projected time is available, else the last that is under the native size.
+
+    A frame smaller than the size is projected at its own; smaller sizes must be under both the first and the native.
+    """
+    cost = lambda s: col(frames) * col(seconds_at_1280) * F.pow(F.least(F.lit(s), col(native)) / 1280, 2)
+    open_ = [F.lit(True), *(F.lit(s) < F.least(F.lit(sizes[0]), col(native)) for s in sizes[1:])]
+    out = F.lit(sizes[0])
+    for s, ok in list(zip(sizes, open_, strict=True))[1:]:
+        out = F.when(ok, s).otherwise(out)
+    for s, ok in list(zip(sizes, open_, strict=True))[::-1]:
+        out = F.when(ok & (cost(s) <= col(available)), s).otherwise(out)
+    return out
+
+
+def chunk_frames(total_gb: C, knots: list[tuple[float, float]], headroom_gb: float = 4.0, requested: int | None = None, least: int = 8) -> Column:
+    """The most frames whose peak memory, a rising piecewise linear curve (frames, GB), leaves the headroom free.
+
+    Between two knots the largest whole number follows from the line; beyond the last the last line goes on.
+    """
+    budget = F.greatest(col(total_gb) - headroom_gb, F.lit(0.0))
+    safe = F.lit(least)
+    for (f0, g0), (f1, g1) in zip(knots, knots[1:], strict=False):
+        within = F.floor(f0 + (budget - g0) * ((f1 - f0) / (g1 - g0)) + 1e-9)
+        end = within if (f1, g1) == knots[-1] else F.least(within, F.lit(int(f1)))
+        safe = F.when(budget >= g0, F.greatest(safe, end.cast("int"))).otherwise(safe)
+    safe = F.when(budget <= knots[0][1], F.lit(least)).otherwise(safe)
+    return F.greatest(F.least(safe, F.lit(requested)) if requested else safe, F.lit(least))

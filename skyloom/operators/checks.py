@@ -236,3 +236,16 @@ def depth_agreement(df: DataFrame, cam: str, rank: str, pixel: list[str], depth:
     near = F.abs(F.col("__d") - F.col(depth)) <= tolerance * F.col(depth)
     votes = asked.join(other, [*pixel, "__r"]).groupBy(cam, *pixel).agg(F.count_if(near).alias("agree"))
     return votes.where(F.col("agree") >= least)
+
+
+def contained_names(texts: DataFrame, text: str, names: DataFrame, name: str, head: int = 3) -> DataFrame:
+    """Each row of ``texts`` with each row of ``names`` that its text contains, case aside.
+
+    A join on the first ``head`` characters of the name, which stand at some place of the text.
+    """
+    t, n = F.lower(F.col(text)), F.lower(F.col(name))
+    places = F.sequence(F.lit(1), F.greatest(F.length(t), F.lit(1)))
+    heads = F.array_distinct(F.flatten(F.transform(F.array(*map(F.lit, range(1, head + 1))), lambda k: F.transform(places, lambda p: F.substring(t, p, k)))))
+    spread = texts.withColumn("__head", F.explode(heads))
+    keyed = names.where(F.length(n) > 0).withColumn("__key", F.substring(n, 1, head))
+    return spread.join(keyed, (F.col("__head") == F.col("__key")) & F.contains(t, n)).drop("__head", "__key")

@@ -6,6 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from skyloom.operators.stats import quantiles
+from skyloom.session import materialise
+
 
 def cells(df: DataFrame, coords: list[str], size: Column | float, prefix: str = "c_") -> DataFrame:
     """Grid indices of the coordinates."""
@@ -133,20 +136,21 @@ def near_camera(points: DataFrame, cameras: DataFrame, point_id: str, cam_id: st
 
 def cloud_to_cloud(left: DataFrame, right: DataFrame, left_id: str, right_id: str, coords: list[str], radius: float) -> DataFrame:
     """Share of points matched within ``radius`` and their median and RMS distance."""
-    near = nearest_within(left, right, left_id, right_id, coords, radius)
+    near = materialise(nearest_within(left, right, left_id, right_id, coords, radius).select("distance"), "distances")
     d = F.col("distance")
-    return near.agg(F.count("*").alias("n"), (100 * F.avg(d.isNotNull().cast("double"))).alias("matched_pct"), F.median(d).alias("median"), F.sqrt(F.avg(d * d)).alias("rms"))
+    made = near.agg(F.count("*").alias("n"), (100 * F.avg(d.isNotNull().cast("double"))).alias("matched_pct"), F.sqrt(F.avg(d * d)).alias("rms"))
+    middle = quantiles(near, [], "distance", [0.5]).select(F.col("q0").alias("median"))
+    return made.join(middle, F.lit(True), "left").select("n", "matched_pct", "median", "rms")  # one row each
 
 
 def set_cover(pairs: DataFrame, cam: str, cell: str, most: int, least_gain: int) -> list:
-    """O3: cameras by greedy cover; each round is one count and an anti join, rounds are bounded by ``most``."""
+    """O3: cameras by greedy cover; a round counts and writes what is left, and rounds are bounded by ``most``."""
     chosen: list = []
-    left = pairs.select(cam, cell).distinct()
+    left = materialise(pairs.select(cam, cell).distinct(), "uncovered")
     for _ in range(most):
         best = left.groupBy(cam).agg(F.count("*").alias("n")).orderBy(F.desc("n"), cam).first()
         if best is None or best["n"] < least_gain:
             break
         chosen.append(best[cam])
-        covered = pairs.where(F.col(cam).isin(chosen)).select(cell).distinct()
-        left = pairs.select(cam, cell).distinct().join(covered, cell, "left_anti")
+        left = materialise(left.join(left.where(F.col(cam) == best[cam]).select(cell), cell, "left_anti").select(cam, cell), "uncovered")
     return chosen

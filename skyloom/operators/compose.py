@@ -118,12 +118,16 @@ def classify_cloud(points: DataFrame, cameras: DataFrame, size: float, *, min_vi
     return made.withColumn("zone", S.zone_label("views", F.coalesce("angle", F.lit(0.0)), min_views, min_angle)).select(*keys, "n", "views", "angle", "zone")
 
 
-def fusion_pass(points: DataFrame, cameras: DataFrame, size: float, cell: int, least_area: float, sure: int = 2) -> dict[str, DataFrame]:
-    """Zones of voxels, best zone of ground cells, and as regions the gaps inside the seen
-    box: cells that are missing or whose best zone is beyond ``sure``."""
+def fusion_pass(points: DataFrame, cameras: DataFrame, size: float, cell: int, least_area: float, sure: int = 2, most: int = 10**9) -> dict[str, DataFrame]:
+    """Zones of voxels, best zone of ground cells, and as regions the gaps inside the seen box: cells that are
+    missing or whose best zone is beyond ``sure``. A box of more than ``most`` cells is an error: points far off
+    must be cut away first."""
     zones = classify_cloud(points, cameras, size)
     ground = cloud.best_zone_per_cell(zones.select(F.floor(F.col("c_y") / cell).alias("row"), F.floor(F.col("c_x") / cell).alias("col"), "zone"), ["row", "col"], "zone")
     box = ground.agg(F.min("row").alias("r0"), F.max("row").alias("r1"), F.min("col").alias("c0"), F.max("col").alias("c1"))
+    r0, r1, c0, c1 = box.first()
+    if r0 is not None and (r1 - r0 + 1) * (c1 - c0 + 1) > most:
+        raise ValueError(f"a box of {r1 - r0 + 1} x {c1 - c0 + 1} cells; at most {most}")
     every = box.select(F.explode(F.sequence("r0", "r1")).alias("row"), "c0", "c1").select("row", F.explode(F.sequence("c0", "c1")).alias("col"))
     gaps = every.join(ground.where(F.col("zone") <= sure).select("row", "col"), ["row", "col"], "left_anti")
     return {"zones": zones, "ground": ground, "gaps": raster.regions(gaps, cell * size, least_area)}

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from skyloom.operators import windows
 from skyloom.session import materialise
 
 
@@ -103,7 +104,7 @@ def regions(cells: DataFrame, size: float, least_area: float) -> DataFrame:
     """R2, O2: components as numbered regions (number, cells, area, centroid), the largest first."""
     found = components(cells).groupBy("label").agg(F.count("*").alias("cells"), F.avg("row").alias("row"), F.avg("col").alias("col"))
     found = found.withColumn("area", F.col("cells") * size * size).where(F.col("area") >= least_area)
-    return found.select(F.row_number().over(Window.orderBy(F.desc("area"), "label")).alias("number"), "cells", "area", "row", "col")
+    return windows.numbered_by(found, [F.desc("area"), F.col("label")]).select("number", "cells", "area", "row", "col")
 
 
 def opened(grid: DataFrame, half: int, z: str = "z") -> DataFrame:

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from skyloom.session import materialise
+
 
 def _sorted_median(values: Column) -> Column:
     """Median of an array without nulls, null when empty; no sum over an open frame is needed."""
@@ -101,14 +103,19 @@ def rank_share(df: DataFrame, keys: list[str], value: str, tie: str) -> DataFram
     return df.withColumn("rank_share", F.row_number().over(w) / F.count("*").over(Window.partitionBy(*keys)))
 
 
-def central_window(frames: DataFrame, index: str, n: int, size: int) -> DataFrame:
-    """Half-overlapping windows of ``size`` over ``n`` frames; each frame with the window it is most central to."""
+def central_window(frames: DataFrame, index: str, n: int | Column, size: int) -> DataFrame:
+    """Half-overlapping windows of ``size`` over ``n`` frames; each frame with the window it is most central to.
+
+    The windows that hold a frame follow from its index, so no row is copied or moved.
+    """
     step = max(1, size // 2)
-    starts = sorted({min(s, max(0, n - size)) for s in range(0, max(1, n - size + step), step)})
-    starts = F.explode(F.array(*map(F.lit, starts)))
-    rows = frames.withColumn("start", starts).where((F.col(index) >= F.col("start")) & (F.col(index) < F.col("start") + size))
-    off = F.abs(F.col(index) - (F.col("start") + (min(size, n) - 1) / 2))
-    return last_per_key(rows.select(index, "start", off.alias("off")), [index], [F.col("off"), F.col("start")])
+    n = F.lit(n) if isinstance(n, int) else n
+    last = F.greatest(F.lit(0), n - size)
+    starts = F.array(last, *(F.least(last, F.greatest(F.lit(0), F.floor(F.col(index) / step) - k) * step) for k in range(3)))
+    held = F.filter(starts, lambda s: (F.col(index) >= s) & (F.col(index) < s + size))
+    middle = (F.least(F.lit(size), n) - 1) / 2
+    best = F.array_min(F.transform(held, lambda s: F.struct(F.abs(F.col(index) - (s + middle)).alias("off"), s.alias("start"))))
+    return frames.withColumn("__best", best).where("__best is not null").select(index, F.col("__best.start").alias("start"), F.col("__best.off").alias("off"))
 
 
 def chunks(n: int, size: int, overlap: int) -> list[tuple[int, int]]:
@@ -144,8 +151,18 @@ def sample_by_hash(df: DataFrame, key: str, n: int, seed: int = 0) -> DataFrame:
 
 
 def numbered_by(df: DataFrame, order: list[Column], keys: list[str] = ()) -> DataFrame:
-    """O2: rows numbered from 1 in order, within keys where given."""
-    return df.withColumn("number", F.row_number().over(Window.partitionBy(*(keys or [F.lit(0)])).orderBy(*order)))
+    """O2: rows numbered from 1 in order, within keys where given.
+
+    Without keys the rows are dealt by ranges of the order, numbered within each, and moved on by the ranges before.
+    """
+    if keys:
+        return df.withColumn("number", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+    dealt = materialise(df.repartitionByRange(*order).withColumn("__range", F.spark_partition_id()), "ranges")
+    sizes = dealt.groupBy("__range").agg(F.count("*").alias("__n"))
+    before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)  # a row for each range
+    sizes = sizes.select("__range", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
+    number = F.row_number().over(Window.partitionBy("__range").orderBy(*order))
+    return dealt.join(sizes, "__range").withColumn("number", (number + F.col("__before")).cast("long")).drop("__range", "__before")
 
 
 def band_medians(df: DataFrame, keys: list[str], order: str, value: str, bands: int = 10) -> DataFrame:

@@ -112,7 +112,18 @@ def quantile_fit(spark, sf_dir):
     return found.select("channel", F.round("gain", 6).alias("gain"), F.round("bias", 5).alias("bias"))
 
 
-@register("trimmed_fit")
+def _trimmed_sql(rounds: int = 3) -> str:
+    fit = lambda rows: f"select class, regr_slope(z, x) as gain, regr_intercept(z, x) as bias, count(*) as n from {rows} group by class"
+    parts = [f"f0 as ({fit(P)})"]
+    for k in range(rounds):
+        parts.append(f"r{k} as (select p.class, x, z, abs(z - gain * x - bias) as r from {P} p join f{k} using (class))")
+        parts.append(f"c{k} as (select class, quantile_cont(r, 0.9) as cut from r{k} group by class)")
+        parts.append(f"k{k} as (select r{k}.* from r{k} join c{k} using (class) where r <= cut)")
+        parts.append(f"f{k + 1} as ({fit(f'k{k}')})")
+    return f"with {', '.join(parts)} select class, round(gain, 5) as gain, round(bias, 5) as bias, n from f{rounds}"
+
+
+@register("trimmed_fit", _trimmed_sql())
 def trimmed_fit(spark, sf_dir):
     """Line refitted without the largest residuals."""
     return rounded(checks.trimmed_fit(points(spark, sf_dir), ["class"], "x", "z"), 5)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from skyloom.functions import scalar as S
-from skyloom.operators import cloud, raster, stats, windows
+from skyloom.operators import checks, cloud, raster, stats, windows
 from skyloom.plans.catalog import register
 from skyloom.plans.tables import POINTS_SQL, SMALL_CLOUD_SQL, points, rounded, small_cloud, table
 
@@ -198,10 +198,25 @@ def error_stats_by_group(spark, sf_dir):
     return rounded(stats.grouped_error_stats(points(spark, sf_dir).withColumn("d", F.col("z") - 35), [F.col("class"), F.col("source"), both, F.lit("all")], "d"))
 
 
-@register("doming_fit")
+def _doming_sql() -> str:
+    terms = {"c": "1.0e0", "x": "x", "y": "y", "q": "(x * x + y * y)"}
+    names = list(terms)
+    sums = [f"sum({terms[a]} * {terms[b]}) as {a}{b}" for i, a in enumerate(names) for b in names[i:]] + [f"sum({terms[a]} * z) as {a}z" for a in names]
+    m = [[a + b if names.index(a) <= names.index(b) else b + a for b in names] for a in names]
+
+    def det(rows: list[list[str]]) -> str:
+        if len(rows) == 1:
+            return rows[0][0]
+        return "(" + " ".join(f"{'+' if j % 2 == 0 else '-'} {v} * {det([r[:j] + r[j + 1 :] for r in rows[1:]])}" for j, v in enumerate(rows[0])) + ")"
+
+    out = ", ".join(f"round({det([[names[i] + 'z' if k == j else m[i][k] for k in range(4)] for i in range(4)])} / {det(m)}, 4) as {n}" for j, n in enumerate(("offset", "tilt_x", "tilt_y", "dome")))
+    return f"select class, n, {out} from (select class, count(*) as n, {', '.join(sums)} from {P} group by class)"
+
+
+@register("doming_fit", _doming_sql())
 def doming_fit(spark, sf_dir):
     """Plane and dome of each class."""
-    return rounded(stats.doming(points(spark, sf_dir), ["class"], "x", "y", "z"), 5)
+    return rounded(stats.doming(points(spark, sf_dir), ["class"], "x", "y", "z"), 4)
 
 
 @register("strip_pairs", """with s as (select s_suppkey as strip, s_acctbal % 180 as heading, s_acctbal as offset_m from supplier)
@@ -223,12 +238,10 @@ def strip_pairs(spark, sf_dir):
       from customer join c on contains(lower(c_mktsegment || ' ' || (select n_name from nation where n_nationkey = c_nationkey)), lower(n_name)))
     select c_custkey, n_name as camera from m where k = 1""")
 def camera_table_match(spark, sf_dir):
-    """The longest name of a bounded table that a text contains; the first listed wins ties."""
-    cams = table(spark, sf_dir, "nation")
-    small = F.broadcast(cams.limit(1000).select("n_name", F.col("n_nationkey").alias("pos")))  # the table of cameras is bounded
-    text = table(spark, sf_dir, "customer").join(cams.select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("own")), "c_nationkey")
-    text = text.select("c_custkey", F.concat_ws(" ", "c_mktsegment", "own").alias("blob"))
-    found = text.join(small, F.contains(F.lower("blob"), F.lower("n_name")))
+    """The longest name of a table that a text contains; the first listed wins ties."""
+    names = table(spark, sf_dir, "nation").select("n_name", F.col("n_nationkey").alias("pos"))
+    text = table(spark, sf_dir, "customer").join(names.select(F.col("pos").alias("c_nationkey"), F.col("n_name").alias("own")), "c_nationkey")
+    found = checks.contained_names(text.select("c_custkey", F.concat_ws(" ", "c_mktsegment", "own").alias("blob")), "blob", names, "n_name")
     return windows.last_per_key(found.select("c_custkey", "n_name", "pos"), ["c_custkey"], [-F.length("n_name"), F.col("pos")]).select("c_custkey", F.col("n_name").alias("camera"))
 
 
@@ -328,4 +341,5 @@ def shared_voxels(spark, sf_dir):
 @register("gsd", """select round(median(o_totalprice / nullif(o_custkey, 0)), 6) as gsd from orders""")
 def gsd(spark, sf_dir):
     """Ground sample distance as a median of height over focal length."""
-    return rounded(table(spark, sf_dir, "orders").agg(F.median(F.col("o_totalprice") / F.nullif(F.col("o_custkey"), F.lit(0))).alias("gsd")))
+    ratio = table(spark, sf_dir, "orders").select((F.col("o_totalprice") / F.nullif(F.col("o_custkey"), F.lit(0))).alias("r"))
+    return rounded(stats.quantiles(ratio, [], "r", [0.5]).select(F.col("q0").alias("gsd")))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from skyloom.operators import recurrences, stats
 from skyloom.plans.catalog import register
-from skyloom.plans.tables import FRAMES_SQL, POINTS_SQL, TELEMETRY_SQL, frames, points, rounded, telemetry
+from skyloom.plans.tables import FRAMES_SQL, POINTS_SQL, TELEMETRY_SQL, frames, points, rounded, spread, spread_sql, telemetry
 
 
 def _track(spark, sf_dir):
@@ -72,13 +72,12 @@ def ransac_scale_shift(spark, sf_dir):
     return rounded(recurrences.scale_shift(points(spark, sf_dir), "class", "x", "z", 8.0), 5)
 
 
-@register("umeyama_fit")
+@register("umeyama_fit", f"""select class, count(*) as n, 2.0e0 as scale, {spread_sql("rotation", [0, 1, 0, -1, 0, 0, 0, 0, 1])}, {spread_sql("shift", [1, 5, -3])} from {POINTS_SQL} group by class""")
 def umeyama_fit(spark, sf_dir):
     """Similarity from source to moved points."""
     p = points(spark, sf_dir).withColumns({"u": 2 * F.col("y") + 1, "v": -2 * F.col("x") + 5, "w": 2 * F.col("z") - 3})
     found = recurrences.similarity(p, ["class"], ["x", "y", "z"], ["u", "v", "w"])
-    near = lambda c: F.transform(c, lambda x: F.round(x, 5))
-    return found.select("class", "n", F.round("scale", 6).alias("scale"), near("rotation").alias("rotation"), near("shift").alias("shift"))
+    return spread(found.withColumn("scale", F.round("scale", 6)), {"rotation": 9, "shift": 3}, 5)
 
 
 @register("phase_shift")

@@ -47,7 +47,7 @@ def frame_overlaps(spark, sf_dir):
     return rounded(telemetry(spark, sf_dir).select("event_id", render.overlap_of_transform(m, F.lit(500.0), F.lit(400.0)).alias("overlap")))
 
 
-@register("triangulated_points")
+@register("triangulated_points", """select l_partkey as voxel, count(*) as views, 0.0e0 as rms_px, round(l_partkey % 9 + 0.0e0, 5) as x, 3.0e0 as y, round(l_partkey % 5 + 0.0e0, 5) as z from lineitem group by l_partkey having count(distinct l_suppkey % 7) >= 2""")
 def triangulated_points(spark, sf_dir):
     """Points from their views by made-up cameras on a line."""
     p = points(spark, sf_dir)

@@ -15,6 +15,16 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     return df.select(*(F.round(c, digits).alias(c) if kind == "double" else F.col(c) for c, kind in df.dtypes))
 
 
+def spread(df: DataFrame, arrays: dict[str, int], digits: int = 4) -> DataFrame:
+    """Arrays of numbers as rounded columns, ``name_0`` on; no negative zero."""
+    rest = [c for c in df.columns if c not in arrays]
+    return df.select(*rest, *((F.round(F.col(c)[k], digits) + 0.0).alias(f"{c}_{k}") for c, n in arrays.items() for k in range(n)))
+
+
+def spread_sql(name: str, values: list[float]) -> str:
+    return ", ".join(f"{float(v)!r}::double as {name}_{k}" for k, v in enumerate(values))
+
+
 def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` as telemetry: track, t in seconds since 2024-01-01, channel, value, and made-up coordinates."""
     e = table(spark, sf_dir, "events")

@@ -178,13 +178,14 @@ def rank_in_region(spark, sf_dir):
     return rounded(windows.rank_share(telemetry(spark, sf_dir), ["channel"], "value", "event_id").select("event_id", "rank_share"))
 
 
-@register("most_central_window", f"""with s as (select unnest(range(0, 1000, 25)) as start),
-    r as (select event_id, start, abs(event_id - (start + 24.5)) as off from {T} join s on event_id >= start and event_id < start + 50 where event_id < 1000)
-    select event_id, arg_min(start, off * 100000 + start) as start, min(off) as off from r where start <= 950 group by event_id""")
+@register("most_central_window", f"""with n as (select max(event_id) + 1 as n from {T}), s as (select distinct least(s, n - 50) as start from (select n, unnest(range(0, n - 50 + 25, 25)) as s from n)),
+    r as (select event_id, start, abs(event_id - (start + 24.5e0)) as off from {T} join s on event_id >= start and event_id < start + 50)
+    select event_id, arg_min(start, off * 100000000 + start) as start, min(off) as off from r group by event_id""")
 def most_central_window(spark, sf_dir):
     """Half-overlapping windows; each frame belongs to the one it is most central to."""
-    rows = telemetry(spark, sf_dir).where("event_id < 1000")
-    return windows.central_window(rows, "event_id", 1000, 50).select("event_id", F.col("start").cast("long").alias("start"), "off")
+    rows = telemetry(spark, sf_dir).select("event_id")
+    rows = rows.crossJoin(F.broadcast(rows.agg((F.max("event_id") + 1).alias("n"))))
+    return windows.central_window(rows, "event_id", F.col("n"), 50)
 
 
 @register("interp_asof", f"""with p as (select track, t, value from {T} where event_id % 3 = 0 qualify row_number() over (partition by track, t order by event_id) = 1),
@@ -314,7 +315,23 @@ def geo_cells(spark, sf_dir):
     return telemetry(spark, sf_dir).select("event_id", S.utm_epsg("lon", "lat").alias("epsg"), x.alias("tile_x"), y.alias("tile_y"))
 
 
-@register("utm_coordinates")
+def _utm_sql(lon: str, lat: str) -> str:
+    """The table with easting ``e`` and northing ``n``, by the same series."""
+    f, a = S.WGS84_F, S.WGS84_A
+    n = f / (2 - f)
+    radius, e = a / (1 + n) * (1 + n**2 / 4 + n**4 / 64) * 0.9996, (f * (2 - f)) ** 0.5
+    alpha = [n / 2 - 2 * n**2 / 3 + 5 * n**3 / 16, 13 * n**2 / 48 - 3 * n**3 / 5, 61 * n**3 / 240]
+    east = " + ".join(["eta", *(f"{x!r} * cos({2 * k + 2} * xi) * sinh({2 * k + 2} * eta)" for k, x in enumerate(alpha))])
+    north = " + ".join(["xi", *(f"{x!r} * sin({2 * k + 2} * xi) * cosh({2 * k + 2} * eta)" for k, x in enumerate(alpha))])
+    return f"""(select *, 500000 + {radius!r} * ({east}) as e, {radius!r} * ({north}) + case when {lat} < 0 then 10000000 else 0 end as n from
+      (select *, atan2(tt, cos(lam)) as xi, atanh(sin(lam) / sqrt(1 + tt * tt)) as eta from
+       (select *, sinh(atanh(sin(radians({lat}))) - {e!r} * atanh({e!r} * sin(radians({lat})))) as tt, radians({lon} - ((floor(({lon} + 180) / 6) % 60 + 1) * 6 - 183)) as lam from {T})))"""
+
+
+UTM_SQL = _utm_sql("lon", "lat")
+
+
+@register("utm_coordinates", f"select event_id, round(e, 3) as east, round(n, 3) as north from {UTM_SQL}")
 def utm_coordinates(spark, sf_dir):
     """M8: UTM easting and northing of every fix."""
     e, n = S.utm("lon", "lat")
