@@ -132,6 +132,15 @@ def chunks(n: int, size: int, overlap: int) -> list[tuple[int, int]]:
     return out
 
 
+def chunk_spans(n: Column, size: int, overlap: int) -> Column:
+    """``chunks`` of a number of rows as an array of (start, stop)."""
+    step = size - overlap
+    # the k-th chunk is there if the one before did not reach the end
+    count = F.greatest(F.lit(1), F.ceil((n - size - overlap) / step) + 1).cast("int")
+    starts = F.sequence(F.lit(0), count - 1)
+    return F.transform(starts, lambda k: F.struct((k * step).cast("long").alias("start"), F.when(k == count - 1, n).otherwise(k * step + size).cast("long").alias("stop")))
+
+
 def overlap_series(df: DataFrame, keys: list[str], index: str, overlap: str) -> DataFrame:
     """(index, previous, stride, overlap) of consecutive frames."""
     w = Window.partitionBy(*keys).orderBy(index)

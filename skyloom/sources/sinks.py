@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+
+from skyloom.operators.windows import numbered_by
 
 
 def write_table(df: DataFrame, path: str, *, by: list[str] = (), mode: str = "overwrite") -> None:
@@ -17,7 +18,7 @@ def geo_lines(frames: DataFrame, telemetry: DataFrame, key: str, name: str, crs:
     """Lines (n, line) of a geo.txt: the CRS, then name lon lat alt of frames whose fix is there."""
     rows = frames.select(key, name).join(telemetry.select(key, "lat", "lon", "alt_gps"), key, "left").where("lat is not null and lon is not null")
     line = F.format_string("%s %.9f %.9f %.3f", F.col(name), F.col("lon"), F.col("lat"), F.coalesce("alt_gps", F.lit(0.0)))
-    made = rows.select((F.dense_rank().over(Window.orderBy(key, name))).cast("long").alias("n"), line.alias("line"))
+    made = numbered_by(rows.select(key, name, line.alias("line")), [F.col(key), F.col(name)]).select(F.col("number").alias("n"), "line")
     return frames.sparkSession.createDataFrame([(0, crs)], "n long, line string").unionByName(made)
 
 
@@ -36,10 +37,12 @@ def srt_stamp_lines(df: DataFrame, time: str, body: Column) -> DataFrame:
     """Cues (n, line) of a subtitle file."""
     from skyloom.functions.scalar import format_cue
 
-    n = F.row_number().over(Window.orderBy(time))
-    nxt = F.coalesce(F.lead(time).over(Window.orderBy(time)), F.col(time) + 0.1)
-    line = F.concat(n.cast("string"), F.lit("\n"), format_cue(F.col(time)), F.lit(" --> "), format_cue(nxt), F.lit("\n"), body, F.lit("\n"))
-    return df.select(n.cast("long").alias("n"), line.alias("line"))
+    rows = numbered_by(df.select(F.col(time).alias("__t"), body.alias("__body")), [F.col("__t"), F.col("__body")])
+    until = rows.select((F.col("number") - 1).alias("number"), F.col("__t").alias("__until"))
+    rows = rows.join(until, "number", "left")  # each cue lasts until the next
+    nxt = F.coalesce("__until", F.col("__t") + 0.1)
+    line = F.concat(F.col("number").cast("string"), F.lit("\n"), format_cue(F.col("__t")), F.lit(" --> "), format_cue(nxt), F.lit("\n"), F.col("__body"), F.lit("\n"))
+    return rows.select(F.col("number").alias("n"), line.alias("line"))
 
 
 def gap_features(regions: DataFrame, rings: str = "rings") -> DataFrame:
