@@ -5,8 +5,10 @@ A file holds the rows of one track or voxel; its content is put together by Spar
 
 from __future__ import annotations
 
+import struct
 import uuid
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,7 +17,7 @@ from skyloom.operators import checks, cloud, compose, windows
 from skyloom.plans.catalog import register
 from skyloom.plans.tables import FRAMES_SQL, POINTS_SQL, TELEMETRY_SQL, frames, points, rounded, small_cloud, table, telemetry
 from skyloom.session import shared_dir
-from skyloom.sources import sinks
+from skyloom.sources import flight_record, sinks
 from skyloom.sources import telemetry as readers
 
 T, P, R = TELEMETRY_SQL, POINTS_SQL, FRAMES_SQL
@@ -294,3 +296,53 @@ def track_chunks(spark, sf_dir):
     """Overlapping chunks of each series; a short tail joins the chunk before."""
     n = frames(spark, sf_dir).groupBy("video").agg(F.count("*").alias("n"))
     return n.select("video", F.explode(windows.chunk_spans(F.col("n"), 4, 1)).alias("c")).select("video", "c.start", "c.stop")
+
+
+_FLIGHT_SQL = f"""(select *, coalesce(last_value(case when event_id % 3 = 0 then event_id % 900 / 10e0 - 45 end ignore nulls) over w, null) as pitch, coalesce(last_value(case when event_id % 5 = 0 then event_id % 10 = 0 end ignore nulls) over w, false) as recording
+    from (select *, row_number() over (partition by track order by event_id) - 1 as k from {T}) window w as (partition by track order by event_id rows between unbounded preceding and current row))"""
+
+
+def _flights(spark, sf_dir) -> DataFrame:
+    """(source, content): a flight record of each track: camera, gimbal and position records, scrambled."""
+    rows = telemetry(spark, sf_dir).select("track", "event_id", "lat", "lon", "value")
+
+    def file(pdf: pd.DataFrame) -> pd.DataFrame:
+        body = []
+
+        def add(kind: int, plain: bytes, seed: int) -> None:
+            payload = flight_record.scrambled(plain, kind, seed & 0xFF)
+            body.append(bytes([kind, len(payload)]) + payload + b"\xff")
+
+        for k, r in enumerate(pdf.sort_values("event_id").itertuples()):
+            i = int(r.event_id)
+            if i % 5 == 0:
+                add(flight_record.CAMERA, bytes([0xC0 if i % 10 == 0 else 0]) + bytes(26), i * 7)
+            if i % 3 == 0:
+                add(flight_record.GIMBAL, struct.pack("<hhh", i % 900 - 450, 0, 0) + bytes(6), i * 11)
+            plain = bytearray(struct.pack("<ddh", r.lon * 0.017453292519943295, r.lat * 0.017453292519943295, i % 1000) + bytes(35))
+            plain[33], plain[34], plain[36] = 0x80 if i % 7 else 0, i % 6 << 2, i % 20
+            plain[42:44] = k.to_bytes(2, "little")
+            add(flight_record.POSITION, bytes(plain), i)
+        whole = b"".join(body)
+        head = (100 + len(whole)).to_bytes(8, "little") + b"\x90\x01\x08" + bytes(89)
+        return pd.DataFrame({"source": [str(pdf["track"].iloc[0])], "content": [head + whole + bytes(400)]})
+
+    return rows.groupBy("track").applyInPandas(file, "source string, content binary")
+
+
+@register("flight_record_round_trip", f"""select cast(track as varchar) as source, k / 10e0 as fly_time, round(lat, 9) as lat, round(lon, 9) as lon, event_id % 1000 / 10e0 as height, round(pitch, 6) as pitch, recording, event_id % 7 > 0 as gps_valid, event_id % 6 as gps_level, event_id % 20 as satellites from {_FLIGHT_SQL}""")
+def flight_record_round_trip(spark, sf_dir):
+    """Telemetry as scrambled binary flight records; positions carry the last attitude and camera state."""
+    found = flight_record.flight_samples(_flights(spark, sf_dir))
+    return rounded(found.select("source", "fly_time", "lat", "lon", "height", F.round("pitch", 6).alias("pitch"), "recording", "gps_valid", "gps_level", "satellites"), 9)
+
+
+@register("flight_on_video", f"""with f as {_FLIGHT_SQL}, b as (select *, recording and not coalesce(lag(recording) over (partition by track order by k), false) as begins from f),
+    r as (select *, sum(case when begins then 1 else 0 end) over (partition by track order by k) - 1 as seg from b), s as (select track, seg, min(k) / 10e0 as start, max(k) / 10e0 as stop from r where recording group by track, seg),
+    v as (select track, start, stop from s qualify row_number() over (partition by track order by case when abs(stop - start - 0.4) <= 0.15 then abs(stop - start - 0.4) else 1e300 end, seg) = 1)
+    select cast(f.track as varchar) as source, round(k / 10e0 - start, 6) as t, case when event_id % 7 > 0 then round(lat, 6) end as lat, event_id % 1000 / 10e0 as alt_baro, round(pitch, 6) as pitch from f join v on v.track = f.track and k / 10e0 between start - 0.25 and stop + 0.25""")
+def flight_on_video(spark, sf_dir):
+    """Samples around the recording that is as long as a video, on its clock."""
+    samples = flight_record.flight_samples(_flights(spark, sf_dir))
+    window = flight_record.video_window(flight_record.recordings(samples), 0.4, 0.15)
+    return rounded(flight_record.on_video_clock(samples, window, 0.25).select("source", "t", "lat", "alt_baro", "pitch"))
