@@ -44,3 +44,10 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, with underscores before it until no column begins so, case aside."""
+    while any(c.lower().startswith(name.lower()) for c in df.columns):
+        name = f"_{name}"
+    return name
