@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from skyloom.session import materialise
+from skyloom.session import materialise, unused
 
 #: Standard deviations added to each statistic, in the order of ``vector``.
 FLOORS = (0.5, 0.15, 0.05, 0.15, 0.15, 0.10, 0.10)
@@ -311,9 +311,7 @@ def keep_good(docs: DataFrame, *, cutoff: float = CUTOFF, **options) -> DataFram
 
     The rows are written once with their statistics; the estimates read the statistics alone.
     """
-    prefix = "__q_"
-    while any(c.lower().startswith(prefix) for c in docs.columns):
-        prefix = f"_{prefix}"
+    prefix = unused(docs, "__q_")
     rows = materialise(_measured(docs, prefix), "quality-rows")
     return _judged(rows, estimates(rows, prefix, **options), prefix, cutoff).where(f"{prefix}kept").select(*docs.columns)
 

@@ -131,10 +131,11 @@ def place(keys: DataFrame, shards: int = 24, *, nodes: int = 256, slack: float =
     counts = sliced.groupBy("arc").agg(F.sum("n").alias("n"))
     plan = _plan(counts, _clockwise(arcs), shards, slack)
     pieces = plan.groupBy("arc").agg(F.sort_array(F.collect_list(F.struct("first", "n", "shard", "slot"))).alias("pieces"))
-    # one row for each slice of an arc: its offset and the arc's pieces
-    lookup = sliced.join(pieces, "arc").select(F.col("arc").alias("__arc"), F.col("slice").alias("__slice"), "before", "pieces")
+    # at most a row for each slice of an arc, and one with the pieces for each arc
+    offsets = sliced.select(F.col("arc").alias("__arc"), F.col("slice").alias("__slice"), "before")
+    pieces = pieces.withColumnRenamed("arc", "__arc")
     rank = F.row_number().over(Window.partitionBy("__arc", "__slice").orderBy("__at", "id")) - 1
-    ranked = rows.withColumn("__rank", rank).join(F.broadcast(lookup), ["__arc", "__slice"])
+    ranked = rows.withColumn("__rank", rank).join(F.broadcast(offsets), ["__arc", "__slice"]).join(F.broadcast(pieces), "__arc")
     ranked = ranked.withColumn("__rank", F.col("__rank") + F.col("before"))
     piece = F.expr("get(filter(pieces, p -> __rank >= p.first and __rank < p.first + p.n), 0)")
     ranked = ranked.withColumn("__piece", piece)

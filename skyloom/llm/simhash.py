@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skyloom.session import materialise
+from skyloom.session import materialise, unused
 
 BITS = 64
 SEED = 42
@@ -266,10 +266,11 @@ def keep_one(docs: DataFrame, width: int = 4, distance: int = 4) -> DataFrame:
 def first_of_each(docs: DataFrame, rows: DataFrame, roots: DataFrame) -> DataFrame:
     """The first row of ``docs`` in each component, given ``rows(doc_id, text_hash, fp)`` and ``roots(fp, root)``."""
     first = rows.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "text_hash")).alias("first")).join(roots, "fp")
-    kept = first.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.doc_id").alias("__id"), F.col("first.text_hash").alias("__hash"))
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__hash"))
-    one = docs.join(kept, same, "left_semi").withColumn("__id", F.col("doc_id").cast("long")).withColumn("__hash", F.xxhash64("text"))
-    return one.dropDuplicates(["__id", "__hash"]).drop("__id", "__hash")
+    id_, hash_ = unused(docs, "__id"), unused(docs, "__hash")
+    kept = first.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.doc_id").alias(id_), F.col("first.text_hash").alias(hash_))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col(id_)) & (F.xxhash64("text") == F.col(hash_))
+    one = docs.join(kept, same, "left_semi").withColumns({id_: F.col("doc_id").cast("long"), hash_: F.xxhash64("text")})
+    return one.dropDuplicates([id_, hash_]).drop(id_, hash_)
 
 
 def op7_simhash(spark, sf_dir: str) -> DataFrame:

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skyloom.session import materialise
+from skyloom.session import materialise, unused
 
 BITS = 18
 SIZES = (3, 4, 5)
@@ -245,4 +245,5 @@ def stage_toxicity(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     gives no rows; all columns stay.
     """
     model = fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return attach_scores(docs, model, score="__toxicity").where("__toxicity < 0.5").drop("__toxicity")
+    score = unused(docs, "__toxicity")
+    return attach_scores(docs, model, score=score).where(F.col(score) < 0.5).drop(score)

@@ -1,4 +1,5 @@
 import zlib
+from collections import Counter
 
 import pytest
 
@@ -48,6 +49,33 @@ def test_overflow_equals_a_plain_walk(spark):
     assert counts == [132 - r for r in room]
 
 
+@pytest.mark.parametrize(("n", "slack"), [(600, 0.0), (601, 0.0), (7, 0.0), (600, 0.05)])
+def test_each_arc_goes_where_a_plain_walk_puts_it(spark, n, slack):
+    """Arc by arc, as many keys are on each shard as a walk in ring order puts there; an arc's own shard comes first."""
+    shards = 5
+    keys = spark.range(n).selectExpr("id")
+    found = {r.id: r.shard for r in place(keys, shards, nodes=8, slack=slack).collect()}
+    arcs = [(r.lo, r.hi, r.shard) for r in ring(spark, shards, 8).orderBy("arc").collect()]
+    at = {r.id: r.at for r in keys.selectExpr("id", "shiftrightunsigned(xxhash64(id), 32) as at").collect()}
+    held = [[k for k, p in at.items() if lo <= p < hi] for lo, hi, _ in arcs]
+    room = [n // shards + (s < n % shards) if not slack else int(-(-n * (1 + slack) // shards)) for s in range(shards)]
+    want = []
+    for a, (_, _, s) in enumerate(arcs):
+        took = min(room[s], len(held[a]))
+        room[s] -= took
+        want.append({s: took})
+    for a in range(len(arcs)):
+        left = len(held[a]) - sum(want[a].values())
+        for step in range(len(arcs)):
+            s = arcs[(a + step) % len(arcs)][2]
+            moved = min(room[s], left)
+            room[s] -= moved
+            left -= moved
+            want[a][s] = want[a].get(s, 0) + moved
+    for a in range(len(arcs)):
+        assert Counter(found[k] for k in held[a]) == Counter({s: m for s, m in want[a].items() if m})
+
+
 def test_few_keys_move_when_a_shard_comes(spark):
     keys = spark.range(4000).selectExpr("id")
     before = {r.id: r.shard for r in place(keys, 8, nodes=128, slack=0.25).collect()}
