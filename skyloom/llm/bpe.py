@@ -3,10 +3,10 @@
 Texts are cut into pre-tokens with their positions; each distinct word of all texts is encoded once and its ids are
 joined back. A frequent word stands in nearly every text, so what is shuffled is not a row for each place of a word
 but one for each block of texts that holds it: a block keeps its texts as lists of word numbers (the positions) and
-has a row for each of its distinct words. These rows are joined with the table of distinct words and their ids; by
-block the ids come back to the positions and each text's ids are put together in order. Decoding joins ids with the
-vocabulary's token-byte table: the ids of the distinct words, before they are joined back, so that a text's bytes are
-put together like its ids.
+has a row for each of its distinct words. These rows cross one shuffle by word, in which each distinct word is encoded
+once and its ids are joined to its rows; by block the ids come back to the positions and each text's ids are put
+together in order. Decoding joins the ids of a block's words with the vocabulary's token-byte table, and a text's
+bytes are put together like its ids.
 
 Blocks are written once, bucketed by block, so that texts are cut once and never shuffled. A block holds at most
 ``BLOCK_ROWS`` texts and about ``BLOCK_CHARS`` characters (more only if one text is longer), which bounds every
@@ -27,11 +27,12 @@ from functools import cache
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import tiktoken
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyloom.session import shared_dir
@@ -60,13 +61,15 @@ def _encoder(path: str) -> tiktoken.Encoding:
 
 
 def vocabulary(spark: SparkSession, path: str) -> DataFrame:
-    """(id, token): the token-byte table of a rank file, whose size does not depend on the input."""
+    """(tokens array<string>): one row, the token-byte table of a rank file in hex by id; its size does not depend on the input."""
 
     def run(_) -> Iterator[pa.RecordBatch]:
-        table = ranks(path)
-        yield pa.RecordBatch.from_arrays([pa.array(list(table.values()), pa.int32()), pa.array(list(table), pa.binary())], ["id", "token"])
+        table: list[str | None] = [None] * (max(ranks(path).values()) + 1)
+        for token, i in ranks(path).items():
+            table[i] = token.hex()
+        yield pa.RecordBatch.from_arrays([pa.array([table], pa.list_(pa.string()))], ["tokens"])
 
-    return spark.range(1, numPartitions=1).mapInArrow(run, "id int, token binary")
+    return spark.range(1, numPartitions=1).mapInArrow(run, "tokens array<string>")
 
 
 def _press(x: np.ndarray) -> bytes:
@@ -140,24 +143,42 @@ def _bucketed(df: DataFrame, column: str, parts: int, label: str) -> DataFrame:
     return spark.table(name)
 
 
-def encode_words(words: DataFrame, path: str) -> DataFrame:
-    """(word, ids) of the distinct words in ``words(word)``, each encoded once."""
+def encode_words(rows: DataFrame, path: str, parts: int) -> DataFrame:
+    """``rows(word, ...)`` with ``ids`` in place of the word.
+
+    One shuffle by word; in each partition the rows come in order of words, so each distinct word is encoded once, when
+    it first comes, and its ids are joined to all its rows as they pass. Nothing is kept but the last word.
+    """
+    rest = [c for c in rows.columns if c != "word"]
+    kinds = dict(rows.dtypes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = _encoder(path)
+        bpe, known = _encoder(path), ranks(path)
+        last, ids = None, None
         for batch in batches:
-            ids = [bpe.encode_ordinary(w.decode()) for w in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32()))], ["word", "ids"])
+            runs = pc.run_end_encode(batch.column(0))
+            found = []
+            for w in runs.values.to_pylist():
+                if w != last:
+                    i = known.get(w)
+                    last, ids = w, bpe.encode_ordinary(w.decode()) if i is None else [i]
+                found.append(ids)
+            which = np.repeat(np.arange(len(found)), np.diff(runs.run_ends.to_numpy(), prepend=0))
+            joined = pa.array(found, pa.list_(pa.int32())).take(pa.array(which))
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], joined], [*rest, "ids"])
+
+    dealt = rows.select("word", *rest).repartition(parts, "word").sortWithinPartitions("word")
+    return dealt.mapInArrow(run, "".join(f"{c} {kinds[c]}, " for c in rest) + "ids array<int>")
+
 
-    return words.select("word").distinct().mapInArrow(run, "word binary, ids array<int>")
+def _bytes(ids: Column) -> Column:
+    """Each id joined with its token in the one-row table beside it, in order; an id without a token has no bytes."""
+    return F.unhex(F.array_join(F.transform(ids, lambda i: F.coalesce(F.get("tokens", i), F.lit(""))), ""))
 
 
-def decode_ids(rows: DataFrame, key: str, path: str) -> DataFrame:
-    """(key, ids, bytes) of ``rows(key, ids)``: each id joined with its token's bytes, in order. Keys must be distinct."""
-    tokens = F.broadcast(vocabulary(rows.sparkSession, path))
-    each = rows.select(key, F.posexplode("ids").alias("pos", "id")).join(tokens, "id")
-    one = each.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("pos", "id", F.hex("token").alias("x")))).alias("t"))
-    return one.select(key, F.col("t.id").alias("ids"), F.unhex(F.array_join("t.x", "")).alias("bytes"))
+def with_tokens(rows: DataFrame, path: str) -> DataFrame:
+    """``rows`` with the token-byte table, one row of fixed size, beside each."""
+    return rows.join(F.broadcast(vocabulary(rows.sparkSession, path)), F.lit(True), "left")
 
 
 def _gather(lists: pa.Array, number: np.ndarray):
@@ -198,10 +219,11 @@ def _by_block(docs: DataFrame, path: str, column, schema: str) -> DataFrame:
     spark = docs.sparkSession
     wanted = max(int(spark.conf.get("spark.sql.shuffle.partitions")), docs.count() // BLOCK_ROWS + 1)
     cut = _bucketed(blocks(docs), "block", min(wanted, BUCKETS), "bpe_blocks")
-    rows = cut.where("number >= 0").select("block", "number", "word")
-    found = decode_ids(encode_words(rows, path), "word", path)
-    words = rows.join(found, "word").groupBy("block").agg(F.collect_list(F.struct("number", "ids", "bytes")).alias("words"))
+    coded = encode_words(cut.where("number >= 0").select("block", "number", "word"), path, min(wanted, BUCKETS))
+    words = coded.groupBy("block").agg(F.collect_list(F.struct("number", "ids")).alias("words"))
     texts = cut.where("number < 0").select("block", "places", "doc_ids", "sizes").join(words, "block", "left")
+    decoded = F.transform("words", lambda w: F.struct(w["number"].alias("number"), w["ids"].alias("ids"), _bytes(w["ids"]).alias("bytes")))
+    texts = with_tokens(texts, path).select("block", "places", "doc_ids", "sizes", decoded.alias("words"))
     fields = pa.schema([(f.split()[0], {"long": pa.int64(), "string": pa.string(), "binary": pa.binary()}.get(f.split()[1], pa.list_(pa.int32()))) for f in schema.split(", ")])
 
     def run(block: pa.Table) -> pa.Table:
@@ -221,9 +243,8 @@ def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
 def decode(rows: DataFrame, path: str | None = None) -> DataFrame:
     """(doc_id, bytes) of ``rows(doc_id, ids)``; ids that are empty or null give no bytes, ids without a token are left out."""
     path = path or public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    keyed = rows.select(F.struct(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id")).alias("k"), F.coalesce("ids", F.array().cast("array<int>")).alias("ids"))
-    found = decode_ids(keyed.where(F.size("ids") > 0), "k", path).select(F.col("k.doc_id").alias("doc_id"), "bytes")
-    return found.unionByName(keyed.where(F.size("ids") == 0).select(F.col("k.doc_id").alias("doc_id"), F.lit(b"").alias("bytes")))
+    ids = F.coalesce("ids", F.array().cast("array<int>"))
+    return with_tokens(rows.select(F.col("doc_id").cast("long").alias("doc_id"), ids.alias("ids")), path).select("doc_id", _bytes(F.col("ids")).alias("bytes"))
 
 
 def op8_bpe(spark, sf_dir: str) -> DataFrame:
