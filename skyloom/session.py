@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -38,10 +41,38 @@ def shared_dir(spark: SparkSession) -> str:
     return own
 
 
+_MADE: ContextVar[list[str] | None] = ContextVar("made", default=None)
+
+
+def new_folder(spark: SparkSession, label: str) -> str:
+    """A path in the shared folder that no one else uses; ``scratch`` knows of it."""
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    if (made := _MADE.get()) is not None:
+        made.append(path)
+    return path
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[list[str]]:
+    """Removes, at its end, what ``materialise`` wrote within; paths taken off the list stay.
+
+    For use around work whose result is written, as a frame that is still to be computed needs its tables.
+    """
+    made: list[str] = []
+    token = _MADE.set(made)
+    try:
+        yield made
+    finally:
+        _MADE.reset(token)
+        for path in made:
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Cut lineage: write ``df`` as Parquet into the shared folder and read it back."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    path = new_folder(spark, label)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

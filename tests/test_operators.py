@@ -184,3 +184,16 @@ def test_streams_equal_batches(spark, tmp_path):
     runs = windows.islands(batch, ["k"], ["t"], F.col("v") > 10, "t", "t").where("n > 1")
     ended = spark.read.parquet(f"{tmp_path}/runs").select("k", "start", "end", "n")
     assert ended.exceptAll(runs.select("k", "start", "end", "n")).count() == 0 and ended.count() >= runs.count() - 2
+
+
+def test_scratch_removes_what_was_written_within(spark):
+    import os
+
+    from skyloom.session import materialise, scratch
+
+    with scratch(spark) as made:
+        a = materialise(spark.range(3), "first")
+        b = materialise(a.selectExpr("id + 1 as id"), "second")
+        kept, gone = made.pop(), made[0]
+    place = lambda p: p.removeprefix("file://")
+    assert b.count() == 3 and os.path.isdir(place(kept)) and not os.path.exists(place(gone))
