@@ -20,7 +20,6 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import uuid
 from collections.abc import Iterator
 from functools import cache
 
@@ -35,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyloom.session import shared_dir
+from skyloom.session import new_folder
 
 BLOCK_ROWS = 8192
 BLOCK_CHARS = 16_000_000
@@ -138,8 +137,9 @@ def blocks(docs: DataFrame, pattern: str = public_tokenizers.PATTERN) -> DataFra
 def _bucketed(df: DataFrame, column: str, parts: int, label: str) -> DataFrame:
     """``df`` written in the shared folder as a table in ``parts`` buckets by ``column``."""
     spark = df.sparkSession
-    name = f"{label}_{uuid.uuid4().hex}"
-    df.write.format("parquet").option("path", f"{shared_dir(spark)}/{name}").option("compression", "zstd").bucketBy(parts, column).saveAsTable(name)
+    path = new_folder(spark, label)
+    name = path.rpartition("/")[2].replace("-", "_")
+    df.write.format("parquet").option("path", path).option("compression", "zstd").bucketBy(parts, column).saveAsTable(name)
     return spark.table(name)
 
 

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from skyloom.session import materialise, shared_dir
+from skyloom.session import materialise, new_folder
 
 #: Bytes of a frame and width of the image; padding byte, which no UTF-8 text holds.
 FRAME, PAD = 576, b"\xff"
@@ -255,7 +255,7 @@ def _payloads(docs: DataFrame) -> DataFrame:
 
 def op6_media_columns(spark, sf_dir: str) -> DataFrame:
     """All documents as images in archives, read back through the data source."""
-    folder = f"{shared_dir(spark)}/media-{uuid.uuid4().hex}"
+    folder = new_folder(spark, "media")
     if ":" not in folder:
         folder = f"file://{folder}"
     write_archives(_payloads(spark.read.parquet(f"{sf_dir}/documents.parquet")), folder)
