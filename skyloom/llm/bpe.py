@@ -5,12 +5,12 @@ joined back. A frequent word stands in nearly every text, so what is shuffled is
 but one for each block of texts that holds it: a block keeps its texts as lists of word numbers (the positions) and
 has a row for each of its distinct words. These rows cross one shuffle by word, in which each distinct word is encoded
 once and its ids are joined to its rows; by block the ids come back to the positions and each text's ids are put
-together in order. Decoding joins the ids of a block's words with the vocabulary's token-byte table, and a text's
-bytes are put together like its ids.
+together in order. Decoding joins each block with the vocabulary's token-byte table, one broadcast row of fixed size,
+and takes each id's bytes from it.
 
 Blocks are written once, bucketed by block, so that texts are cut once and never shuffled. A block holds at most
 ``BLOCK_ROWS`` texts and about ``BLOCK_CHARS`` characters (more only if one text is longer), which bounds every
-group; the number of buckets grows with the rows. No task keeps words from one batch to the next.
+group; the number of buckets grows with the rows. No task keeps words that have passed.
 
 Edge cases: a null or empty text has no ids; a null id stays null; repeated rows are encoded each; an empty table
 gives no rows; other columns are ignored; special-token strings are ordinary text.
@@ -41,9 +41,12 @@ BLOCK_CHARS = 16_000_000
 #: Buckets at most, the limit of Spark's own setting.
 BUCKETS = 100_000
 LEVEL = 7
+#: Rows of words from which a partition sends their ids on.
+FLUSH = 500_000
 
 #: A text row (number -1) or the row of a word of a block.
 BLOCKS = "block long, number int, word binary, places binary, doc_ids array<long>, sizes array<int>"
+CODED = "block long, numbers binary, counts binary, ids binary"
 _BLOCK_NAMES = ["block", "number", "word", "places", "doc_ids", "sizes"]
 _BLOCK_KINDS = [pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int32())]
 
@@ -60,15 +63,15 @@ def _encoder(path: str) -> tiktoken.Encoding:
 
 
 def vocabulary(spark: SparkSession, path: str) -> DataFrame:
-    """(tokens array<string>): one row, the token-byte table of a rank file in hex by id; its size does not depend on the input."""
+    """(tokens array<binary>): one row, the token-byte table of a rank file by id; its size does not depend on the input."""
 
     def run(_) -> Iterator[pa.RecordBatch]:
-        table: list[str | None] = [None] * (max(ranks(path).values()) + 1)
+        table = [b""] * (max(ranks(path).values()) + 1)
         for token, i in ranks(path).items():
-            table[i] = token.hex()
-        yield pa.RecordBatch.from_arrays([pa.array([table], pa.list_(pa.string()))], ["tokens"])
+            table[i] = token
+        yield pa.RecordBatch.from_arrays([pa.array([table], pa.list_(pa.binary()))], ["tokens"])
 
-    return spark.range(1, numPartitions=1).mapInArrow(run, "tokens array<string>")
+    return spark.range(1, numPartitions=1).mapInArrow(run, "tokens array<binary>")
 
 
 def _press(x: np.ndarray) -> bytes:
@@ -143,18 +146,34 @@ def _bucketed(df: DataFrame, column: str, parts: int, label: str) -> DataFrame:
     return spark.table(name)
 
 
+def _messages(block: np.ndarray, number: np.ndarray, ids: pa.ListArray) -> pa.RecordBatch:
+    """``CODED``: for each block one row with its words' numbers, numbers of ids, and ids, compressed."""
+    order = np.lexsort((number, block))
+    flat = ids.take(pa.array(order))
+    ends = flat.offsets.to_numpy().astype(np.int64)
+    values, number, block = flat.values.to_numpy(), number[order], block[order]
+    first = np.flatnonzero(np.append(True, block[1:] != block[:-1]))
+    spans = list(zip(first.tolist(), [*first[1:].tolist(), len(block)], strict=True))
+    columns = [
+        pa.array(block[first]),
+        pa.array([_press(np.diff(number[i:j], prepend=0)) for i, j in spans], pa.binary()),
+        pa.array([_press(np.diff(ends[i : j + 1])) for i, j in spans], pa.binary()),
+        pa.array([_press(values[ends[i] : ends[j]]) for i, j in spans], pa.binary()),
+    ]
+    return pa.RecordBatch.from_arrays(columns, ["block", "numbers", "counts", "ids"])
+
+
 def encode_words(rows: DataFrame, path: str, parts: int) -> DataFrame:
-    """``rows(word, ...)`` with ``ids`` in place of the word.
+    """``CODED`` of ``rows(block, number, word)``: the ids of each block's words, in messages from each partition.
 
     One shuffle by word; in each partition the rows come in order of words, so each distinct word is encoded once, when
-    it first comes, and its ids are joined to all its rows as they pass. Nothing is kept but the last word.
+    it first comes, and its ids are joined to all its rows as they pass. What is kept is the last word and at most
+    ``FLUSH`` rows.
     """
-    rest = [c for c in rows.columns if c != "word"]
-    kinds = dict(rows.dtypes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe, known = _encoder(path), ranks(path)
-        last, ids = None, None
+        last, ids, held, n = None, None, [], 0
         for batch in batches:
             runs = pc.run_end_encode(batch.column(0))
             found = []
@@ -165,15 +184,15 @@ def encode_words(rows: DataFrame, path: str, parts: int) -> DataFrame:
                 found.append(ids)
             which = np.repeat(np.arange(len(found)), np.diff(runs.run_ends.to_numpy(), prepend=0))
             joined = pa.array(found, pa.list_(pa.int32())).take(pa.array(which))
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], joined], [*rest, "ids"])
-
-    dealt = rows.select("word", *rest).repartition(parts, "word").sortWithinPartitions("word")
-    return dealt.mapInArrow(run, "".join(f"{c} {kinds[c]}, " for c in rest) + "ids array<int>")
+            held.append((batch.column(1).to_numpy(), batch.column(2).to_numpy(), joined))
+            n += batch.num_rows
+            if n >= FLUSH:
+                yield _messages(*(np.concatenate(x) for x in list(zip(*held, strict=True))[:2]), pa.concat_arrays([x[2] for x in held]))
+                held, n = [], 0
+        if n:
+            yield _messages(*(np.concatenate(x) for x in list(zip(*held, strict=True))[:2]), pa.concat_arrays([x[2] for x in held]))
 
-
-def _bytes(ids: Column) -> Column:
-    """Each id joined with its token in the one-row table beside it, in order; an id without a token has no bytes."""
-    return F.unhex(F.array_join(F.transform(ids, lambda i: F.coalesce(F.get("tokens", i), F.lit(""))), ""))
+    return rows.select("word", "block", "number").repartition(parts, "word").sortWithinPartitions("word").mapInArrow(run, CODED)
 
 
 def with_tokens(rows: DataFrame, path: str) -> DataFrame:
@@ -181,37 +200,41 @@ def with_tokens(rows: DataFrame, path: str) -> DataFrame:
     return rows.join(F.broadcast(vocabulary(rows.sparkSession, path)), F.lit(True), "left")
 
 
-def _gather(lists: pa.Array, number: np.ndarray):
-    """A function from word numbers to the joined entries of their lists (of ids or bytes)."""
-    offsets = np.asarray(lists.offsets if pa.types.is_list(lists.type) else np.frombuffer(lists.buffers()[1], np.int32)[lists.offset : lists.offset + len(lists) + 1], np.int64)
-    if pa.types.is_list(lists.type):
-        flat = lists.values.to_numpy(zero_copy_only=False)
-    else:
-        flat = np.frombuffer(lists.buffers()[2] or b"", np.uint8)
-    start, count = np.zeros(len(number), np.int64), np.zeros(len(number), np.int64)
-    start[number], count[number] = offsets[:-1], np.diff(offsets)
+def _taker(flat: np.ndarray, offsets: np.ndarray, at: np.ndarray | None = None):
+    """A function from numbers to the joined stretches of ``flat``; stretch k has the number ``at[k]``, else k."""
+    start, count = offsets[:-1], np.diff(offsets)
+    if at is not None:
+        start, count = np.zeros_like(start), np.zeros_like(count)
+        start[at], count[at] = offsets[:-1], np.diff(offsets)
 
-    def take(words: np.ndarray) -> np.ndarray:
-        n = count[words]
+    def take(numbers: np.ndarray) -> np.ndarray:
+        n = count[numbers]
         ends = np.cumsum(n)
-        return flat[np.repeat(start[words] - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)]
+        return flat[np.repeat(start[numbers] - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)]
 
     return take
 
 
+def _decoder(tokens: pa.Array):
+    """A function from ids to their tokens' bytes, by the joined table; an id without a token has none."""
+    data = np.frombuffer(b"".join(tokens.to_pylist()), np.uint8)
+    return _taker(data, np.append(0, np.cumsum(pc.binary_length(tokens).to_numpy())).astype(np.int64))
+
+
 def _texts(block: pa.Table) -> Iterator[tuple]:
-    """(doc_id, ids, bytes) of each text of a block; the block's words come with it as a list."""
+    """(doc_id, ids, bytes) of each text of a block, whose words' ids and the token table come with it."""
     for row in range(block.num_rows):
-        words = block.column("words").combine_chunks()[row].values
+        messages = block.column("words")[row].as_py() or []
         places = _numbers(block.column("places")[row].as_py()).astype(np.int64)
-        if words is not None and len(words):
-            number = words.field("number").to_numpy(zero_copy_only=False)
-            ids, raw = _gather(words.field("ids"), number), _gather(words.field("bytes"), number)
+        ids, raw = None, _decoder(block.column("tokens")[row].values)
+        if messages:
+            number, counts, flat = (np.concatenate(x).astype(np.int64) for x in zip(*((np.cumsum(_numbers(m["numbers"]), dtype=np.int64), _numbers(m["counts"]), _numbers(m["ids"])) for m in messages), strict=True))
+            ids = _taker(flat.astype(np.int32), np.append(0, np.cumsum(counts)), number)
         at = 0
         for doc_id, size in zip(block.column("doc_ids")[row].as_py(), block.column("sizes")[row].as_py(), strict=True):
-            here = places[at : at + size]
+            found = ids(places[at : at + size]) if size else np.zeros(0, np.int32)
             at += size
-            yield (doc_id, ids(here), raw(here).tobytes()) if size else (doc_id, np.zeros(0, np.int32), b"")
+            yield doc_id, found, raw(found).tobytes()
 
 
 def _by_block(docs: DataFrame, path: str, column, schema: str) -> DataFrame:
@@ -220,10 +243,9 @@ def _by_block(docs: DataFrame, path: str, column, schema: str) -> DataFrame:
     wanted = max(int(spark.conf.get("spark.sql.shuffle.partitions")), docs.count() // BLOCK_ROWS + 1)
     cut = _bucketed(blocks(docs), "block", min(wanted, BUCKETS), "bpe_blocks")
     coded = encode_words(cut.where("number >= 0").select("block", "number", "word"), path, min(wanted, BUCKETS))
-    words = coded.groupBy("block").agg(F.collect_list(F.struct("number", "ids")).alias("words"))
+    words = coded.groupBy("block").agg(F.collect_list(F.struct("numbers", "counts", "ids")).alias("words"))
     texts = cut.where("number < 0").select("block", "places", "doc_ids", "sizes").join(words, "block", "left")
-    decoded = F.transform("words", lambda w: F.struct(w["number"].alias("number"), w["ids"].alias("ids"), _bytes(w["ids"]).alias("bytes")))
-    texts = with_tokens(texts, path).select("block", "places", "doc_ids", "sizes", decoded.alias("words"))
+    texts = with_tokens(texts, path)
     fields = pa.schema([(f.split()[0], {"long": pa.int64(), "string": pa.string(), "binary": pa.binary()}.get(f.split()[1], pa.list_(pa.int32()))) for f in schema.split(", ")])
 
     def run(block: pa.Table) -> pa.Table:
@@ -244,7 +266,16 @@ def decode(rows: DataFrame, path: str | None = None) -> DataFrame:
     """(doc_id, bytes) of ``rows(doc_id, ids)``; ids that are empty or null give no bytes, ids without a token are left out."""
     path = path or public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     ids = F.coalesce("ids", F.array().cast("array<int>"))
-    return with_tokens(rows.select(F.col("doc_id").cast("long").alias("doc_id"), ids.alias("ids")), path).select("doc_id", _bytes(F.col("ids")).alias("bytes"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        raw = None
+        for batch in batches:
+            for row in range(batch.num_rows):
+                raw = raw or _decoder(batch.column(2)[row].values)  # the same table beside each row
+                x = batch.column(1)[row].values.to_numpy(zero_copy_only=False)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(row, 1), pa.array([raw(x).tobytes()], pa.binary())], ["doc_id", "bytes"])
+
+    return with_tokens(rows.select(F.col("doc_id").cast("long").alias("doc_id"), ids.alias("ids")), path).mapInArrow(run, "doc_id long, bytes binary")
 
 
 def op8_bpe(spark, sf_dir: str) -> DataFrame:
