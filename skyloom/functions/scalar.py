@@ -434,3 +434,22 @@ def chunk_frames(total_gb: C, knots: list[tuple[float, float]], headroom_gb: flo
         safe = F.when(budget >= g0, F.greatest(safe, end.cast("int"))).otherwise(safe)
     safe = F.when(budget <= knots[0][1], F.lit(least)).otherwise(safe)
     return F.greatest(F.least(safe, F.lit(requested)) if requested else safe, F.lit(least))
+
+
+def tlog_frames(head: C) -> Column:
+    """How many frames of a telemetry log follow each other in the first bytes, four at most: each eight bytes of
+    time, a mark (254 or 253) and a length; two or more make a log."""
+    digits = F.hex(col(head))
+    size = F.length(digits) / 2
+    byte = lambda k: F.conv(F.substring(digits, 2 * k + 1, F.lit(2)), 16, 10).cast("int")
+
+    def step(s: Column, _: Column) -> Column:
+        at = s["at"]
+        mark, more = byte(at + 8), F.when(byte(at + 10).bitwiseAND(1) == 1, 13).otherwise(0)
+        length = F.when(mark == 0xFE, byte(at + 9) + 8).when(mark == 0xFD, byte(at + 9) + 12 + more)
+        ok = (at >= 0) & (at + 10 < size) & length.isNotNull()
+        broken = (at >= 0) & (at + 10 < size) & length.isNull()
+        return F.struct(F.when(ok, at + 8 + length).otherwise(-1).cast("int").alias("at"), F.when(broken, -100).otherwise(s["n"] + ok.cast("int")).cast("int").alias("n"))
+
+    start = F.struct(F.lit(0).alias("at"), F.lit(0).alias("n"))
+    return F.greatest(F.aggregate(F.sequence(F.lit(1), F.lit(4)), start, step)["n"], F.lit(0))

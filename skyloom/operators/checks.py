@@ -184,7 +184,8 @@ def nearest_colour(df: DataFrame, key: str, rgb: list[str], palette: dict[str, t
 
 def noisy_fixes(df: DataFrame, key: str, columns: list[str], sigma: float, outlier_rate: float, outlier: float, seed: int = 0) -> DataFrame:
     """Noise that follows from the key and a seed, so it is the same for any partitioning."""
-    unit = lambda salt: (F.pmod(F.xxhash64(key, F.lit(seed), F.lit(salt)), F.lit(1 << 40)) + 0.5) / float(1 << 40)
+    digits = lambda salt: F.substring(F.md5(F.concat_ws("|", F.col(key).cast("string"), F.lit(str(seed)), F.lit(salt))), 1, 10)
+    unit = lambda salt: (F.conv(digits(salt), 16, 10).cast("double") + 0.5) / float(1 << 40)
     made = {}
     for k, c in enumerate(columns):
         normal = F.sqrt(-2 * F.log(unit(f"{k}a"))) * F.cos(2 * 3.141592653589793 * unit(f"{k}b"))
@@ -249,3 +250,19 @@ def contained_names(texts: DataFrame, text: str, names: DataFrame, name: str, he
     spread = texts.withColumn("__head", F.explode(heads))
     keyed = names.where(F.length(n) > 0).withColumn("__key", F.substring(n, 1, head))
     return spread.join(keyed, (F.col("__head") == F.col("__key")) & F.contains(t, n)).drop("__head", "__key")
+
+
+def sidecars(files: DataFrame, path: str, videos: tuple[str, ...], suffixes: tuple[str, ...]) -> DataFrame:
+    """(video, sidecar) of a listing: for each video the file of its folder and stem, case aside, whose suffix comes first."""
+    low = F.lower(F.col(path))
+    rows = files.select(F.col(path).alias("p"), F.regexp_replace(low, r"\.[^./]*$", "").alias("stem"), F.regexp_extract(low, r"(\.[^./]*)$", 1).alias("suffix"))
+    rank = F.array_position(F.array(*map(F.lit, suffixes)), F.col("suffix"))
+    sides = rows.where(rank > 0).groupBy("stem").agg(F.min_by("p", F.struct(rank, F.col("p"))).alias("sidecar"))
+    return rows.where(F.col("suffix").isin(*videos)).join(sides, "stem", "left").select(F.col("p").alias("video"), "sidecar")
+
+
+def allotments(stages: DataFrame, run: str, weight: str, done: str, remaining: str) -> DataFrame:
+    """Seconds of each open stage: its share of the weights of its run's open stages in the time that remains."""
+    open_ = F.when(~F.col(done), F.col(weight))
+    share = F.col(weight) / F.nullif(F.sum(open_).over(Window.partitionBy(run)), F.lit(0.0))
+    return stages.withColumn("allotment", F.when(~F.col(done), share * F.greatest(F.col(remaining), F.lit(0.0))))

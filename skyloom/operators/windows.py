@@ -155,8 +155,8 @@ def prefix_budget(df: DataFrame, keys: list[str], order: list[Column], cost: str
 
 
 def sample_by_hash(df: DataFrame, key: str, n: int, seed: int = 0) -> DataFrame:
-    """``n`` rows by the smallest hashes of the key, the same each time; a top-k, so no full sort."""
-    return df.orderBy(F.xxhash64(F.col(key), F.lit(seed)), key).limit(n)
+    """``n`` rows by the smallest MD5 of key and seed, the same each time; a top-k, so no full sort."""
+    return df.orderBy(F.md5(F.concat_ws("|", F.col(key).cast("string"), F.lit(str(seed)))), key).limit(n)
 
 
 def numbered_by(df: DataFrame, order: list[Column], keys: list[str] = ()) -> DataFrame:

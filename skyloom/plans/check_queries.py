@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from skyloom.functions import scalar as S
 from skyloom.operators import checks, images, raster
 from skyloom.plans.catalog import register
 from skyloom.plans.tables import FRAMES_SQL, POINTS_SQL, SMALL_CLOUD_SQL, TELEMETRY_SQL, frames, points, rounded, small_cloud, table, telemetry
@@ -194,7 +195,13 @@ def nearest_colour(spark, sf_dir):
     return checks.nearest_colour(rows, "p_partkey", ["r", "g", "b"], {"zone1": (0, 200, 0), "zone2": (255, 160, 0), "zone3": (220, 0, 0)})
 
 
-@register("noisy_track")
+def _noisy_sql(c: str, k: int) -> str:
+    unit = lambda salt: f"(cast('0x' || substr(md5(event_id || '|0|{salt}'), 1, 10) as bigint) + 0.5e0) / 1099511627776e0"
+    jump = f"case when {unit('out')} < 0.01 then case when {unit(f'{k}s')} < 0.5 then -0.001e0 else 0.001e0 end else 0 end"
+    return f"round({c} + 0.00001e0 * sqrt(-2 * ln({unit(f'{k}a')})) * cos(2 * 3.141592653589793e0 * {unit(f'{k}b')}) + {jump}, 9) as {c}"
+
+
+@register("noisy_track", f"select event_id, {_noisy_sql('lat', 0)}, {_noisy_sql('lon', 1)} from {T}")
 def noisy_track(spark, sf_dir):
     """Fixes with noise that follows from their ids."""
     return rounded(checks.noisy_fixes(telemetry(spark, sf_dir).select("event_id", "lat", "lon"), "event_id", ["lat", "lon"], 1e-5, 0.01, 1e-3), 9)
@@ -220,3 +227,38 @@ def cropped_surface(spark, sf_dir):
     """A surface cropped to what it holds."""
     g = raster.rasterise(points(spark, sf_dir), "x", "y", 1.0, [F.count("*").alias("n")])
     return checks.cropped(g.withColumn("n", F.when((F.col("row") > 2) & (F.col("col") > 5), F.col("n"))), "n")
+
+
+@register("hash_sample", f"""select event_id, channel from {T} order by md5(event_id || '|7'), event_id limit 500""")
+def hash_sample(spark, sf_dir):
+    """A sample of fixed size that is the same each time."""
+    from skyloom.operators.windows import sample_by_hash
+
+    return sample_by_hash(telemetry(spark, sf_dir).select("event_id", "channel"), "event_id", 500, 7)
+
+
+@register("sidecars", f"""select '/d/Clip' || event_id || '.MP4' as video, case when event_id % 4 = 0 then '/d/clip' || event_id || '.SRT' when event_id % 4 = 1 then '/d/CLIP' || event_id || '.klv' when event_id % 4 = 2 then '/d/clip' || event_id || '.csv' end as sidecar from {T}""")
+def sidecars(spark, sf_dir):
+    """The telemetry file beside each video of a listing."""
+    i = F.col("event_id").cast("string")
+    k = F.col("event_id") % 4
+    names = F.array(F.concat(F.lit("/d/Clip"), i, F.lit(".MP4")), F.when(k == 0, F.concat(F.lit("/d/clip"), i, F.lit(".SRT"))), F.when(k == 1, F.concat(F.lit("/d/CLIP"), i, F.lit(".klv"))), F.when(k == 2, F.concat(F.lit("/d/clip"), i, F.lit(".csv"))), F.when(k < 2, F.concat(F.lit("/d/clip"), i, F.lit(".txt"))))
+    files = telemetry(spark, sf_dir).select(F.explode(F.array_compact(names)).alias("path"))
+    return checks.sidecars(files, "path", (".mp4", ".mov"), (".klv", ".srt", ".csv", ".txt"))
+
+
+@register("allotments", f"""with s as (select video, frame, sharpness as w, status = 'F' as done from {FR}) select video, frame, round(case when not done then w / nullif(sum(w) filter (not done) over (partition by video), 0) * 600 end, 6) as allotment from s""")
+def allotments(spark, sf_dir):
+    """Seconds of each open stage of a run."""
+    rows = frames(spark, sf_dir).select("video", "frame", "sharpness", (F.col("status") == "F").alias("done"), F.lit(600.0).alias("left"))
+    return rounded(checks.allotments(rows, "video", "sharpness", "done", "left").select("video", "frame", "allotment"))
+
+
+@register("tlog_heads", f"""select event_id, case event_id % 4 when 0 then 4 when 1 then 3 when 2 then 1 else 0 end as frames from {T}""")
+def tlog_heads(spark, sf_dir):
+    """Frames that follow each other at the start of a telemetry log."""
+    k = F.col("event_id") % 4
+    one = F.concat(F.lit("0000000000000001fe03"), F.repeat(F.lit("00"), F.lit(9)))  # 3 bytes and 6 of frame
+    two = F.concat(F.lit("0000000000000001fd0401"), F.repeat(F.lit("00"), F.lit(26)))  # signed
+    head = F.when(k == 0, F.concat(one, two, one, two, one)).when(k == 1, F.concat(one, two, two)).when(k == 2, one).otherwise(F.concat(one, F.repeat(F.lit("aa"), F.lit(40))))
+    return telemetry(spark, sf_dir).select("event_id", S.tlog_frames(F.unhex(head)).cast("long").alias("frames"))
