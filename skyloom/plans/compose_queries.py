@@ -24,21 +24,33 @@ def _cameras(spark, sf_dir):
     return table(spark, sf_dir, "supplier").select(k.alias("view"), (k % 50).cast("double").alias("cx"), (k % 11).cast("double").alias("cy"), (F.lit(120.0) + k % 3).alias("cz"))
 
 
-@register("cloud_zones", f"""with c as (select s_suppkey as view, (s_suppkey % 50) * 1.0e0 as cx, (s_suppkey % 11) * 1.0e0 as cy, 120.0e0 + s_suppkey % 3 as cz from supplier),
-    h as (select *, cast(floor(x / 4.0e0) as bigint) as c_x, cast(floor(y / 4.0e0) as bigint) as c_y, cast(floor(z / 4.0e0) as bigint) as c_z from {P}),
+def _zones_sql(size: str) -> str:
+    return f"""with c as (select s_suppkey as view, (s_suppkey % 50) * 1.0e0 as cx, (s_suppkey % 11) * 1.0e0 as cy, 120.0e0 + s_suppkey % 3 as cz from supplier),
+    h as (select *, cast(floor(x / {size}) as bigint) as c_x, cast(floor(y / {size}) as bigint) as c_y, cast(floor(z / {size}) as bigint) as c_z from {P}),
     v as (select c_x, c_y, c_z, count(*) as n, avg(x) as mx, avg(y) as my, avg(z) as mz from h group by 1, 2, 3),
     r as (select distinct c_x, c_y, c_z, view from h), d as (select r.*, cx - mx as dx, cy - my as dy, cz - mz as dz from r join v using (c_x, c_y, c_z) join c using (view)),
     u as (select c_x, c_y, c_z, view, dx / sqrt(dx * dx + dy * dy + dz * dz) as x, dy / sqrt(dx * dx + dy * dy + dz * dz) as y, dz / sqrt(dx * dx + dy * dy + dz * dz) as z from d),
     m as (select c_x, c_y, c_z, avg(x) as ax, avg(y) as ay, avg(z) as az, count(*) as views from u group by 1, 2, 3),
     f as (select u.*, views, row_number() over (partition by u.c_x, u.c_y, u.c_z order by round(x * ax + y * ay + z * az, 12), view) as k from u join m using (c_x, c_y, c_z)),
     w as (select u.c_x, u.c_y, u.c_z, any_value(f.views) as views, degrees(acos(least(greatest(min(u.x * f.x + u.y * f.y + u.z * f.z), -1), 1))) as angle from u join f on u.c_x = f.c_x and u.c_y = f.c_y and u.c_z = f.c_z and f.k = 1 group by 1, 2, 3)
-    select c_x, c_y, c_z, n, coalesce(views, 0) as views, round(angle, 3) as angle, case when coalesce(views, 0) >= 4 and round(coalesce(angle, 0), 6) >= 5 then 1 when coalesce(views, 0) >= 1 then 2 else 3 end as zone from v left join w using (c_x, c_y, c_z)""")
+    select c_x, c_y, c_z, n, coalesce(views, 0) as views, round(angle, 3) as angle, case when coalesce(views, 0) >= 4 and round(coalesce(angle, 0), 6) >= 5 then 1 when coalesce(views, 0) >= 1 then 2 else 3 end as zone from v left join w using (c_x, c_y, c_z)"""
+
+
+@register("cloud_zones", _zones_sql("4.0e0"))
 def cloud_zones(spark, sf_dir):
     """Zones of voxels from views and widest ray angles."""
     return rounded(compose.classify_cloud(points(spark, sf_dir), _cameras(spark, sf_dir), 4.0), 3)
 
 
-@register("fusion_gaps")
+_FUSION_SQL = f"""with recursive z as ({_zones_sql("0.5e0")}), g as (select c_y as row, c_x as col, min(zone) as zone from z group by all), box as (select min(row) as r0, max(row) as r1, min(col) as c0, max(col) as c1 from g),
+    e as (select row, col from (select unnest(range(r0, r1 + 1)) as row from box), (select unnest(range(c0, c1 + 1)) as col from box)),
+    n as (select row * 4294967296 + col as id, row, col from e where not exists (select 1 from g where g.row = e.row and g.col = e.col and g.zone <= 1)),
+    l as (select id, id as label from n union select b.id, l.label from l join n a on a.id = l.id join n b on abs(b.row - a.row) <= 1 and abs(b.col - a.col) <= 1 and l.label < b.id),
+    m as (select id, min(label) as label from l group by id), r as (select label, count(*) as cells, avg(row) as row, avg(col) as col from n join m using (id) group by label)
+    select row_number() over (order by cells desc, label) as number, cells, round(cells * 0.25e0, 6) as area, round(row, 6) as row, round(col, 6) as col from r"""
+
+
+@register("fusion_gaps", _FUSION_SQL)
 def fusion_gaps(spark, sf_dir):
     """Gaps of the fused ground map as numbered regions."""
     return rounded(compose.fusion_pass(points(spark, sf_dir), _cameras(spark, sf_dir), 0.5, 1, 0.25, sure=1)["gaps"])

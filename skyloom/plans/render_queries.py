@@ -31,7 +31,16 @@ def dynamic_pixels(spark, sf_dir):
     return render.dynamic_pixels(v, ["u", "w"], "d", "o", "t", tolerance=0.5, least_views=3, least_texture=0.05)
 
 
-@register("ortho_render")
+_ORTHO_SQL = """with t as (select point_id, x - 1.2 as x0, x + 1.3 as x1, x + 0.1 as x2, y - 0.9 as y0, y - 0.8 as y1, y + 1.4 as y2, z as z0, z + 1 as z1, z + 2 as z2 from (select point_id, cast(x as double) as x, y, z from {P})),
+    b as (select *, cast(floor(least(x0, x1, x2) / 0.5) as bigint) as c0, cast(floor(greatest(x0, x1, x2) / 0.5) as bigint) as c1, cast(floor(least(y0, y1, y2) / 0.5) as bigint) as r0, cast(floor(greatest(y0, y1, y2) / 0.5) as bigint) as r1 from t),
+    r as (select *, unnest(range(r0, r1 + 1)) as row from b), c as (select *, unnest(range(c0, c1 + 1)) as col from r),
+    p as (select *, (col + 0.5) * 0.5 as px, (row + 0.5) * 0.5 as py, (y1 - y2) * (x0 - x2) + (x2 - x1) * (y0 - y2) as whole from c),
+    w as (select *, ((y1 - y2) * (px - x2) + (x2 - x1) * (py - y2)) / whole as a, ((y2 - y0) * (px - x2) + (x0 - x2) * (py - y2)) / whole as bb from p),
+    i as (select row, col, a * z0 + bb * z1 + (1 - a - bb) * z2 as z, point_id from w where a >= 0 and bb >= 0 and 1 - a - bb >= 0)
+    select row, col, round(z, 5) as z, point_id from i qualify row_number() over (partition by row, col order by z desc, point_id desc) = 1"""
+
+
+@register("ortho_render", _ORTHO_SQL.replace("{P}", P))
 def ortho_render(spark, sf_dir):
     """Highest surface of triangles around every point."""
     p = points(spark, sf_dir).select("point_id", "x", "y", "z")
