@@ -40,7 +40,11 @@ BLOCK_ROWS = 8192
 BLOCK_CHARS = 16_000_000
 #: Buckets at most, the limit of Spark's own setting.
 BUCKETS = 100_000
-LEVEL = 7
+LEVEL = 12
+#: Bits of a word's number in its block, and of a block's in its partition: both and the partition are one 63-bit number.
+NUMBER, IN_PARTITION = 28, 12
+#: How blocks are stored: numbers of words follow each other, so each is written as what differs from the one before.
+PARQUET = {"compression": "zstd", "parquet.compression.codec.zstd.level": "9", "parquet.writer.version": "v2", "parquet.enable.dictionary": "false"}
 #: Rows of words from which a partition sends their ids on.
 FLUSH = 500_000
 
@@ -104,6 +108,7 @@ class _Block:
         """The texts' row, then the words' rows; frequent words get small numbers."""
         places = np.concatenate(self.texts)
         words = [w.encode() for w in self.known]
+        # of equal counts in order of coming, in which places rise by one again and again and compress well
         order = np.argsort(-np.bincount(places, minlength=len(words)), kind="stable")
         number = np.empty(len(words), np.int64)
         number[order] = np.arange(len(words))
@@ -122,7 +127,8 @@ def blocks(docs: DataFrame, pattern: str = public_tokenizers.PATTERN) -> DataFra
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         find = regex.compile(pattern).findall
-        block, n = _Block(), TaskContext.get().partitionId() << 32
+        block, n = _Block(), TaskContext.get().partitionId() << IN_PARTITION
+        behind = n + (1 << IN_PARTITION)
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
@@ -131,6 +137,8 @@ def blocks(docs: DataFrame, pattern: str = public_tokenizers.PATTERN) -> DataFra
                     if len(block.texts) >= BLOCK_ROWS or block.chars >= BLOCK_CHARS:
                         yield from block.batches(n)
                         block, n = _Block(), n + 1
+                        if n == behind or n >> 63 - NUMBER:
+                            raise ValueError("too many blocks in a partition, or partitions; read the input in other parts")
         if block.texts:
             yield from block.batches(n)
 
@@ -142,7 +150,7 @@ def _bucketed(df: DataFrame, column: str, parts: int, label: str) -> DataFrame:
     spark = df.sparkSession
     path = new_folder(spark, label)
     name = path.rpartition("/")[2].replace("-", "_")
-    df.write.format("parquet").option("path", path).option("compression", "zstd").bucketBy(parts, column).saveAsTable(name)
+    df.write.format("parquet").option("path", path).options(**PARQUET).bucketBy(parts, column).saveAsTable(name)
     return spark.table(name)
 
 
@@ -184,7 +192,8 @@ def encode_words(rows: DataFrame, path: str, parts: int) -> DataFrame:
                 found.append(ids)
             which = np.repeat(np.arange(len(found)), np.diff(runs.run_ends.to_numpy(), prepend=0))
             joined = pa.array(found, pa.list_(pa.int32())).take(pa.array(which))
-            held.append((batch.column(1).to_numpy(), batch.column(2).to_numpy(), joined))
+            key = batch.column(1).to_numpy()
+            held.append((key >> NUMBER, key & (1 << NUMBER) - 1, joined))
             n += batch.num_rows
             if n >= FLUSH:
                 yield _messages(*(np.concatenate(x) for x in list(zip(*held, strict=True))[:2]), pa.concat_arrays([x[2] for x in held]))
@@ -192,7 +201,8 @@ def encode_words(rows: DataFrame, path: str, parts: int) -> DataFrame:
         if n:
             yield _messages(*(np.concatenate(x) for x in list(zip(*held, strict=True))[:2]), pa.concat_arrays([x[2] for x in held]))
 
-    return rows.select("word", "block", "number").repartition(parts, "word").sortWithinPartitions("word").mapInArrow(run, CODED)
+    key = F.shiftleft("block", NUMBER).bitwiseOR(F.col("number").cast("long"))
+    return rows.select("word", key.alias("key")).repartition(parts, "word").sortWithinPartitions("word").mapInArrow(run, CODED)
 
 
 def with_tokens(rows: DataFrame, path: str) -> DataFrame:
