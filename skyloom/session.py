@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 
@@ -41,6 +41,7 @@ def shared_dir(spark: SparkSession) -> str:
     return own
 
 
+_TABLE = "table:"
 _MADE: ContextVar[list[str] | None] = ContextVar("made", default=None)
 
 
@@ -54,7 +55,7 @@ def new_folder(spark: SparkSession, label: str) -> str:
 
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[list[str]]:
-    """Removes, at its end, what ``materialise`` wrote within; paths taken off the list stay.
+    """Removes, at its end, what ``materialise`` and ``bucketed`` wrote within; paths taken off the list stay.
 
     For use around work whose result is written, as a frame that is still to be computed needs its tables.
     """
@@ -65,6 +66,9 @@ def scratch(spark: SparkSession) -> Iterator[list[str]]:
     finally:
         _MADE.reset(token)
         for path in made:
+            if path.startswith(_TABLE):
+                spark.sql(f"drop table if exists {path.removeprefix(_TABLE)}")
+                continue
             place = spark._jvm.org.apache.hadoop.fs.Path(path)
             place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
@@ -77,6 +81,30 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, column: str, parts: int, label: str, **options: str) -> DataFrame:
+    """``df`` written in the shared folder in ``parts`` buckets by ``column``, so that later joins by it leave it in place.
+
+    Buckets need an entry in the session's catalogue; ``scratch`` drops it with the files.
+    """
+    spark = df.sparkSession
+    path = new_folder(spark, label)
+    name = path.rpartition("/")[2].replace("-", "_")
+    df.write.format("parquet").option("path", path).options(compression="zstd", **options).bucketBy(parts, column).saveAsTable(name)
+    if (made := _MADE.get()) is not None:
+        made.append(_TABLE + name)
+    return spark.table(name)
+
+
+def settled(spark: SparkSession, label: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """What ``build()`` returns, written; all that it wrote on its way is removed."""
+    with scratch(spark) as made:
+        done = materialise(build(), label)
+        path = made.pop()
+    if (outer := _MADE.get()) is not None:
+        outer.append(path)
+    return done
+
+
 def unused(df: DataFrame, name: str) -> str:
     """``name``, with underscores before it until no column begins so, case aside."""
     while any(c.lower().startswith(name.lower()) for c in df.columns):
