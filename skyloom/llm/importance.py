@@ -46,7 +46,8 @@ def _slices(texts: pa.Array) -> Iterator[pa.Array]:
 
 def _words(texts: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
     """(numbers of the words in order, the distinct words, words of each text)."""
-    lower = pc.ascii_lower(pc.fill_null(texts.cast(pa.large_string()), ""))
+    # a copy of its own: over some slices of larger arrays ``ascii_lower`` returns shifted bytes
+    lower = pc.ascii_lower(pa.concat_arrays([pc.fill_null(texts, ""), pa.array([], texts.type)]))
     parts = pc.split_pattern_regex(lower, pattern=APART)
     flat, owner = pc.list_flatten(parts), pc.list_parent_indices(parts)
     real = pc.not_equal(pc.binary_length(flat), 0)  # before the first word and behind the last

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from skyloom.llm import bpe, centroids, importance, langid, licenses, media, packing, quality, sharding, simhash, toxicity, warc
+from skyloom.llm import bpe, centroids, importance, langid, licenses, media, packing, quality, sharding, simhash, suffixes, toxicity, warc
 
 
 def queries() -> dict:
@@ -19,6 +19,7 @@ def queries() -> dict:
         "op8_bpe": bpe.op8_bpe,
         "op9_warc_derivatives": warc.op9_warc_derivatives,
         "op10_language_id": langid.op10_language_id,
+        "op11_suffixes": suffixes.op11_suffixes,
         "op12_centroids": centroids.op12_centroids,
         "op13_importance": importance.op13_importance,
     }
@@ -27,6 +28,7 @@ def queries() -> dict:
 def oracle_sql() -> dict[str, str]:
     return {
         "op9_warc_derivatives": warc.ORACLE_SQL,
+        "op11_suffixes": suffixes.ORACLE_SQL,
         "op12_centroids": centroids.ORACLE_SQL,
         "op13_importance": importance.ORACLE_SQL,
     }

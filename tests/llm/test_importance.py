@@ -6,6 +6,7 @@ from collections import Counter
 from math import floor, log
 from zlib import crc32
 
+import pyarrow as pa
 import pytest
 
 from skyloom.llm import importance
@@ -52,3 +53,12 @@ def test_against_plain(spark, odd, monkeypatch, n, slice_bytes):
 def test_empty_tables(spark, odd, none):
     assert resample(none, odd.select("text")).count() == 0
     assert resample(odd, none.select("text")).count() == odd.count()
+
+
+def test_words_of_slices_of_long_arrays():
+    texts = [f"Ünïcode “{i}” Straße ÀB{i % 7}日本 " * (i % 50) if i % 11 else None for i in range(3000)]
+    for part in importance._slices(pa.array(texts).slice(17)):
+        index, words, sizes = importance._words(part)
+        want = [features(t, 1)[0] for t in part.to_pylist()]
+        assert [words[i].as_py() for i in index.tolist()] == [w for t in want for w in t]
+        assert sizes.tolist() == [len(t) for t in want]
