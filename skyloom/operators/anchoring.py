@@ -15,6 +15,7 @@ from pyspark.sql.window import Window
 
 from skyloom.operators.cloud import weighted_fusion
 from skyloom.operators.distance import nearest_cells
+from skyloom.operators.stats import hash_pairs
 from skyloom.session import materialise
 
 
@@ -42,24 +43,17 @@ class AnchorLimits:
 PIXEL = ["frame", "row", "col"]
 
 
-def _hash(*columns: str) -> Column:
-    return F.md5(F.concat_ws(":", *columns))
-
-
 def consensus_lines(rows: DataFrame, key: str, x: str, y: str, tolerance: Column, place: list[str], pairs: int) -> DataFrame:
     """(key, scale, shift) of ``y = scale x + shift``, the least-squares line over the rows near the best of up to
     ``pairs`` lines through two rows; only rising lines count.
 
-    A hash of ``place`` deals the rows into ``pairs`` classes; each class's first and last by the hash make a line. So
-    pairs come from one merged aggregate, the same in each run, and no group is gathered.
+    Pairs are ``stats.hash_pairs`` by ``place``.
     """
-    h = _hash(key, *place)
-    kept = rows.where(F.col(x).isNotNull() & F.col(y).isNotNull()).withColumns({"__t": tolerance, "__h": h})
-    share = F.conv(F.substring("__h", 1, 6), 16, 10).cast("long") % pairs
-    ends = kept.groupBy(key, share.alias("__k")).agg(F.min(F.struct("__h", x, y)).alias("a"), F.max(F.struct("__h", x, y)).alias("b"))
-    slope = (F.col(f"b.{y}") - F.col(f"a.{y}")) / F.nullif(F.col(f"b.{x}") - F.col(f"a.{x}"), F.lit(0.0))
-    lines = ends.withColumn("s", slope).where("s > 0").select(key, "__k", "s", (F.col(f"a.{y}") - F.col("s") * F.col(f"a.{x}")).alias("t"))
-    lines = lines.groupBy(key).agg(F.collect_list(F.struct("__k", "s", "t")).alias("__lines"))  # at most ``pairs``
+    kept = rows.where(F.col(x).isNotNull() & F.col(y).isNotNull()).withColumn("__t", tolerance)
+    ends = hash_pairs(kept, key, F.concat_ws(":", key, *place), [x, y], pairs)
+    slope = (F.col(f"q.{y}") - F.col(f"p.{y}")) / F.nullif(F.col(f"q.{x}") - F.col(f"p.{x}"), F.lit(0.0))
+    lines = ends.withColumn("s", slope).where("s > 0").select(key, "__k", "s", (F.col(f"p.{y}") - F.col("s") * F.col(f"p.{x}")).alias("t"))
+    lines = lines.groupBy(key).agg(F.collect_list(F.struct("__k", "s", "t")).alias("__lines"))  # ``pairs`` and few more
     near = F.abs(F.col("l.s") * F.col(x) + F.col("l.t") - F.col(y)) < F.col("__t")
     tried = kept.join(lines, key).select(key, x, y, "__t", F.explode("__lines").alias("l")).where(near)
     best = tried.groupBy(key, "l").agg(F.count("*").alias("n")).groupBy(key).agg(F.max(F.struct(F.col("n"), -F.col("l.__k"), F.col("l"))).alias("m"))

@@ -55,6 +55,22 @@ def quantiles(df: DataFrame, keys: list[str], value: str, shares: list[float]) -
     return found.select(*keys, "n", *((F.col(f"a{k}") + (F.col(f"b{k}") - F.col(f"a{k}")) * part(q)).alias(f"q{k}") for k, q in enumerate(shares)))
 
 
+def hash_pairs(rows: DataFrame, key: str, place: Column, columns: list[str], pairs: int) -> DataFrame:
+    """(key, __k, p, q): about ``pairs`` pairs of unlike rows of each key as structs of ``columns``, the same in each run.
+
+    A hash of ``place`` deals rows into classes, whose first and last row by it are a pair. A key with few rows has half
+    as many classes as rows and deals them anew until there are enough; one with many deals them once, in a merged
+    aggregate that gathers nothing.
+    """
+    sizes = rows.groupBy(key).agg(F.count("*").alias("__n")).withColumn("__m", F.greatest(F.lit(1), F.least(F.lit(pairs), F.floor(F.col("__n") / 2))).cast("long"))
+    times = F.sequence(F.lit(0).cast("long"), F.ceil(F.lit(pairs) / F.col("__m")) - 1)
+    dealt = rows.join(sizes, key).select(key, *columns, "__m", place.alias("__p"), F.explode(times).alias("__t"))
+    dealt = dealt.withColumn("__h", F.md5(F.concat_ws(":", "__p", "__t")))
+    k = F.col("__t") * F.col("__m") + F.conv(F.substring("__h", 1, 6), 16, 10).cast("long") % F.col("__m")
+    ends = dealt.groupBy(key, k.alias("__k")).agg(*(f(F.struct("__h", *columns)).alias(n) for f, n in ((F.min, "p"), (F.max, "q"))))
+    return ends.where("p.__h <> q.__h")
+
+
 def error_stats(df: DataFrame, keys: list[str], d: str) -> DataFrame:
     """A1: n, mean, median, RMS, 95th percentile of the size and NMAD of signed errors.
 

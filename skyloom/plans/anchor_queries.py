@@ -37,8 +37,10 @@ _ANCHOR_SQL = f"""with {_PIXELS_SQL},
   v as materialized (select p.*, mono > 0 and conf >= low as valid, mono > 0 and conf >= low and measured is null as region from pixels p join low using (frame)),
   d as (select a.frame, a.row, a.col, min((a.row - s.row) ** 2 + (a.col - s.col) ** 2) as d2 from v a join v s on s.frame = a.frame and s.region group by all),
   z as materialized (select v.*, case when valid and measured is not null and d2 <= 4 then 'band' when valid and measured is not null and d2 <= 16 then 'ring' end as zone,
-    greatest(0.3e0, 0.002e0 * measured) as tol, md5(frame || ':' || row || ':' || col) as h from v left join d using (frame, row, col)),
-  ends as (select frame, ('0x' || substr(h, 1, 6))::int % 60 as k, arg_min(mono, h) as x1, arg_min(measured, h) as y1, arg_max(mono, h) as x2, arg_max(measured, h) as y2 from z where zone = 'band' group by all),
+    greatest(0.3e0, 0.002e0 * measured) as tol from v left join d using (frame, row, col)),
+  dealt as (select frame, mono, measured, m, t, md5(frame || ':' || row || ':' || col || ':' || t) as h from (select *, unnest(range(ceil(60 / m)::bigint)) as t
+    from z join (select frame, greatest(1, least(60, count(*) // 2)) as m from z where zone = 'band' group by frame) using (frame) where zone = 'band')),
+  ends as (select frame, t * m + ('0x' || substr(h, 1, 6))::int % m as k, arg_min(mono, h) as x1, arg_min(measured, h) as y1, arg_max(mono, h) as x2, arg_max(measured, h) as y2 from dealt group by all),
   lines as (select frame, k, (y2 - y1) / (x2 - x1) as s, y1 - (y2 - y1) / (x2 - x1) * x1 as t from ends where x1 <> x2 and (y2 - y1) / (x2 - x1) > 0),
   tried as (select frame, k, s, t, count(*) as n from lines join z using (frame) where zone = 'band' and abs(s * mono + t - measured) < tol group by all),
   best as (select frame, s, t from (select *, row_number() over (partition by frame order by n desc, k) as place from tried) where place = 1),
