@@ -95,7 +95,7 @@ def phase_shift(spark, sf_dir):
        (select p.video, p.i, p.m, p.s, k.m as last, min(p.i) filter (p.m > k.m + 1 - 0.7) over (partition by p.video) as reach from k join p on p.video = k.video and p.i > k.i) where i between reach - 2 and reach) where first = 1)
     select p.video, p.frame, k.i is not null as selected, round(k.overlap, 6) as overlap from p left join k on k.video = p.video and k.i = p.i""")
 def frame_selection(spark, sf_dir):
-    """Overlap-targeted frames of each series."""
+    """Overlap-targeted frames of each series."""
     from pyspark.sql.window import Window
 
     travel = F.sum(F.col("overlap") * 0.2).over(Window.partitionBy("video").orderBy("frame"))
@@ -103,6 +103,43 @@ def frame_selection(spark, sf_dir):
     return rounded(recurrences.select_frames(rows, ["video"], "frame", "travel", "sharpness", "key"))
 
 
+def _probe_sql(probes: int = 4) -> str:
+    """Each recursion keeps one frame: ``probes`` joins look ahead, each as far as the one before it says."""
+    after = lambda s, o: f"""case when {o} is null then nullif(greatest(1, {s} // 2), {s}) when abs({o} - 0.7e0) <= 0.05e0 then null
+        else nullif(floor(least(greatest({s} * (1 - 0.7e0) / greatest(1 - {o}, 1e-3), 1), least(5, greatest(stride * 2, stride + 1))) + 0.5)::bigint, {s}) end"""
+    seen = lambda n: f"case when p.ok and 1 - (p.m - x.m) >= 0.3 then greatest(0, 1 - (p.m - x.m)) end as o{n}, p.i is not null as t{n}"
+    x = "(select k.video, k.i, k.m, k.stride, n, stride as s1, least(least(greatest(stride, 1), 5), n - k.i) as w1 from k join sizes using (video) where k.i + 1 <= n)"
+    for k in range(1, probes + 1):
+        x = f"(select x.*, {seen(k)} from {x} x left join p on p.video = x.video and p.i = x.i + x.w{k})"
+        if k < probes:
+            x = f"(select *, case when t{k} then {after(f's{k}', f'o{k}')} end as s{k + 1} from {x})"
+            w = f"least(least(greatest(s{k + 1}, 1), 5), n - i)"
+            again = " or ".join(f"{w} = w{j}" for j in range(1, k + 1))
+            x = f"(select *, case when s{k + 1} is not null and not ({again}) then {w} end as w{k + 1} from {x})"
+    # none confirmed: the shortest stride, unless it was tried
+    ws, os = [f"w{k}" for k in range(1, probes + 1)], [f"o{k}" for k in range(1, probes + 1)]
+    x = f"(select *, case when coalesce({', '.join(os)}) is null and not coalesce({' or '.join(f'coalesce({w} = 1, false)' for w in ws)}, false) then 1 end as w{probes + 1} from {x})"
+    x = f"(select x.*, {seen(probes + 1)} from {x} x left join p on p.video = x.video and p.i = x.i + x.w{probes + 1})"
+    options = ", ".join(f"{{'d': coalesce(abs(o{k} - 0.7e0), 9), 'k': case when o{k} is null then -{k} else {k} end, 'w': w{k}, 'o': o{k}}}" for k in range(1, probes + 2))
+    x = f"(select video, i, list_min(list_filter([{options}], lambda c: c.w is not null)) as c from {x})"
+    return f"""with recursive p as materialized (select video, frame, sum(overlap * 0.2) over (partition by video order by frame) as m, status <> 'P' as ok, row_number() over (partition by video order by frame) as i from {FRAMES_SQL}),
+    sizes as (select video, count(*) as n from p group by video),
+    k as (select video, i, m, 2::bigint as stride, cast(null as double) as overlap, 0::bigint as way from (select *, row_number() over (partition by video order by i) as first from p where ok) where first = 1
+      union all select p.video, p.i, p.m, least(greatest(c.w, 1), 5), c.o, c.w from {x} y join p on p.video = y.video and p.i = y.i + y.c.w)
+    select k.video, frame, round(k.overlap, 6) as overlap, way as stride from k join p on p.video = k.video and p.i = k.i"""
+
+
+@register("stride_probe", _probe_sql())
+def stride_probe(spark, sf_dir):
+    """Frames found by probing ahead at corrected strides."""
+    from pyspark.sql.window import Window
+
+    travel = F.sum(F.col("overlap") * 0.2).over(Window.partitionBy("video").orderBy("frame"))
+    rows = frames(spark, sf_dir).withColumn("travel", travel).withColumn("clear", F.col("status") != "P")
+    search = recurrences.StrideSearch(0.7, 0.05, 1, 5, 2, 2.0, 4)
+    return rounded(recurrences.probe_frames(rows, ["video"], "frame", "travel", "clear", search, least=0.3))
+
+
 @register("exposure_chain", f"""with recursive p as (select video, frame, 0.9 + overlap / 5 as g, overlap - 0.5 as b, status <> 'P' as ok, row_number() over (partition by video order by frame) as i from {FRAMES_SQL}),
     s as (select video, frame, i, 0.0e0 as lg, 0.0e0 as cb, false as clamped, false as bias_clamped, false as rejected from p where i = 1
       union all select video, frame, i, least(greatest(asked, ln(0.5)), ln(2)), least(greatest(want, -40), 40), asked not between ln(0.5) and ln(2), want not between -40 and 40, not good from
