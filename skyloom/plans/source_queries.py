@@ -5,6 +5,7 @@ A file holds the rows of one track or voxel; its content is put together by Spar
 
 from __future__ import annotations
 
+import math
 import struct
 import uuid
 
@@ -17,7 +18,7 @@ from skyloom.operators import checks, cloud, compose, windows
 from skyloom.plans.catalog import register
 from skyloom.plans.tables import FRAMES_SQL, POINTS_SQL, TELEMETRY_SQL, frames, points, rounded, small_cloud, table, telemetry
 from skyloom.session import shared_dir
-from skyloom.sources import flight_record, sinks
+from skyloom.sources import autopilot, flight_record, sinks
 from skyloom.sources import telemetry as readers
 
 T, P, R = TELEMETRY_SQL, POINTS_SQL, FRAMES_SQL
@@ -155,6 +156,116 @@ def klv_round_trip(spark, sf_dir):
     return rounded(found.select("source", "t", "lat", "lon", "alt_gps", "yaw", "checksum_ok", "unknown_tags"), 7)
 
 
+@register("klv_damaged", f"""with k as (select * from {T} where event_id % 3 < 2) select cast(track as varchar) as source, event_id - min(event_id) over (partition by track) + 0.0e0 as t, round((event_id * 7919 % 2147483647) * (90 / 2147483647e0), 7) as lat,
+      case when event_id % 3 = 0 then round((event_id * 104729 % 2147483647) * (180 / 2147483647e0), 7) end as lon, case when event_id % 3 = 0 then round((event_id * 31 % 65536) * (360 / 65535e0), 7) end as yaw, 1 as unknown_tags from k""")
+def klv_damaged(spark, sf_dir):
+    """A tag that runs over the end of its set ends the set, not the next one; a set with a bad length is passed over."""
+    rows, i = _rows(spark, sf_dir), F.col("event_id")
+    head = F.concat(F.lit("0208"), _hex(F.lit(1704067200000000) + i * 1000000, 8), F.lit("814801ab0d04"), _hex(i * 7919 % 2147483647, 4))
+    tail = F.concat(F.when(i % 3 == 1, F.lit("0528")).otherwise(F.lit("0502")), _hex(i * 31 % 65536, 2), F.lit("0e04"), _hex(i * 104729 % 2147483647, 4))
+    length = F.when(i % 3 == 2, F.lit("88" + "7f" * 8)).otherwise(F.lit(f"{10 + 4 + 6 + 4 + 6:02x}"))
+    found = readers.klv_rows(_contents(rows, F.concat(F.lit(readers.KLV_KEY.hex()), length, head, tail)))
+    return rounded(found.select("source", "t", "lat", "lon", "yaw", "unknown_tags"), 7)
+
+
+@register("srt_dialects", f"""select cast(track as varchar) as source, round((us % 86400000000) / 1e6, 3) as t, round({LAT_SQL}, 6) as lat, round({LON_SQL}, 6) as lon, case event_id % 3 when 1 then event_id % 90 + 0.5e0 when 2 then 12.25e0 end as alt_baro,
+      case when event_id % 3 = 1 then event_id % 20 + 0.0e0 end as sats, event_id % 3 = 0 as rtk from {T}""")
+def srt_dialects(spark, sf_dir):
+    """Keys with digits, values in round or square brackets, heights in either case, markers of carrier-phase fixes."""
+    rows, i = _rows(spark, sf_dir), F.col("event_id")
+    at = F.round((F.col("us") % 86400000000) / 1000000, 3)
+    named = F.concat(F.lit("[latitude: "), F.col("lat_s"), F.lit("] [longitude: "), F.col("lon_s"), F.lit("] [rtk_flag: 50]"))
+    tuple_ = F.concat(F.lit("F/2.8, GPS ["), F.concat_ws(", ", "lon_s", "lat_s", (i % 20).cast("string")), F.lit("], h "), (i % 90).cast("string"), F.lit(".5m"))
+    mixed = F.concat(F.lit("<b>gps_lat: "), F.col("lat_s"), F.lit(", gps_long: "), F.col("lon_s"), F.lit(" iso2: x100 latitude: none</b> D 5m, H 12.25m"))
+    body = F.when(i % 3 == 0, named).when(i % 3 == 1, tuple_).otherwise(mixed)
+    cue = F.concat(i.cast("string"), F.lit("\n"), S.format_cue(at), F.lit(" --> "), S.format_cue(at + 1), F.lit("\n"), body, F.lit("\n"))
+    return rounded(readers.srt_rows(_texts(rows, cue)).select("source", "t", "lat", "lon", "alt_baro", "sats", "rtk"))
+
+
+def _headed_sql(yaw: str) -> str:
+    """Headings of two rows in three, and of the third between its neighbours, the short way round."""
+    return f"""h as (select *, {yaw} as own, last_value(case when event_id % 3 > 0 then {{'i': event_id, 'y': {yaw}}} end ignore nulls) over w as a,
+      first_value(case when event_id % 3 > 0 then {{'i': event_id, 'y': {yaw}}} end ignore nulls) over (partition by track order by event_id rows between current row and unbounded following) as b
+      from (select * exclude (yaw) from {T}) window w as (partition by track order by event_id rows between unbounded preceding and current row)),
+    d as (select *, (((b.y - a.y + 180) % 360) + 360) % 360 - 180 as way from h),
+    y as (select *, round((((case when a.y is null or b.y is null then coalesce(a.y, b.y) else a.y + case when way = -180 and b.y > a.y then 180 else way end * case when b.i > a.i then (event_id - a.i) / (b.i - a.i) else 0 end end) % 360) + 360) % 360, 3) as yaw from d)"""
+
+
+def _ulog_message(kind: str, body: str) -> str:
+    return struct.pack("<H", len(body) // 2).hex() + kind.encode().hex() + body
+
+
+@register("ulog_round_trip", f"""with {_headed_sql("(event_id % 15) * 24.0e0")}, o as (select track, median((event_id % 3 - 1) * 1000 + 1704067200000000 - 5) as shift from {T} where event_id % 4 > 0 group by track)
+    select cast(track as varchar) as source, event_id - min(event_id) over (partition by track) + 0.0e0 as t, round((event_id * 7919 % 900000000 + 1) / 1e7, 7) as lat, round((event_id * 104729 % 1800000000 + 1) / 1e7, 7) as lon, round((event_id % 5000) / 10e0, 7) as alt_gps,
+      case when yaw = 360 then 0 else yaw end as yaw, (event_id * 1000000 + 5 + shift)::bigint as wall_us, (event_id % 20)::bigint as sats from y left join o using (track)""")
+def ulog_round_trip(spark, sf_dir):
+    """Telemetry as ULog files: format definitions, two topics, a clock by the median, headings between, damaged stretches."""
+    rows, i = _rows(spark, sf_dir), F.col("event_id")
+    formats = ["vehicle_gps_position:uint64_t timestamp;uint64_t time_utc_usec;int32_t lat;int32_t lon;int32_t alt;uint8_t satellites_used;uint8_t[3] _padding0;", "vehicle_attitude:uint64_t timestamp;float[4] q;"]
+    head = autopilot.ULOG_MAGIC.hex() + "01" + "00" * 8 + "".join(_ulog_message("F", f.encode().hex()) for f in formats)
+    head += _ulog_message("A", "000700" + b"vehicle_gps_position".hex()) + _ulog_message("A", "000900" + b"vehicle_attitude".hex())
+    at = _little(i * 1000000 + 5, 8)
+    utc = F.when(i % 4 == 0, F.lit(0)).otherwise(F.lit(1704067200000000) + i * 1000000 + (i % 3 - 1) * 1000)
+    fix = F.concat(F.lit("1f0044" + "0700"), at, _little(utc, 8), _little(i * 7919 % 900000000 + 1, 4), _little(i * 104729 % 1800000000 + 1, 4), _little(i % 5000 * 100, 4), _hex(i % 20, 1))
+    turns = [struct.pack("<4f", math.cos(math.radians(h * 12)), 0, 0, math.sin(math.radians(h * 12))).hex() for h in range(15)]
+    attitude = F.concat(F.lit("1a0044" + "0900"), at, F.element_at(F.array(*map(F.lit, turns)), (i % 15 + 1).cast("int")))
+    damage = F.lit("05007a" + "ff" * 3 + _ulog_message("S", autopilot.ULOG_SYNC.hex()))
+    piece = F.concat(F.when(i % 3 > 0, attitude).otherwise(F.lit("")), fix, F.when(i % 5 == 0, damage).otherwise(F.lit("")))
+    found = autopilot.ulog_rows(_contents(rows, piece, F.lit(head)))
+    yaw = F.round("yaw", 3)
+    return rounded(found.select("source", "t", "lat", "lon", "alt_gps", F.when(yaw == 360, 0.0).otherwise(yaw).alias("yaw"), F.unix_micros("wall_time").alias("wall_us"), "sats"), 7)
+
+
+def _flash_format(kind: int, length: int, name: str, form: str, columns: str) -> str:
+    return (autopilot.FLASH_HEAD + bytes([autopilot.FLASH_FMT, kind, length]) + name.encode().ljust(4, b"\0") + form.encode().ljust(16, b"\0") + columns.encode().ljust(64, b"\0")).hex()
+
+
+@register("dataflash_round_trip", f"""with {_headed_sql("(event_id * 37 % 36000) / 100e0")}, g as (select * from y where event_id % 6 > 0)
+    select cast(track as varchar) as source, event_id - min(event_id) over (partition by track) + 0.0e0 as t, round((event_id * 7919 % 900000000 + 1) / 1e7, 7) as lat, round(-(event_id * 104729 % 1800000000 + 1) / 1e7, 7) as lon, round((event_id % 5000) / 100e0, 7) as alt_gps,
+      case when yaw = 360 then 0 else yaw end as yaw, (315964800 + 2296 * 604800 + event_id - 18) * 1000000 as wall_us, (event_id % 20)::bigint as sats from g""")
+def dataflash_round_trip(spark, sf_dir):
+    """Telemetry as DataFlash logs: their own format messages, scaled numbers, week times, fixes below 3-D left out, damage."""
+    rows, i = _rows(spark, sf_dir), F.col("event_id")
+    head = _flash_format(128, 89, "FMT", "BBnNZ", "Type,Length,Name,Format,Columns") + _flash_format(130, 31, "GPS", "QBIHBLLe", "TimeUS,Status,GMS,GWk,NSats,Lat,Lng,Alt") + _flash_format(131, 15, "ATT", "QhC", "TimeUS,Roll,Yaw")
+    at = _little(i * 1000, 8)
+    lon = F.lit(1 << 32) - (i * 104729 % 1800000000 + 1)
+    fix = F.concat(F.lit("a39582"), at, _hex(F.when(i % 6 == 0, 2).otherwise(3), 1), _little(i % 604800 * 1000, 4), _little(F.lit(2296) + F.floor(i / 604800), 2), _hex(i % 20, 1), _little(i * 7919 % 900000000 + 1, 4), _little(lon, 4), _little(i % 5000, 4))
+    attitude = F.concat(F.lit("a39583"), at, F.lit("0000"), _little(i * 37 % 36000, 2))
+    # noise, a start of an unknown type, a message cut short
+    damage = F.when(i % 5 == 0, F.lit("00a3ff")).when(i % 5 == 1, F.lit("a395f0a3")).when(i % 5 == 2, F.lit("a3958200000000")).otherwise(F.lit(""))
+    piece = F.concat(F.when(i % 3 > 0, attitude).otherwise(F.lit("")), fix, damage)
+    found = autopilot.dataflash_rows(_contents(rows, piece, F.lit(head)))
+    yaw = F.round("yaw", 3)
+    return rounded(found.select("source", "t", "lat", "lon", "alt_gps", F.when(yaw == 360, 0.0).otherwise(yaw).alias("yaw"), F.unix_micros("wall_time").alias("wall_us"), "sats"), 7)
+
+
+@register("mavlink_round_trip", f"""with g as (select * from {T} where event_id % 7 > 0)
+    select cast(track as varchar) as source, event_id - min(event_id) over (partition by track) + 0.0e0 as t, round((event_id * 7919 % 900000000 + 1) / 1e7, 7) as lat, round((event_id * 104729 % 1800000000 + 1) / 1e7, 7) as lon, round((event_id % 5000) / 1e3, 7) as alt_gps,
+      round((event_id % 300) / 1e3, 7) as alt_baro, case when event_id % 9 > 0 then round((event_id * 37 % 36000) / 100e0, 7) end as yaw from g""")
+def mavlink_round_trip(spark, sf_dir):
+    """Telemetry as a ground station's log: frames of both versions, cut zeros, a signature, bad checksums left out."""
+    rows, i = _rows(spark, sf_dir), F.col("event_id")
+    heading = F.when(i % 9 == 0, 65535).otherwise(i * 37 % 36000)
+    payload = F.concat(_little(i, 4), _little(i * 7919 % 900000000 + 1, 4), _little(i * 104729 % 1800000000 + 1, 4), _little(i % 5000, 4), _little(i % 300, 4), F.lit("00" * 6), _little(heading, 2))
+    cut = F.regexp_replace(payload, "^((?:..)*?)(?:00)+$", "$1")
+    signed = i % 4 == 1
+    first = F.concat(F.lit("1c000101" + "21"), payload)
+    second = F.concat(_hex(F.length(cut) / 2, 1), F.when(signed, "01").otherwise("00"), F.lit("00000101" + "210000"), cut)
+    rows = rows.withColumn("covered", F.concat(F.when(i % 2 == 0, first).otherwise(second), F.lit(f"{autopilot.MAV_POSITION_SEED:02x}")))
+    byte = lambda k: F.conv(F.substring(F.col("covered"), 2 * k + 1, F.lit(2)), 16, 10).cast("long")
+
+    def step(crc: Column, k: Column) -> Column:
+        t = byte(k).bitwiseXOR(crc.bitwiseAND(F.lit(255)))
+        t = t.bitwiseXOR(F.shiftleft(t, 4)).bitwiseAND(F.lit(255))
+        return F.shiftright(crc, 8).bitwiseXOR(F.shiftleft(t, 8)).bitwiseXOR(F.shiftleft(t, 3)).bitwiseXOR(F.shiftright(t, 4))
+
+    crc = F.aggregate(F.sequence(F.lit(0), (F.length("covered") / 2 - 1).cast("int")), F.lit(65535).cast("long"), step)
+    sound = F.when(i % 7 == 0, crc.bitwiseXOR(F.lit(1))).otherwise(crc)
+    frame = F.concat(F.when(i % 2 == 0, "fe").otherwise("fd"), F.expr("substr(covered, 1, length(covered) - 2)"), _little(sound, 2), F.when((i % 2 == 1) & signed, F.lit("ab" * 13)).otherwise(F.lit("")))
+    found = autopilot.mavlink_rows(_contents(rows, F.concat(_hex(F.lit(1704067200000000) + i * 1000000, 8), frame)))
+    return rounded(found.select("source", "t", "lat", "lon", "alt_gps", "alt_baro", "yaw"), 7)
+
+
 @register("transport_round_trip", f"""select cast(track as varchar) as source, count(*) as sets, min(event_id) + 0.0e0 as first from {T} group by track""")
 def transport_round_trip(spark, sf_dir):
     """Local sets carried in packets of a transport stream, between packets of another stream."""

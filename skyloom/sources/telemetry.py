@@ -61,33 +61,41 @@ def _canonical(df: DataFrame, extra: list[str] = ()) -> DataFrame:
     return df.select("source", *cols, *extra)
 
 
+# Keys of subtitles that tell of positioning by carrier phase.
+RTK_KEYS = ["rtk", "rtk_flag", "rtkflag", "ppk", "rtk_status"]
+
 # --- subtitles (S6, S7) -----------------------------------------------------------
 
 
 def srt_rows(files: DataFrame) -> DataFrame:
-    """Cues of ``files(source, text)``; three dialects by field names, a GPS tuple, a bare height."""
+    """Cues of ``files(source, text)``; three dialects by field names, a GPS tuple, a bare height.
+
+    A key starts with a letter and its value goes up to a space, comma or bracket. ``rtk`` tells cues with a key of
+    positioning by carrier phase.
+    """
     text = F.regexp_replace("text", "\r\n?", "\n")
     cues = files.select("source", F.posexplode(F.split(text, r"\n\s*\n")).alias("cue_no", "cue"))
     body = F.regexp_replace(F.regexp_replace("cue", r"^[\s\S]*?-->[^\n]*\n?", ""), r"<[^>]*>", " ")
     cues = cues.where(F.col("cue").contains("-->")).select("source", "cue_no", cue_seconds("cue").alias("t"), body.alias("body"))
-    keys = F.transform(F.regexp_extract_all("body", F.lit(r"([A-Za-z_]+)\s*:\s*([+-]?\d+(?:\.\d+)?)"), 1), F.lower)
-    values = F.regexp_extract_all("body", F.lit(r"([A-Za-z_]+)\s*:\s*([+-]?\d+(?:\.\d+)?)"), 2)
+    pairs = F.lit(r"([A-Za-z][A-Za-z0-9_]*)\s*:\s*([^\s,\[\]]+)")
+    keys, values = F.transform(F.regexp_extract_all("body", pairs, 1), F.lower), F.regexp_extract_all("body", pairs, 2)
     cues = cues.withColumn("kv", F.arrays_zip(keys.alias("k"), values.alias("v")))
 
     def field(names: list[str]) -> Column:
-        held = F.filter("kv", lambda x: x["k"].isin(names))
+        held = F.filter("kv", lambda x: x["k"].isin(names) & x["v"].try_cast("double").isNotNull())
         return F.get(held, F.size(held) - 1)["v"].try_cast("double")
 
-    gps = r"GPS\s*\(\s*([+-]?\d+(?:\.\d+)?)\s*,\s*([+-]?\d+(?:\.\d+)?)\s*,\s*([+-]?\d+(?:\.\d+)?)"
+    gps = r"GPS\s*[(\[]\s*([+-]?\d+(?:\.\d+)?)\s*,\s*([+-]?\d+(?:\.\d+)?)\s*,\s*([+-]?\d+(?:\.\d+)?)"
     tup = lambda k: F.regexp_extract("body", gps, k).try_cast("double")
-    height = F.regexp_extract("body", r"\bH\s+([+-]?\d+(?:\.\d+)?)\s*m", 1).try_cast("double")
+    height = F.regexp_extract("body", r"(?i)(?<![a-z])H\s+([+-]?\d+(?:\.\d+)?)\s*m", 1).try_cast("double")
     f = {c: field(n) for c, n in SRT_FIELDS.items()}
     f["lon"], f["lat"], f["sats"] = F.coalesce(f["lon"], tup(1)), F.coalesce(f["lat"], tup(2)), F.coalesce(f["sats"], tup(3))
     f["alt_baro"] = F.coalesce(f["alt_baro"], height)
     f["focal_mm"] = F.when(f["focal_mm"] > 80, f["focal_mm"] / 10).otherwise(f["focal_mm"])
-    rows = cues.select("source", "t", *(c.alias(n) for n, c in f.items()), wall_time("body").alias("wall_time"))
+    rtk = F.exists("kv", lambda x: x["k"].isin(RTK_KEYS))
+    rows = cues.select("source", "t", *(c.alias(n) for n, c in f.items()), wall_time("body").alias("wall_time"), rtk.alias("rtk"))
     some = F.coalesce(*(F.col(c).cast("string") for c in [*SRT_FIELDS, "wall_time"]))
-    return _canonical(rows.where(some.isNotNull()), ["sats", "wall_time"])
+    return _canonical(rows.where(some.isNotNull()), ["sats", "wall_time", "rtk"])
 
 
 # --- delimited and structured text (S8, S9, S13 to S16, S27) -----------------------
@@ -248,6 +256,8 @@ def ber_length(data: bytes, at: int) -> tuple[int, int]:
     if n < 0x80:
         return n, at + 1
     k = n & 0x7F
+    if at + 1 + k > len(data):
+        raise IndexError("a length beyond the end")
     return int.from_bytes(data[at + 1 : at + 1 + k], "big"), at + 1 + k
 
 
@@ -280,33 +290,45 @@ def _klv_value(kind: str, span, raw: bytes):
     return (n - (1 << bits) if n >> (bits - 1) else n) * span / ((1 << (bits - 1)) - 1)
 
 
-def klv_sets(data: bytes) -> Iterator[dict]:
-    """Decoded local sets; a set with a bad length is skipped to the next key."""
-    at = data.find(KLV_KEY)
-    while at >= 0:
-        try:
-            n, body = ber_length(data, at + 16)
-            end = body + n
-            if end > len(data):
-                raise IndexError
-            row: dict = {"checksum_ok": None, "unknown_tags": 0}
-            p = body
-            while p < end:
-                tag, p = ber_oid(data, p)
-                size, p = ber_length(data, p)
-                raw = data[p : p + size]
-                if tag == 1:
-                    row["checksum_ok"] = bcc16(data[at:p]) == int.from_bytes(raw, "big")
-                elif tag in KLV_TAGS:
-                    name, kind, span = KLV_TAGS[tag]
+def _local_set(head: bytes, data: bytes) -> dict:
+    """The fields of a set, whose tags never reach beyond ``data``; the first that would ends it."""
+    row: dict = {"checksum_ok": None, "unknown_tags": 0}
+    p = 0
+    try:
+        while p < len(data):
+            tag, p = ber_oid(data, p)
+            size, p = ber_length(data, p)
+            raw = data[p : p + size]
+            if len(raw) < size:
+                break
+            if tag == 1 and size == 2:
+                row["checksum_ok"] = bcc16(head + data[:p]) == int.from_bytes(raw, "big")
+            elif tag in KLV_TAGS:
+                name, kind, span = KLV_TAGS[tag]
+                if size:
                     row[name] = _klv_value(kind, span, raw)
-                else:
-                    row["unknown_tags"] += 1
-                p += size
-            yield row
+            elif size:
+                row["unknown_tags"] += 1
+            p += size
+    except IndexError:
+        pass  # a tag or length that is cut off
+    return row
+
+
+def klv_sets(data: bytes, most: int | None = None) -> Iterator[dict]:
+    """Decoded local sets, at most ``most``; where a set's own length is bad, reading goes on at the next key."""
+    at, n = data.find(KLV_KEY), 0
+    while at >= 0 and (most is None or n < most):
+        after = at + 1
+        try:
+            size, body = ber_length(data, at + 16)
         except IndexError:
-            end = at + 16
-        at = data.find(KLV_KEY, end)
+            return  # the last key, without a length
+        if 0 < size <= len(data) - body:
+            after = body + size
+            yield _local_set(data[at:body], data[body:after])
+            n += 1
+        at = data.find(KLV_KEY, after)
 
 
 def _parsed(files: DataFrame, parse: Callable[[bytes], Iterator[dict]], schema: str, rows: int = 8192) -> DataFrame:
@@ -328,14 +350,17 @@ def _parsed(files: DataFrame, parse: Callable[[bytes], Iterator[dict]], schema:
     return files.select("source", "content").mapInPandas(run, schema)
 
 
-def klv_rows(files: DataFrame, require_checksum: bool = False) -> DataFrame:
-    """One row for each ST 0601 local set with a time of ``files(source, content)``; transport streams are unwrapped."""
+def klv_rows(files: DataFrame, require_checksum: bool = False, max_packets: int | None = None) -> DataFrame:
+    """One row for each ST 0601 local set with a time of ``files(source, content)``; transport streams are unwrapped.
+
+    ``max_packets`` is how many sets are read of a stream at most.
+    """
     fields = [n for n, *_ in KLV_TAGS.values()]
 
     def parse(data: bytes) -> Iterator[dict]:
         wrapped = len(data) >= 376 and data[0] == data[188] == 0x47
         for part in transport_payloads(data).values() if wrapped else [data]:
-            for row in klv_sets(part):
+            for row in klv_sets(part, max_packets):
                 if row.get("unix_us") is not None:
                     yield row
 
@@ -466,7 +491,12 @@ def read_files(spark: SparkSession, path: str) -> DataFrame:
 
 #: Readers of text kinds; binary kinds take ``read_files``.
 TEXT_READERS = {"srt": srt_rows, "gpx": xml_points, "kml": xml_points, "geojson": geojson_points}
-BINARY_READERS = {"klv": klv_rows}
+
+
+def binary_readers() -> dict[str, Callable[[DataFrame], DataFrame]]:
+    from skyloom.sources import autopilot  # which is built on this module
+
+    return {"klv": klv_rows, "ulog": autopilot.ulog_rows, "dataflash": autopilot.dataflash_rows}
 
 
 def load(spark: SparkSession, path: str) -> DataFrame:
@@ -474,7 +504,7 @@ def load(spark: SparkSession, path: str) -> DataFrame:
     files = read_files(spark, path).withColumn("kind", sniff(F.col("content")))
     texts = files.select("source", "kind", decode_text(F.col("content")).alias("text"))
     parts = [read(texts.where(F.col("kind") == k)).select("source", *CANONICAL, F.lit(k).alias("kind")) for k, read in TEXT_READERS.items()]
-    parts += [read(files.where(F.col("kind") == k)).select("source", *CANONICAL, F.lit(k).alias("kind")) for k, read in BINARY_READERS.items()]
+    parts += [read(files.where(F.col("kind") == k)).select("source", *CANONICAL, F.lit(k).alias("kind")) for k, read in binary_readers().items()]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -145,3 +145,15 @@ def test_sinks(spark, tmp_path):
     assert [(r["x"], r["z"]) for r in T.ply_points(ply)] == [(1.0, 3.0), (11.0, 4.0)]
     obj = spark.createDataFrame([(0, "v 1 2 3"), (1, "f 1 2 3")], "n long, line string")
     assert [r.line for r in sinks.obj_moved(obj, 2.0, [1, 0, 0, 0, 1, 0, 0, 0, 1], [1, 0, 0]).orderBy("n").collect()] == ["v 3.0 4.0 6.0", "f 1 2 3"]
+
+
+def test_a_damaged_set_does_not_take_the_next_ones_bytes():
+    good = klv(1_700_000_000_000_000, 12.9, 77.6, 920, 45)
+    stamp = bytes.fromhex("0208") + (1_700_000_000_500_000).to_bytes(8, "big")
+    bad = T.KLV_KEY + bytes([len(stamp) + 4]) + stamp + b"\x0d\x04\x01\x02"  # a latitude of four bytes with two left
+    rows = list(T.klv_sets(good + bad + good))
+    assert len(rows) == 3 and "lat" not in rows[1] and rows[1]["unix_us"] == 1_700_000_000_500_000 and rows[2] == rows[0]
+    assert len(list(T.klv_sets(good * 5, 2))) == 2
+    for cut in range(1, len(good)):
+        assert len(list(T.klv_sets(good + good[:-cut]))) == 1
+    assert list(T.klv_sets(T.KLV_KEY + b"\x00" + good))[0] == rows[0]
