@@ -91,7 +91,7 @@ def linear_terrain(cells: DataFrame, keys: list[str], z: str, ground: Column, *,
     held = cells.select(*keys, F.col("row").cast("long").alias("row"), F.col("col").cast("long").alias("col"), F.col(z).cast("double").alias("z"), F.coalesce(ground & F.col(z).isNotNull(), F.lit(False)).alias("g"))
     held = materialise(held, "terrain-cells")
     open_ = held.where("not g").select(*key)
-    around = F.explode(F.expr("flatten(transform(sequence(-1, 1), i -> transform(sequence(-1, 1), j -> struct(i, j))))"))
+    around = F.explode(F.expr("flatten(transform(sequence(-2, 2), i -> transform(sequence(-2, 2), j -> struct(i, j))))"))
     beside = open_.select(*key, around.alias("o")).select(*keys, (F.col("row") + F.col("o.i")).alias("row"), (F.col("col") + F.col("o.j")).alias("col")).distinct()
     rim = materialise(held.where("g").join(beside, key).select(*key, "z"), "terrain-rim")
     head = "".join(f"`{k}` {kinds[k]}, " for k in keys)
@@ -105,7 +105,7 @@ def linear_terrain(cells: DataFrame, keys: list[str], z: str, ground: Column, *,
             rows, cols, height = (known[c].to_numpy() for c in ("row", "col", "z"))
             for i, (r, c) in enumerate(zip(asked["row"], asked["col"], strict=True)):
                 got = facet(rows, cols, r, c)
-                if got is not None and got[2] <= margin:
+                if got is not None and got[2] + 1 <= margin:  # the nudge may widen the disc by less than a cell
                     out[i] = got[1] @ height[got[0]]
             return asked[key].assign(terrain=out)
 
