@@ -4,7 +4,7 @@ A cell without ground lies in one triangle of the Delaunay triangulation of the
 facet of the lower hull of the cells lifted onto a paraboloid, so it is found for each cell by itself: start from a
 triangle around the cell, take the lifted point furthest below its plane, let it replace the corner that leaves the
 cell inside, and go on until no point lies below. Corners of the facet lie on the rim of an empty disc, so only ground
-cells beside a cell without ground can be corners: those are dealt to tiles with a margin, and a triangle whose disc
+cells within two cells of one without ground can be corners: those are dealt to tiles with a margin, and a triangle whose disc
 leaves the margin is looked for again with twice the margin. Grid cells often lie on one circle; a small lift by a
 hash of the cell decides between triangulations, the same in every tile.
 """
@@ -44,11 +44,18 @@ def _around(y: np.ndarray, x: np.ndarray) -> np.ndarray | None:
     return np.array([first, p, q]) if turn[q] - turn[p] <= np.pi + small else None
 
 
+def nudges(rows: np.ndarray, cols: np.ndarray) -> np.ndarray:
+    """Small lifts by a hash of the cells, so that no four cells lie on one circle."""
+    h = (rows.astype(np.uint64) * np.uint64(0x9E3779B1) + cols.astype(np.uint64) * np.uint64(0x85EBCA77)) & np.uint64(0xFFFFFFFF)
+    for shift, factor in ((15, 0x2C1B3C6D), (12, 0x297A2D39)):
+        h = (h ^ h >> np.uint64(shift)) * np.uint64(factor) & np.uint64(0xFFFFFFFF)
+    return NUDGE * (h >> np.uint64(8)).astype(float) / 2**24
+
+
 def facet(rows: np.ndarray, cols: np.ndarray, row: int, col: int) -> tuple[np.ndarray, np.ndarray, float] | None:
     """(three corners, their weights, radius of the disc through them) of the triangle around (row, col); None outside the hull."""
     y, x = rows - row, cols - col
-    nudge = ((rows * 73856093) ^ (cols * 19349663)) & 1023
-    lift = (y * y + x * x) + NUDGE * nudge / 1024
+    lift = (y * y + x * x) + nudges(rows, cols)
     y, x = y.astype(float), x.astype(float)
     tri = _around(y, x)
     if tri is None:

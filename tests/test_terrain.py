@@ -6,12 +6,12 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from skyloom.operators.terrain import NUDGE, facet, ground_classes, linear_terrain
+from skyloom.operators.terrain import facet, ground_classes, linear_terrain, nudges
 
 
 def brute(rows, cols, z, r, c):
     """The height at (r, c) of the triangle that holds it and has no lifted point below its plane."""
-    lift = rows**2 + cols**2 + NUDGE * (((rows * 73856093) ^ (cols * 19349663)) & 1023) / 1024
+    lift = rows**2 + cols**2 + nudges(rows, cols)
     for t in combinations(range(len(rows)), 3):
         t = list(t)
         a = np.stack([rows[t], cols[t], np.ones(3)], 1).astype(float)
@@ -21,7 +21,7 @@ def brute(rows, cols, z, r, c):
         if (w < -1e-9).any():
             continue
         p = np.linalg.solve(a, lift[t])
-        if (lift - np.stack([rows, cols, np.ones(len(rows))], 1) @ p >= -1e-7).all():
+        if (lift - np.stack([rows, cols, np.ones(len(rows))], 1) @ p >= -1e-9).all():
             return w @ z[t]
     return None
 
