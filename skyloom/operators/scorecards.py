@@ -25,6 +25,7 @@ class Rule:
     target: str = ""
     unit: str = ""
     cap: float | None = None
+    when: Column | None = None
 
 
 def at_most(key: str, grp: str, value: Column, good: float, ok: float, unit: str = "", cap: float | None = None) -> Rule:
@@ -45,15 +46,16 @@ def info(key: str, grp: str, value: Column, unit: str = "") -> Rule:
 
 
 def scorecard(df: DataFrame, keys: list[str], rules: list[Rule]) -> DataFrame:
-    """(keys, key, grp, value, status, target, unit, cap): one row for each rule."""
+    """(keys, key, grp, value, status, target, unit, cap): one row for each rule whose condition, where it has one, holds."""
+    held = lambda r, row: row if r.when is None else F.when(r.when, row)
     rows = [
-        F.struct(
+        held(r, F.struct(
             F.lit(r.key).alias("key"), F.lit(r.grp).alias("grp"), r.value.cast("double").alias("value"), r.status.alias("status"),
             F.lit(r.target).alias("target"), F.lit(r.unit).alias("unit"), F.lit(r.cap).cast("double").alias("cap"),
-        )
+        ))
         for r in rules
     ]
-    return df.select(*keys, F.inline(F.array(*rows)))
+    return df.select(*keys, F.inline(F.array_compact(F.array(*rows))))
 
 
 #: Cards by stage; each takes the measured columns it names.

@@ -21,33 +21,26 @@ def _log(x: Column) -> Column:
 def quantiles(df: DataFrame, keys: list[str], value: str, shares: list[float]) -> DataFrame:
     """(keys, n, q0, q1, ..): exact interpolated quantiles of each group, nulls left out.
 
-    Counts by wide bins show in which bin each wanted rank lies, counts by narrow bins of those bins' rows where in
-    it, and counts by value of the rows in those show the value. All counts merge before they shuffle and are written
-    before they are put in order, so a group may hold any share of the rows.
+    Counts by narrow bins show in which bin each wanted rank lies, counts by value of those bins' rows show the value.
+    Counts merge before they shuffle and are written before they are put in order, so a group may hold any share of the
+    rows: what is ordered of a group is its bins, 65,536 for each factor of two, and the values of a few of them.
     """
     x = F.col(value).cast("double")
     by = keys or ["__all"]
     rows = df if keys else df.withColumn("__all", F.lit(0))
-    rows = rows.where(x.isNotNull()).select(*by, (x + 0.0).alias("__x")).withColumn("__g", _log(F.col("__x")))
-    rows = rows.withColumns({"__b0": F.floor(F.col("__g") * 64).cast("long"), "__b1": F.floor(F.col("__g") * 65536).cast("long")})
-    total, start = None, F.lit(0).cast("long")
-    for at, (bins, held) in enumerate((([], "__b0"), (["__b0"], "__b1"), (["__b0", "__b1"], "__x"))):
-        if bins:
-            rows = rows.join(wanted.select(*by, *bins, "__start"), [*by, *bins])  # noqa: F821  at most two bins for each share
-        else:
-            rows = rows.withColumn("__start", start)
-        counts = materialise(rows.groupBy(*by, *bins, "__start", held).agg(F.count("*").alias("__n")), "quantile-counts")
-        upto = F.sum("__n").over(Window.partitionBy(*by, *bins).orderBy(held).rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        counts = counts.withColumn("__upto", upto + F.col("__start"))
-        if total is None:
-            total = materialise(counts.groupBy(*by).agg(F.max("__upto").alias("n")).repartition(1), "quantile-totals")
-        counts = counts.join(total, by)
-        ranks = [f(F.lit(float(q)) * (F.col("n") - 1)) for q in shares for f in (F.floor, F.ceil)]
-        has = reduce(lambda p, q: p | q, ((r >= F.col("__upto") - F.col("__n")) & (r < F.col("__upto")) for r in ranks))
-        wanted = counts.where(has)
-        if at < 2:
-            wanted = materialise(wanted.select(*by, *bins, held, (F.col("__upto") - F.col("__n")).alias("__start")).repartition(1), "quantile-bins")
-            rows = rows.drop("__start")
+    rows = rows.where(x.isNotNull()).select(*by, (x + 0.0).alias("__x")).withColumn("__b", F.floor(_log(F.col("__x")) * 65536).cast("long"))
+
+    def ordered(counts: DataFrame, within: list[str], held: str) -> DataFrame:
+        upto = F.sum("__n").over(Window.partitionBy(*within).orderBy(held).rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        return materialise(counts, "quantile-counts").withColumn("__upto", upto)
+
+    ranks = [f(F.lit(float(q)) * (F.col("n") - 1)) for q in shares for f in (F.floor, F.ceil)]
+    has = reduce(lambda p, q: p | q, ((r >= F.col("__upto") - F.col("__n")) & (r < F.col("__upto")) for r in ranks))
+    bins = ordered(rows.groupBy(*by, "__b").agg(F.count("*").alias("__n")), by, "__b").withColumn("n", F.sum("__n").over(Window.partitionBy(*by)))
+    # one file, so that its real size, at most two bins for each share of each group, decides how it is joined
+    bins = materialise(bins.where(has).select(*by, "__b", "n", (F.col("__upto") - F.col("__n")).alias("__start")).repartition(1), "quantile-bins")
+    inner = rows.join(bins, [*by, "__b"]).groupBy(*by, "__b", "n", "__start", "__x").agg(F.count("*").alias("__n"))
+    wanted = ordered(inner, [*by, "__b"], "__x").withColumn("__upto", F.col("__upto") + F.col("__start"))
     pick = lambda r: F.min(F.when(F.col("__upto") > r, F.col("__x")))
     ends = [(pick(ranks[2 * k]), pick(ranks[2 * k + 1])) for k in range(len(shares))]
     found = wanted.groupBy(*by, "n").agg(*(c.alias(f"{e}{k}") for k, pair in enumerate(ends) for e, c in zip("ab", pair, strict=True)))

@@ -27,7 +27,7 @@ _CARD = f"""with m as (select video, median(overlap) as a, avg(case when sharpne
 
 @register("ingest_scorecard", f"{_CARD} select video, key, grp, round(value, 6) as value, status, target, unit, cast(null as double) as cap from k")
 def ingest_scorecard(spark, sf_dir):
-    """KPI rows of each series by declared rules."""
+    """KPI rows of each series by declared rules."""
     return rounded(scorecards.scorecard(_measured(spark, sf_dir), ["video"], scorecards.CARDS["ingest"]()))
 
 
