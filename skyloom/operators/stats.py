@@ -11,6 +11,8 @@ from pyspark.sql.window import Window
 from skyloom.session import materialise
 
 NMAD = 1.4826
+#: Rows of a bin up to which its values are counted and put in order.
+MANY = 1_000_000
 
 
 def _log(x: Column) -> Column:
@@ -21,26 +23,36 @@ def _log(x: Column) -> Column:
 def quantiles(df: DataFrame, keys: list[str], value: str, shares: list[float]) -> DataFrame:
     """(keys, n, q0, q1, ..): exact interpolated quantiles of each group, nulls left out.
 
-    Counts by narrow bins show in which bin each wanted rank lies, counts by value of those bins' rows show the value.
-    Counts merge before they shuffle and are written before they are put in order, so a group may hold any share of the
-    rows: what is ordered of a group is its bins, 65,536 for each factor of two, and the values of a few of them.
+    Counts by wide bins show in which bin each wanted rank lies; while one of these bins holds many rows, counts by
+    narrower bins of its rows show where in it; counts by value show the value. Counts merge before they shuffle and are
+    written before they are put in order, so a group may hold any share of the rows.
     """
     x = F.col(value).cast("double")
     by = keys or ["__all"]
     rows = df if keys else df.withColumn("__all", F.lit(0))
-    rows = rows.where(x.isNotNull()).select(*by, (x + 0.0).alias("__x")).withColumn("__b", F.floor(_log(F.col("__x")) * 65536).cast("long"))
-
-    def ordered(counts: DataFrame, within: list[str], held: str) -> DataFrame:
-        upto = F.sum("__n").over(Window.partitionBy(*within).orderBy(held).rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        return materialise(counts, "quantile-counts").withColumn("__upto", upto)
-
+    rows = rows.where(x.isNotNull()).select(*by, (x + 0.0).alias("__x"))
     ranks = [f(F.lit(float(q)) * (F.col("n") - 1)) for q in shares for f in (F.floor, F.ceil)]
-    has = reduce(lambda p, q: p | q, ((r >= F.col("__upto") - F.col("__n")) & (r < F.col("__upto")) for r in ranks))
-    bins = ordered(rows.groupBy(*by, "__b").agg(F.count("*").alias("__n")), by, "__b").withColumn("n", F.sum("__n").over(Window.partitionBy(*by)))
-    # one file, so that its real size, at most two bins for each share of each group, decides how it is joined
-    bins = materialise(bins.where(has).select(*by, "__b", "n", (F.col("__upto") - F.col("__n")).alias("__start")).repartition(1), "quantile-bins")
-    inner = rows.join(bins, [*by, "__b"]).groupBy(*by, "__b", "n", "__start", "__x").agg(F.count("*").alias("__n"))
-    wanted = ordered(inner, [*by, "__b"], "__x").withColumn("__upto", F.col("__upto") + F.col("__start"))
+    has = reduce(lambda p, q: p | q, ((r >= F.col("__upto") - F.col("__k")) & (r < F.col("__upto")) for r in ranks))
+
+    def ordered(held: DataFrame, within: list[str], column: str) -> DataFrame:
+        """Counts by ``column`` in order within the bins so far, with how many rows of their group lie up to each."""
+        counts = materialise(held.groupBy(*within, column).agg(F.count("*").alias("__k")), "quantile-counts")
+        return counts.withColumn("__upto", F.sum("__k").over(Window.partitionBy(*within).orderBy(column).rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+
+    def bins(counts: DataFrame) -> DataFrame:
+        """The bins that hold a wanted rank; one file, so that its real size decides how it is joined."""
+        return materialise(counts.where(has).select(*by, "__b", "n", (F.col("__upto") - F.col("__k")).alias("__start"), "__k").repartition(1), "quantile-bins")
+
+    within = [*by, "__b", "n", "__start"]
+    binned = lambda df, scale, name: df.withColumn(name, F.floor(_log(F.col("__x")) * scale).cast("long"))
+    scale = 64
+    wanted = bins(ordered(binned(rows, scale, "__b"), by, "__b").withColumn("n", F.sum("__k").over(Window.partitionBy(*by))))
+    while scale < 1 << 30 and (wanted.agg(F.max("__k")).first()[0] or 0) > MANY:
+        inner = binned(binned(rows, scale, "__b").join(wanted.drop("__k"), [*by, "__b"]), scale << 8, "__c")
+        finer = ordered(inner, within, "__c").withColumn("__upto", F.col("__upto") + F.col("__start"))
+        wanted, scale = bins(finer.drop("__b", "__start").withColumnRenamed("__c", "__b")), scale << 8
+    inner = binned(rows, scale, "__b").join(wanted.drop("__k"), [*by, "__b"])
+    wanted = ordered(inner, within, "__x").withColumn("__upto", F.col("__upto") + F.col("__start")).where(has)
     pick = lambda r: F.min(F.when(F.col("__upto") > r, F.col("__x")))
     ends = [(pick(ranks[2 * k]), pick(ranks[2 * k + 1])) for k in range(len(shares))]
     found = wanted.groupBy(*by, "n").agg(*(c.alias(f"{e}{k}") for k, pair in enumerate(ends) for e, c in zip("ab", pair, strict=True)))
@@ -80,6 +92,13 @@ def error_stats(df: DataFrame, keys: list[str], d: str) -> DataFrame:
     return sums.join(medians, by).join(sizes, by).select(*keys, "n", "mean", "median", "rms", "p95", "nmad")
 
 
+def nmad(df: DataFrame, keys: list[str], value: str, name: str = "nmad") -> DataFrame:
+    """A1: NMAD of groups that are each a track or a cell, by Spark's own exact median; ``error_stats`` is for groups of any size."""
+    middle = df.groupBy(*keys).agg(F.median(value).alias("__m"))
+    off = F.abs(F.col(value) - F.col("__m"))
+    return df.select(*keys, value).join(middle, keys).groupBy(*keys).agg((NMAD * F.median(off)).alias(name))
+
+
 def grouped_error_stats(df: DataFrame, labels: list[Column], d: str, name: str = "grp") -> DataFrame:
     """Error statistics of overlapping groups; a row counts in each group whose label isn't null."""
     rows = df.select(F.explode(F.array_compact(F.array(*labels))).alias(name), d)

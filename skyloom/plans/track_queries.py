@@ -45,7 +45,7 @@ def telemetry_input_check(spark, sf_dir):
         F.count_if(F.abs(F.col("value") - F.col("pv")) > 400).alias("jumps"),
         F.bit_or("flags").alias("flags"),
     )
-    per = per.join(stats.error_stats(rows, ["track"], "value").select("track", "nmad"), "track")
+    per = per.join(stats.nmad(telemetry(spark, sf_dir), ["track"], "value"), "track")
     per = per.withColumn("rows_status", S.band("n", 60, 30)).withColumn("gap_status", S.band("max_gap", 86400 * 2, 86400 * 5, False)).withColumn("jump_status", S.soft(S.band("jumps", 2, 6, False)))
     checks = per.select("track", F.explode(F.array("rows_status", "gap_status", "jump_status")).alias("status"))
     cols = ["track", "n", "duration", "rate", "max_gap", "jumps", "nmad", "flags", "rows_status", "gap_status", "jump_status", "verdict"]

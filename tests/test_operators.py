@@ -197,3 +197,16 @@ def test_scratch_removes_what_was_written_within(spark):
         kept, gone = made.pop(), made[0]
     place = lambda p: p.removeprefix("file://")
     assert b.count() == 3 and os.path.isdir(place(kept)) and not os.path.exists(place(gone))
+
+
+@pytest.mark.parametrize("many", [1_000_000, 20])
+def test_quantiles_with_and_without_narrower_bins(spark, monkeypatch, many):
+    import numpy as np
+
+    monkeypatch.setattr(stats, "MANY", many)
+    rng = np.random.default_rng(many)
+    groups = {"a": rng.normal(0, 1, 400), "b": np.repeat([-2.5, 0.0, 3e12], 70), "c": [7.0], "d": rng.integers(-3, 3, 300) * 1e-9}
+    rows = [(k, float(v)) for k, g in groups.items() for v in g] + [("a", None), (None, 1.0)]
+    found = {r.k: r for r in stats.quantiles(spark.createDataFrame(rows, "k string, v double"), ["k"], "v", [0.0, 0.13, 0.5, 1.0]).collect()}
+    for k, g in groups.items():
+        assert [found[k][f"q{i}"] for i in range(4)] == pytest.approx(np.quantile(g, [0.0, 0.13, 0.5, 1.0]).tolist(), rel=1e-12, abs=1e-24) and found[k].n == len(g)
