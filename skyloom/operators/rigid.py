@@ -22,6 +22,9 @@ def _products(rows: list[list[Column]]) -> list[Column]:
     return [F.sum(sum((r[i] * r[j] for r in rows), F.lit(0.0))).alias(f"n_{i}_{j}") for i in range(9) for j in range(i + 1)]
 
 
+SCALED = ["sx", "sy", "su", "sv"]
+
+
 def _scaled(size: tuple[int, int]) -> list[Column]:
     """Coordinates about the middle in units of the longer side, so that normal matrices are well conditioned."""
     w, h = size
@@ -72,11 +75,11 @@ def _solved(sums: DataFrame, keys: list[str], flat: bool) -> DataFrame:
 
 
 def consensus(matches: DataFrame, key: str, size: tuple[int, int], near: float, rows: Callable, off: Callable, flat: bool, *, candidates: int = 96, sample: int = 8, rounds: int = 2) -> DataFrame:
-    """(key, agree, m): how many matches the best model has within ``near`` cells, and the model in scaled coordinates."""
-    c, limit = _scaled(size), near / max(size)
+    """(key, agree, m) of ``matches`` with scaled coordinates: how many matches the best model has within ``near`` cells, and the model in scaled coordinates."""
+    c, limit = [F.col(k) for k in SCALED], near / max(size)
     n = matches.groupBy(key).agg(F.count("*").alias("__n")).withColumn("__m", F.greatest(F.lit(1), F.least(F.lit(candidates), F.floor(F.col("__n") / sample))).cast("long"))
     times = F.sequence(F.lit(0).cast("long"), F.ceil(F.lit(candidates) / F.col("__m")) - 1)
-    dealt = matches.join(n, key).select(key, *"xyuv", "__m", F.explode(times).alias("__t"))
+    dealt = matches.join(n, key).select(key, *"xyuv", *SCALED, "__m", F.explode(times).alias("__t"))
     h = F.md5(F.concat_ws(":", key, *(F.round(k, 4) for k in "xyuv"), "__t"))
     dealt = dealt.withColumn("__k", F.col("__t") * F.col("__m") + F.conv(F.substring(h, 1, 8), 16, 10).cast("long") % F.col("__m"))
     sums = dealt.groupBy(key, "__k").agg(F.count("*").alias("__n"), *_products(rows(*c))).where(F.col("__n") >= sample)
@@ -99,7 +102,8 @@ def rigid_pairs(matches: DataFrame, key: str, size: tuple[int, int], *, near: fl
     ``rigid`` is how many matches the better model explains. Motion is that of the frame's middle under the homography,
     in cells, degrees and as a factor. Pairs under ``least`` matches have no share.
     """
-    rows = materialise(matches.select(key, *(F.col(c).cast("double").alias(c) for c in "xyuv")), "rigid-matches")
+    rows = matches.select(key, *(F.col(c).cast("double").alias(c) for c in "xyuv"))
+    rows = materialise(rows.withColumns(dict(zip(SCALED, _scaled(size), strict=True))), "rigid-matches")
     n = rows.groupBy(key).agg(F.count("*").alias("matches"))
     enough = rows.join(n.where(F.col("matches") >= least).select(key), key)
     f = consensus(enough, key, size, near, epipolar_rows, sampson, True, candidates=candidates).select(key, F.col("agree").alias("__f"))
