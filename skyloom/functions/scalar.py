@@ -453,3 +453,10 @@ def tlog_frames(head: C) -> Column:
 
     start = F.struct(F.lit(0).alias("at"), F.lit(0).alias("n"))
     return F.greatest(F.aggregate(F.sequence(F.lit(1), F.lit(4)), start, step)["n"], F.lit(0))
+
+
+def refinement_kept(gps_before: C, gps_after: C, reproj_before: C, reproj_after: C, frames_before: C, frames_after: C, tolerance: float = 0.1) -> Column:
+    """Whether a refined model replaces the one before: nearer to the fixes, hardly worse in its images, no frame lost."""
+    nearer = col(gps_after) < col(gps_before)
+    sharp = col(reproj_after) <= col(reproj_before) * (1 + tolerance)
+    return F.coalesce(nearer & sharp & (col(frames_after) >= col(frames_before)), F.lit(False))

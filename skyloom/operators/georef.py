@@ -117,3 +117,22 @@ def residual_bands(residuals: DataFrame, keys: list[str], value: str, good: floa
     middle = quantiles(residuals, keys, value, [0.5]).select(*keys, F.col("q0").alias("median"))
     made = residuals.groupBy(*keys).agg(F.count(value).alias("n"), F.sqrt(F.avg(F.pow(value, 2))).alias("rms")).join(middle, keys)
     return made.withColumn("status", S.lower_better("rms", good, fair))
+
+
+def with_undulation(points: DataFrame, grid: DataFrame, step: float, lon: str = "lon", lat: str = "lat") -> DataFrame:
+    """``points`` with ``undulation`` between the four nodes around, from ``grid(row, col, n)``: row and col count
+    steps of degrees from -90 and -180. The grid closes at 180 degrees; where a node is missing there is none.
+
+    An equi-join by node: the four nodes of a point are four rows, their weighted values are summed by point.
+    """
+    around = round(360 / step)
+    y, x = (F.col(lat) + 90) / step, F.pmod(F.col(lon) + 180, F.lit(360.0)) / step
+    top = round(180 / step) - 1
+    r, c = F.least(F.floor(y), F.lit(top)), F.floor(x)
+    node = lambda i, j: F.struct((r + i).alias("row"), F.pmod(c + j, F.lit(around)).alias("col"), ((y - r if i else 1 - (y - r)) * (x - c if j else 1 - (x - c))).alias("w"))
+    keyed = points.withColumn("__place", F.struct(lon, lat))
+    places = keyed.select("__place", lon, lat).distinct()
+    four = places.select("__place", F.inline(F.array(*(node(i, j) for i in (0, 1) for j in (0, 1))))).where("w > 0")
+    found = four.join(grid, ["row", "col"], "left").groupBy("__place")
+    found = found.agg(F.when(F.count("n") == F.count("*"), F.sum(F.col("w") * F.col("n"))).alias("undulation"))
+    return keyed.join(found, "__place", "left").drop("__place")

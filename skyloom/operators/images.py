@@ -70,3 +70,11 @@ def block_boundary(row: Column, col: Column, block: int, px: int) -> Column:
     """Whether a cell lies within ``px`` of a block boundary."""
     near = lambda v: F.least(F.pmod(v, F.lit(block)), block - 1 - F.pmod(v, F.lit(block))) < px
     return near(row) | near(col)
+
+
+def texture_quality(pixels: Column, empty: float, tolerance: float = 2.0, black: float = 8.0) -> Column:
+    """(used, black_pct): share of an atlas that is not the empty value, and the black share of that."""
+    used = F.filter(pixels, lambda p: F.abs(p - empty) > tolerance)
+    share = F.size(used) / F.nullif(F.size(pixels), F.lit(0))
+    dark = F.size(F.filter(used, lambda p: p <= black))
+    return F.struct(share.alias("used"), (100 * dark / F.nullif(F.size(used), F.lit(0))).alias("black_pct"))

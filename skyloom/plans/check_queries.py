@@ -207,6 +207,17 @@ def noisy_track(spark, sf_dir):
     return rounded(checks.noisy_fixes(telemetry(spark, sf_dir).select("event_id", "lat", "lon"), "event_id", ["lat", "lon"], 1e-5, 0.01, 1e-3), 9)
 
 
+@register("image_sharpness", """with p as (select vec_id, unnest(embedding)::double * 255 as v, unnest(range(64)) as i from embeddings where len(embedding) = 64), g as (select vec_id, i // 8 as r, i % 8 as c, v from p),
+    l as (select a.vec_id, sum(case when b.r = a.r and b.c = a.c then -4 * b.v else b.v end) as l from g a join g b on b.vec_id = a.vec_id and abs(a.r - b.r) + abs(a.c - b.c) <= 1 where a.r between 1 and 6 and a.c between 1 and 6 group by a.vec_id, a.r, a.c),
+    t as (select a.vec_id, var_pop(b.v) as t from g a join g b on b.vec_id = a.vec_id and abs(a.r - b.r) <= 1 and abs(a.c - b.c) <= 1 where a.r between 1 and 6 and a.c between 1 and 6 group by a.vec_id, a.r, a.c),
+    s as (select vec_id, var_pop(l) as sharpness from l group by vec_id), x as (select vec_id, avg(t) as texture from t group by vec_id)
+    select vec_id, round(sharpness, 4) as sharpness, round(texture, 4) as texture from s join x using (vec_id)""")
+def image_sharpness(spark, sf_dir):
+    """Variance of the Laplacian and local variance of small images."""
+    rows = table(spark, sf_dir, "embeddings").where(F.size("embedding") == 64).select("vec_id", F.transform("embedding", lambda v: v.cast("double") * 255).alias("p"), F.lit(8).alias("w"))
+    return rounded(rows.select("vec_id", images.variance_of_laplacian("p", "w").alias("sharpness"), images.texture_variance("p", "w").alias("texture")), 4)
+
+
 @register("image_statistics")
 def image_statistics(spark, sf_dir):
     """Sharpness, blockiness, anisotropy and texture of small images."""
