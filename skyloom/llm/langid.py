@@ -8,8 +8,8 @@ For each row the log posterior of a language is the sum of
 - the log prior of its host: counts of suggested languages of the host, smoothed by those of its domain, which
   are smoothed by those of all rows.
 All counts are grouped aggregates over all rows. The trigram models are counts over all labelled texts, kept apart
-for two halves of the ids: a row is scored by the counts of the other half, so that neither its label nor its text is
-in the model that judges it (rows without an id are scored by both halves, whose texts they are not among).
+for two halves of the ids: a row is scored by the counts of the other half, so that its own label is not in the model
+that judges it; a copy of its text under another id may be (rows without an id are scored by both halves).
 
 Edge cases: a null or empty text gives even likelihoods, so the other evidence decides; a null host, suffix or
 declaration gives no evidence; repeated rows count as often as they stand; ties go to the language that comes
