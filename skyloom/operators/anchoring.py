@@ -44,7 +44,7 @@ PIXEL = ["frame", "row", "col"]
 
 
 def consensus_lines(rows: DataFrame, key: str, x: str, y: str, tolerance: Column, place: list[str], pairs: int) -> DataFrame:
-    """(key, scale, shift) of ``y = scale x + shift``, the least-squares line over the rows near the best of up to
+    """(key, scale, shift, inliers) of ``y = scale x + shift``, the least-squares line over the rows near the best of up to
     ``pairs`` lines through two rows; only rising lines count.
 
     Pairs are ``stats.hash_pairs`` by ``place``.
@@ -59,7 +59,7 @@ def consensus_lines(rows: DataFrame, key: str, x: str, y: str, tolerance: Column
     best = tried.groupBy(key, "l").agg(F.count("*").alias("n")).groupBy(key).agg(F.max(F.struct(F.col("n"), -F.col("l.__k"), F.col("l"))).alias("m"))
     best = best.select(key, F.col("m.l").alias("l"), F.col("m.n").alias("n"))
     fit = kept.join(best, key).where(near).groupBy(key).agg(F.regr_slope(y, x).alias("scale"), F.regr_intercept(y, x).alias("shift"), F.count("*").alias("__n"))
-    return fit.where("__n >= 2 and scale > 0").select(key, "scale", "shift")
+    return fit.where("__n >= 2 and scale > 0").select(key, "scale", "shift", F.col("__n").alias("inliers"))
 
 
 def anchor_frames(pixels: DataFrame, limits: AnchorLimits = AnchorLimits(), expected_scale: float | None = None) -> tuple[DataFrame, DataFrame]:
@@ -82,7 +82,7 @@ def anchor_frames(pixels: DataFrame, limits: AnchorLimits = AnchorLimits(), expe
 
     tolerance = lambda c: F.greatest(F.lit(lim.near), lim.near_share * F.col(c))
     fits = consensus_lines(p.where("zone = 'band'"), "frame", "mono", "measured", tolerance("measured"), ["row", "col"], lim.pairs)
-    p = p.join(materialise(fits, "anchor-fits"), "frame", "left").withColumn("off", F.col("scale") * F.col("mono") + F.col("shift") - F.col("measured"))
+    p = p.join(materialise(fits.drop("inliers"), "anchor-fits"), "frame", "left").withColumn("off", F.col("scale") * F.col("mono") + F.col("shift") - F.col("measured"))
     p = p.withColumn("inlier", F.coalesce((F.col("zone") == "band") & (F.abs("off") < tolerance("measured")), F.lit(False)))
     when = lambda cond, x: F.when(cond, x)
     ring, band = F.col("zone") == "ring", F.col("zone") == "band"

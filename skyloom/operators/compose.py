@@ -128,7 +128,9 @@ def fusion_pass(points: DataFrame, cameras: DataFrame, size: float, cell: int, l
     r0, r1, c0, c1 = box.first()
     if r0 is not None and (r1 - r0 + 1) * (c1 - c0 + 1) > most:
         raise ValueError(f"a box of {r1 - r0 + 1} x {c1 - c0 + 1} cells; at most {most}")
-    every = box.select(F.explode(F.sequence("r0", "r1")).alias("row"), "c0", "c1").select("row", F.explode(F.sequence("c0", "c1")).alias("col"))
+    # rows of the box are dealt to tasks, each makes the cells of its rows
+    lines = points.sparkSession.range(r0 or 0, (r1 if r1 is not None else -1) + 1).select(F.col("id").alias("row"))
+    every = lines.select("row", F.explode(F.sequence(F.lit(c0 or 0).cast("long"), F.lit(c1 or 0).cast("long"))).alias("col"))
     gaps = every.join(ground.where(F.col("zone") <= sure).select("row", "col"), ["row", "col"], "left_anti")
     return {"zones": zones, "ground": ground, "gaps": raster.regions(gaps, cell * size, least_area)}
 

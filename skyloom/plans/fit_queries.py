@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from skyloom.operators import recurrences, stats
+from skyloom.operators import anchoring, recurrences, stats
 from skyloom.plans.catalog import register
 from skyloom.plans.tables import FRAMES_SQL, POINTS_SQL, TELEMETRY_SQL, frames, points, rounded, spread, spread_sql, telemetry
 
@@ -66,10 +66,16 @@ def complementary_filter(spark, sf_dir):
     return rounded(recurrences.fuse_altitude(_track(spark, sf_dir), ["track"], "t", "x", "z", 0.98))
 
 
-@register("ransac_scale_shift")
+@register("ransac_scale_shift", f"""with p as materialized (select class, x, z, point_id from {POINTS_SQL}), n as (select class, greatest(1, least(40, count(*) // 2)) as m from p group by class),
+    d as (select class, x, z, m, t, md5(class || ':' || point_id || ':' || t) as h from (select p.*, m, unnest(range(ceil(40 / m)::bigint)) as t from p join n using (class))),
+    e as (select class, t * m + ('0x' || substr(h, 1, 6))::int % m as k, arg_min(x, h) as x1, arg_min(z, h) as z1, arg_max(x, h) as x2, arg_max(z, h) as z2 from d group by all),
+    l as (select class, k, (z2 - z1) / (x2 - x1) as s, z1 - (z2 - z1) / (x2 - x1) * x1 as t from e where x1 <> x2 and (z2 - z1) / (x2 - x1) > 0),
+    c as (select class, k, s, t, count(*) as n from l join p using (class) where abs(s * x + t - z) < 8 group by all), b as (select class, s, t from (select *, row_number() over (partition by class order by n desc, k) as place from c) where place = 1)
+    select class, round(regr_slope(z, x), 5) as scale, round(regr_intercept(z, x), 5) as shift, count(*) as inliers from p join b using (class) where abs(s * x + t - z) < 8 group by class""")
 def ransac_scale_shift(spark, sf_dir):
     """Robust line of each class."""
-    return rounded(recurrences.scale_shift(points(spark, sf_dir), "class", "x", "z", 8.0), 5)
+    found = anchoring.consensus_lines(points(spark, sf_dir), "class", "x", "z", F.lit(8.0), ["point_id"], 40)
+    return found.withColumns({c: F.round(c, 5) for c in ("scale", "shift")})
 
 
 @register("umeyama_fit", f"""select class, count(*) as n, 2.0e0 as scale, {spread_sql("rotation", [0, 1, 0, -1, 0, 0, 0, 0, 1])}, {spread_sql("shift", [1, 5, -3])} from {POINTS_SQL} group by class""")
