@@ -123,16 +123,29 @@ def flash_messages(data: bytes, wanted: set[str]) -> Iterator[tuple[str, dict]]:
     """(name, fields) of a DataFlash log's messages, by the layouts that its own format messages state.
 
     A message starts with two fixed bytes and a known type; anything else is damage, and reading goes on at the next such start.
+    These bytes may also stand within a whole message's values: a message counts as cut short only if none starts at its end
+    and one that starts within it is whole, that is, ends at a start or beyond this one's end without a start in itself.
     """
     layouts: dict[int, tuple[str, struct.Struct, list[tuple[str, int]]]] = {}
     sizes = {FLASH_FMT: 89}
+
+    def starts(p: int) -> bool:
+        return data.startswith(FLASH_HEAD, p) and p + 2 < len(data) and data[p + 2] in sizes
+
+    def within(a: int, b: int) -> list[int]:
+        return [p for p in range(a + 1, b) if starts(p)] if data.find(FLASH_HEAD, a + 1, b + 1) >= 0 else []
+
+    def cut_short(a: int, b: int) -> bool:
+        if b >= len(data) or starts(b):
+            return False
+        inner = ((p, p + sizes[data[p + 2]]) for p in within(a, b))
+        return any(q <= len(data) and (starts(q) or q > b and not within(p, q)) for p, q in inner)
+
     at = data.find(FLASH_HEAD)
     while 0 <= at and at + 3 <= len(data):
         kind = data[at + 2]
         end = at + sizes.get(kind, 0)
-        # cut short: another one starts within it, and none where it should end
-        short = end < len(data) and not data.startswith(FLASH_HEAD, end) and data.find(FLASH_HEAD, at + 2, end) >= 0
-        if kind not in sizes or end > len(data) or short:
+        if kind not in sizes or end > len(data) or cut_short(at, end):
             at = data.find(FLASH_HEAD, at + 1)
             continue
         body = data[at + 3 : end]

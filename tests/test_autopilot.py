@@ -57,3 +57,11 @@ def test_flash_damage():
 
 def test_checksum_of_frames():
     assert A.x25(b"123456789") == 0x6F91
+
+
+def test_flash_start_bytes_among_values():
+    fmt = A.FLASH_HEAD + bytes([128, 130, 13]) + b"ATT\0" + b"QH".ljust(16, b"\0") + b"TimeUS,Yaw".ljust(64, b"\0")
+    one = lambda t: A.FLASH_HEAD + b"\x82" + struct.pack("<QH", t, 1234)
+    unknown, known = (int.from_bytes(A.FLASH_HEAD + kind, "little") << 16 for kind in (b"\x10", b"\x82"))
+    data = fmt + one(1) + one(unknown) + b"\0\xa3\xff" + one(2) + one(known) + b"\0\xa3\xff" + one(3)[:6] + one(4) + b"\0" + one(5)
+    assert [m["TimeUS"] for _, m in A.flash_messages(data, {"ATT"})] == [1, unknown, 2, known, 4, 5]
