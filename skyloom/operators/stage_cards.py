@@ -26,8 +26,17 @@ LIMITS = {
 FORMATS = ["obj", "ply", "las", "geotiff_dsm", "geotiff_ortho", "glb", "fbx"]
 
 
+#: The parts of reports that rules read fields of, outer ones first. ``stage_card`` parses each once, as a map of texts.
+PARTS = [
+    "", "artifacts", "illumination", "illumination.exposure_chain", "dynamic", "gps", "fill", "checked", "timings_s", "voxel", "ground", "mesh", "gps_refinement", "dense", "texture",
+    "georef", "georef.frame", "georef.gcp", "coverage", "files", *(f"files.{x}" for x in (*FORMATS, "glb_zones", "glb_confidence", "geojson_gaps")), "viewer", "accuracy", "accuracy.zone1", "accuracy.zone2",
+]
+
+
 def text(path: str) -> Column:
-    return F.get_json_object("report", f"$.{path}")
+    """The text of a field: of a part's map, or of the report itself where the part is not among ``PARTS``."""
+    part, _, field = path.rpartition(".")
+    return F.col(f"`report:{part}`")[field] if part in PARTS else F.get_json_object("report", f"$.{path}")
 
 
 def num(path: str) -> Column:
@@ -250,5 +259,8 @@ STAGE_CARDS = {"condition": condition_rules, "fusion": fusion_rules, "reconstruc
 
 def stage_card(reports: DataFrame, keys: list[str], rules: list[Rule]) -> DataFrame:
     """KPI rows of ``reports(keys, report)``; a missing or empty report is one failed row."""
-    there = F.coalesce(F.size(F.json_object_keys("report")) > 0, F.lit(False))
+    there = F.col("`report:there`")
+    reports = reports.withColumn("report:there", F.coalesce(F.size(F.json_object_keys("report")) > 0, F.lit(False)))
+    for part in PARTS:
+        reports = reports.withColumn(f"report:{part}", F.from_json(text(part) if part else F.col("report"), "map<string, string>"))
     return scorecard(reports, keys, [*where(~there, holds("report", "report", F.lit(False), "fail", "present")), *where(there, *rules)])
