@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -52,21 +54,66 @@ def radius_pairs(left: DataFrame, right: DataFrame, left_id: str, right_id: str,
     return joined.select(left_id, F.col("__rid").alias(right_id if right_id != left_id else "other"), "distance")
 
 
+def _first_radius(right: DataFrame, coords: list[str], radius: float, crowd: int, pairs: int) -> float:
+    """``radius``, halved until a row shares its cell with few others, or until all cells together hold few pairs."""
+    for _ in range(20):
+        n = cells(right, coords, 2 * radius).groupBy(*(f"c_{c}" for c in coords)).count()
+        near, rows = n.agg(F.sum(F.col("count").cast("double") * F.col("count")), F.sum("count")).first()
+        if near is None or near <= pairs or near <= crowd * rows:
+            break
+        radius /= 2
+    return radius
+
+
+def k_nearest(left: DataFrame, right: DataFrame, left_id: str, right_id: str, coords: list[str], radius: float, k: int, *, exclude_self: bool = False, crowd: int = 32, pairs: int = 10_000_000) -> DataFrame:
+    """(left_id, __k, other, distance): the ``k`` nearest rows of ``right`` within ``radius``, ties by ``right_id``, exact.
+
+    Pairs within ``radius`` grow with the square of a cloud's density, so places are first searched within a small radius;
+    those with too few rows in it are searched again within twice as much, up to ``radius``. Each distinct place is searched
+    once, and of rows in one place only those that can be among the nearest count.
+    """
+    keep, bare = k + exclude_self, [f"__{c}" for c in coords]
+    sound = lambda df: df.where(reduce(lambda a, c: a & F.col(c).isNotNull() & ~F.isnan(c), coords, F.lit(True)))
+    rows = sound(right.select(F.col(right_id).alias("other"), *(F.col(c).cast("double").alias(c) for c in coords)))
+    rows = rows.withColumn("__k", F.row_number().over(Window.partitionBy(*coords).orderBy("other"))).where(F.col("__k") <= keep).drop("__k")
+    rows = materialise(rows, "near-rows")
+    spots = left.select(F.col(left_id).alias(left_id), *(F.col(c).cast("double").alias(b) for c, b in zip(coords, bare, strict=True)))
+    todo = materialise(sound(left.select(*(F.col(c).cast("double").alias(c) for c in coords))).distinct().toDF(*bare), "near-places")
+    r, found = _first_radius(rows, coords, radius, crowd, pairs), None
+    while True:
+        last = r >= radius
+        r = radius if last else r
+        reach, at = r * (1 + 1e-9), todo
+        for c, b in zip(coords, bare, strict=True):  # two cells of an axis at most
+            ends = F.array(*(F.floor((F.col(b) + side * reach) / (2 * r)).cast("long") for side in (-1, 1)))
+            at = at.withColumn(f"c_{c}", F.explode(F.array_distinct(ends)))
+        d2 = sum((F.pow(F.col(b) - F.col(c), 2) for c, b in zip(coords, bare, strict=True)), F.lit(0.0))
+        near = at.join(cells(rows, coords, 2 * r), [f"c_{c}" for c in coords]).select(*bare, "other", F.sqrt(d2).alias("distance")).where(F.col("distance") <= r)
+        near = near.withColumn("__k", F.row_number().over(Window.partitionBy(*bare).orderBy("distance", "other"))).where(F.col("__k") <= keep)
+        near = materialise(near, "near")
+        if last:
+            found = near if found is None else found.unionByName(near)
+            break
+        done = near.where(F.col("__k") == keep).select(*bare)
+        whole = near.join(done, bare, "left_semi")
+        found = whole if found is None else found.unionByName(whole)
+        todo = materialise(todo.join(done, bare, "left_anti"), "near-places")
+        r *= 2
+    made = spots.join(found.drop("__k"), bare).drop(*bare)
+    if exclude_self:
+        made = made.where(F.col(left_id) != F.col("other"))
+    return made.withColumn("__k", F.row_number().over(Window.partitionBy(left_id).orderBy("distance", "other"))).where(F.col("__k") <= k)
+
+
 def nearest_within(left: DataFrame, right: DataFrame, left_id: str, right_id: str, coords: list[str], radius: float, *, exclude_self: bool = False) -> DataFrame:
     """Nearest row of ``right`` within ``radius`` of each row of ``left``, null where there is none."""
-    other = right_id if right_id != left_id else "other"
-    pairs = radius_pairs(left, right, left_id, right_id, coords, radius)
-    if exclude_self:
-        pairs = pairs.where(F.col(left_id) != F.col(other))
-    best = pairs.groupBy(left_id).agg(F.min(F.struct("distance", other)).alias("__b"))
-    return left.select(left_id).join(best, left_id, "left").select(left_id, F.col(f"__b.{other}").alias("nearest"), F.col("__b.distance").alias("distance"))
+    best = k_nearest(left, right, left_id, right_id, coords, radius, 1, exclude_self=exclude_self).select(left_id, F.col("other").alias("nearest"), "distance")
+    return left.select(left_id).join(best, left_id, "left")
 
 
 def knn_spacing(df: DataFrame, id_: str, coords: list[str], radius: float, k: int = 1) -> DataFrame:
     """Distance to the k-th neighbour within ``radius``."""
-    pairs = radius_pairs(df, df, id_, id_, coords, radius).where(F.col(id_) != F.col("other"))
-    w = Window.partitionBy(id_).orderBy("distance", "other")
-    return pairs.withColumn("__k", F.row_number().over(w)).where(F.col("__k") == k).select(id_, "distance")
+    return k_nearest(df, df, id_, id_, coords, radius, k, exclude_self=True).where(F.col("__k") == k).select(id_, "distance")
 
 
 def distinct_views(points: DataFrame, voxel: str, view: str) -> DataFrame:
