@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from skyloom.functions.scalar import band, haversine, soft
+from skyloom.operators.stats import quantiles
+from skyloom.session import materialise
 
 
 def check(group: str, key: str, status: Column, value: Column, detail: str = "") -> Column:
@@ -133,12 +135,13 @@ def quantile_fit(df: DataFrame, keys: list[str], x: str, y: str, steps: int = 19
 
 
 def trimmed_fit(df: DataFrame, keys: list[str], x: str, y: str, rounds: int = 3, keep: float = 0.9) -> DataFrame:
-    """Least-squares line refitted without the largest residuals; each round is two grouped aggregates."""
+    """Least-squares line refitted without the largest residuals; a group may hold any share of the rows."""
     rows = df.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(*keys, x, y)
     fit = rows.groupBy(*keys).agg(F.regr_slope(y, x).alias("gain"), F.regr_intercept(y, x).alias("bias"), F.count("*").alias("n"))
     for _ in range(rounds):
+        fit = materialise(fit, "trimmed-fit")
         judged = rows.join(fit.drop("n"), keys).withColumn("r", F.abs(F.col(y) - F.col("gain") * F.col(x) - F.col("bias")))
-        cut = judged.groupBy(*keys).agg(F.percentile("r", keep).alias("cut"))
+        cut = materialise(quantiles(judged, keys, "r", [keep]).select(*keys, F.col("q0").alias("cut")), "trimmed-cut")
         fit = judged.join(cut, keys).where("r <= cut").groupBy(*keys).agg(F.regr_slope(y, x).alias("gain"), F.regr_intercept(y, x).alias("bias"), F.count("*").alias("n"))
     return fit
 
