@@ -224,14 +224,16 @@ def doming_fit(spark, sf_dir):
     select a.strip as i, b.strip as j, round(abs(a.offset_m - b.offset_m), 4) as spacing from s a join s b on a.strip < b.strip
       where least(abs(a.heading - b.heading), 180 - abs(a.heading - b.heading)) <= 10 and abs(a.offset_m - b.offset_m) between 20 and 800""")
 def strip_pairs(spark, sf_dir):
-    """Near-parallel strips at a lateral spacing; spacing buckets make it an equi-join."""
+    """Near-parallel strips at a lateral spacing; buckets of spacing and of heading make it an equi-join of many keys."""
     b = F.col("s_acctbal")
-    s = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("strip"), F.signum(b).alias("sg"), (b % 180).alias("heading"), b.alias("offset_m"), F.floor(b / 800).alias("bucket"))
-    near = s.withColumn("bucket", F.explode(F.array(*(F.col("bucket") + k for k in (-1, 0, 1)))))
+    s = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("strip"), F.signum(b).alias("sg"), (b % 180).alias("heading"), b.alias("offset_m"), F.floor(b / 800).alias("bucket"), F.floor(b % 180 / 10).alias("slot"))
+    # headings lie between -180 and 180; those that differ by 170 or more count as parallel, too
+    slots = F.filter(F.sequence(F.lit(-18).cast("long"), F.lit(17).cast("long")), lambda k: (F.abs(k - F.col("slot")) <= 1) | (F.abs(k - F.col("slot")) >= 16))
+    near = s.withColumn("bucket", F.explode(F.array(*(F.col("bucket") + k for k in (-1, 0, 1))))).withColumn("slot", F.explode(slots))
     x, y = s.alias("x"), near.alias("y")
     turn = F.abs(F.col("x.heading") - F.col("y.heading"))
     space = F.abs(F.col("x.offset_m") - F.col("y.offset_m"))
-    pairs = x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.strip") < F.col("y.strip")) & (F.least(turn, 180 - turn) <= 10) & space.between(20, 800))
+    pairs = x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.slot") == F.col("y.slot")) & (F.col("x.strip") < F.col("y.strip")) & (F.least(turn, 180 - turn) <= 10) & space.between(20, 800))
     return rounded(pairs.select(F.col("x.strip").alias("i"), F.col("y.strip").alias("j"), space.alias("spacing")), 4)
 
 

@@ -21,3 +21,11 @@ def test_near_copies_in_one_place_make_few_pairs(spark):
     df = spark.range(4000).selectExpr("id", "0.1 as x", "0.2 as y", "0.3 as z").selectExpr("id", *(f"cast({c} as double) as {c}" for c in "xyz"))
     rows = cloud.nearest_within(df, df, "id", "id", ["x", "y", "z"], 0.5, exclude_self=True)
     assert rows.where("id > 0 and nearest = 0 and distance = 0").count() == 3999 and rows.where("id = 0").first().nearest == 1
+
+
+def test_strip_pairs_join_on_heading_too(spark, tmp_path):
+    from skyloom.plans import catalog
+
+    spark.range(9).selectExpr("id as s_suppkey", "id * 7D as s_acctbal").write.parquet(f"{tmp_path}/supplier.parquet")
+    plan = catalog.queries()["strip_pairs"](spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()
+    assert any("Join Inner" in line and "slot" in line for line in plan.splitlines())
