@@ -24,8 +24,8 @@ def test_near_copies_in_one_place_make_few_pairs(spark):
 
 
 def test_strip_pairs_join_on_heading_too(spark, tmp_path):
-    from skyloom.plans import catalog
+    from skyloom.plans.cloud_queries import strip_pairs
 
     spark.range(9).selectExpr("id as s_suppkey", "id * 7D as s_acctbal").write.parquet(f"{tmp_path}/supplier.parquet")
-    plan = catalog.queries()["strip_pairs"](spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()
+    plan = strip_pairs(spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()
     assert any("Join Inner" in line and "slot" in line for line in plan.splitlines())
