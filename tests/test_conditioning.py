@@ -77,3 +77,32 @@ def test_low_light(spark):
     lifted = np.floor(255 * (dark.round() / 255) ** 0.6)
     assert made[0][:, :10].std() < 0.6 * lifted[:, :10].std()
     assert made[0][:, 13:].mean() - made[0][:, :11].mean() > 0.9 * (lifted[:, 13:].mean() - lifted[:, :11].mean())
+
+
+def around(g, i, j, reach):
+    return [(a, b) for a in range(max(i - reach, 0), min(i + reach + 1, g.shape[0])) for b in range(max(j - reach, 0), min(j + reach + 1, g.shape[1]))]
+
+
+def test_filters_over_tiles_against_plain_loops(spark):
+    g = np.random.default_rng(3).integers(0, 40, (9, C.TILE + 7)).astype(float)
+    at = [(4, C.TILE - 1), (0, C.TILE), (8, C.TILE + 6), (5, 2)]
+    df = frame(spark, g)
+    marked = df.selectExpr("frame", "cast(row as long) row", "cast(col as long) col", "v", "array_contains(array(" + ",".join(f"'{r}:{c}'" for r, c in at) + "), concat(row, ':', col)) at")
+    smooth, calm = images(C.smoothed(marked, "at", 3, 5.0, 35.0))[0], images(C.denoised(df, 6.0, 1, 2))[0]
+    assert smooth.shape == calm.shape == g.shape and (smooth != g).sum() == len(at)
+    for i, j in at:
+        w = {(a, b): np.exp(-((a - i) ** 2 + (b - j) ** 2) / 50 - (g[a, b] - g[i, j]) ** 2 / 2450) for a, b in around(g, i, j, 3)}
+        assert smooth[i, j] == pytest.approx(sum(x * g[k] for k, x in w.items()) / sum(w.values()))
+        w = {}
+        for a, b in around(g, i, j, 2):
+            moved = [(r + a - i, c + b - j, r, c) for r, c in around(g, i, j, 1)]
+            away = [(g[r, c] - g[x, y]) ** 2 for x, y, r, c in moved if 0 <= x < g.shape[0] and 0 <= y < g.shape[1]]
+            w[a, b] = np.exp(-np.mean(away) / 36)
+        assert calm[i, j] == pytest.approx(sum(x * g[k] for k, x in w.items()) / sum(w.values()))
+
+
+def test_filters_make_no_row_for_each_neighbour(spark):
+    df = frame(spark, np.ones((9, 9)))
+    for got in (C.denoised(df, 6.0), C.smoothed(df.selectExpr("*", "row > 2 as at"), "at", 3, 5.0, 35.0)):
+        plan = got._jdf.queryExecution().optimizedPlan().toString()
+        assert "Join" not in plan and "Window" not in plan
