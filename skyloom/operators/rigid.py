@@ -77,13 +77,14 @@ def _solved(sums: DataFrame, keys: list[str], flat: bool) -> DataFrame:
 def consensus(matches: DataFrame, key: str, size: tuple[int, int], near: float, rows: Callable, off: Callable, flat: bool, *, candidates: int = 96, sample: int = 8, rounds: int = 2) -> DataFrame:
     """(key, agree, m) of ``matches`` with scaled coordinates: how many matches the best model has within ``near`` cells, and the model in scaled coordinates."""
     c, limit = [F.col(k) for k in SCALED], near / max(size)
-    n = matches.groupBy(key).agg(F.count("*").alias("__n")).withColumn("__m", F.greatest(F.lit(1), F.least(F.lit(candidates), F.floor(F.col("__n") / sample))).cast("long"))
+    n = matches.groupBy(key).agg(F.count("*").alias("__n")).withColumn("__m", F.greatest(F.lit(1), F.floor(F.col("__n") / sample)).cast("long"))
     times = F.sequence(F.lit(0).cast("long"), F.ceil(F.lit(candidates) / F.col("__m")) - 1)
     dealt = matches.join(n, key).select(key, *"xyuv", *SCALED, "__m", F.explode(times).alias("__t"))
     h = F.md5(F.concat_ws(":", key, *(F.round(k, 4) for k in "xyuv"), "__t"))
     dealt = dealt.withColumn("__k", F.col("__t") * F.col("__m") + F.conv(F.substring(h, 1, 8), 16, 10).cast("long") % F.col("__m"))
-    sums = dealt.groupBy(key, "__k").agg(F.count("*").alias("__n"), *_products(rows(*c))).where(F.col("__n") >= sample)
-    models = _solved(sums, [key, "__k"], flat).groupBy(key).agg(F.collect_list(F.struct("__k", "m")).alias("__models"))  # ``candidates`` and few more
+    # a class stays small however many matches there are, else each would hold a wrong one; about half have ``sample`` of them
+    sums = dealt.where(F.col("__k") < 2 * candidates).groupBy(key, "__k").agg(F.count("*").alias("__n"), *_products(rows(*c))).where(F.col("__n") >= sample)
+    models = _solved(sums, [key, "__k"], flat).groupBy(key).agg(F.collect_list(F.struct("__k", "m")).alias("__models"))  # at most twice ``candidates``
     tried = matches.join(materialise(models, "rigid-models"), key).withColumn("c", F.explode("__models")).where(off(F.col("c.m"), *c) < limit)
     best = tried.groupBy(key, "c").agg(F.count("*").alias("n")).groupBy(key).agg(F.max(F.struct("n", -F.col("c.__k"), F.col("c.m"))).alias("b"))
     best = materialise(best.select(key, F.col("b.n").alias("agree"), F.col("b.m").alias("m")), "rigid-best")

@@ -47,3 +47,14 @@ def test_motion_of_a_plane_and_few_matches(found):
     r = found[0][3]
     assert r.rotation == pytest.approx(np.degrees(0.1), abs=0.3) and r.scale == pytest.approx(50 / 49, abs=0.01) and 40 < r.shift < 60
     assert found[0][5].share is None and found[0][5].matches == 11 and found[0][5].rigid == 0
+
+
+def test_many_matches_of_which_a_fifth_moved(spark):
+    rng = np.random.default_rng(9)
+    n, rows = 2000, []
+    for k in range(3):
+        x, y, depth = rng.uniform(20, 620, n), rng.uniform(20, 460, n), rng.uniform(1, 3, n)
+        v = y + np.where(np.arange(n) % 5 == 0, 25 + np.arange(n) % 17 * 3, 0)
+        rows += [(k, *map(float, r)) for r in zip(x, y, x - 40 / depth, v)]
+    got = rigid_pairs(spark.createDataFrame(rows, "pair int, x double, y double, u double, v double"), "pair", (W, H), candidates=32)
+    assert [(r.pair, r.rigid) for r in got.orderBy("pair").collect()] == [(k, 1600) for k in range(3)]
