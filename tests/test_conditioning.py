@@ -106,3 +106,13 @@ def test_filters_make_no_row_for_each_neighbour(spark):
     for got in (C.denoised(df, 6.0), C.smoothed(df.selectExpr("*", "row > 2 as at"), "at", 3, 5.0, 35.0)):
         plan = got._jdf.queryExecution().optimizedPlan().toString()
         assert "Join" not in plan and "Window" not in plan
+
+
+def test_local_contrast_over_tiles_makes_no_row_for_each_corner(spark):
+    g = np.clip(np.random.default_rng(6).normal(90, 15, (24, C.TILE + 19)), 0, 255).round()
+    got = C.local_contrast(frame(spark, g), 8, 2.0)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate inline" not in plan and "Window" not in plan
+    # what is right of the first tile's margin sees no cell of it: as a frame of its own, moved by whole tiles
+    part, made = images(C.local_contrast(frame(spark, g[:, 104:]), 8, 2.0))[0], images(got)[0]
+    assert made.shape == g.shape and np.array_equal(made[:, 112:], part[:, 8:])
