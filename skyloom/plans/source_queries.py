@@ -37,9 +37,10 @@ def _rows(spark, sf_dir) -> DataFrame:
 
 
 def _texts(rows: DataFrame, line: Column, head: str = "", tail: str = "", between: str = "\n", key: str = "track", order: str = "event_id") -> DataFrame:
-    """(source, text): a file for each key, its lines in order."""
-    lines = F.transform(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), line.alias("line")))), lambda x: x["line"])
-    return rows.groupBy(F.col(key).cast("string").alias("source")).agg(F.concat(F.lit(head), F.array_join(lines, between), F.lit(tail)).alias("text"))
+    """(source, text): a file for each key, its lines in order; made before they are gathered, as an aggregate's input is interpreted."""
+    rows = rows.select(F.col(key).cast("string").alias("source"), F.struct(F.col(order).alias("o"), line.alias("line")).alias("__line"))
+    lines = F.transform(F.array_sort(F.collect_list("__line")), lambda x: x["line"])
+    return rows.groupBy("source").agg(F.concat(F.lit(head), F.array_join(lines, between), F.lit(tail)).alias("text"))
 
 
 @register("srt_round_trip", f"""select cast(track as varchar) as source, round((us % 86400000000) / 1e6, 3) as t, round({LAT_SQL}, 6) as lat, round({LON_SQL}, 6) as lon, value as alt_gps, event_id % 120 + 0.5e0 as alt_baro, case when event_id % 2 = 0 then 24.0e0 end as focal_mm, event_id % 20 + 0.0e0 as sats from {T}""")
@@ -131,9 +132,10 @@ def _little(n: Column, bytes_: int) -> Column:
 
 
 def _contents(rows: DataFrame, piece: Column, head: Column | None = None, key: str = "track", order: str = "event_id") -> DataFrame:
-    """(source, content): a file for each key of pieces given as hex digits, in order."""
-    pieces = F.transform(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), piece.alias("p")))), lambda x: x["p"])
-    made = rows.groupBy(F.col(key).cast("string").alias("source")).agg(pieces.alias("pieces"))
+    """(source, content): a file for each key of pieces given as hex digits, in order; see ``_texts``."""
+    rows = rows.select(F.col(key).cast("string").alias("source"), F.struct(F.col(order).alias("o"), F.unhex(piece).alias("p")).alias("__piece"))
+    pieces = F.transform(F.array_sort(F.collect_list("__piece")), lambda x: F.hex(x["p"]))
+    made = rows.groupBy("source").agg(pieces.alias("pieces"))
     whole = F.array_join("pieces", "")
     return made.select("source", F.unhex(whole if head is None else F.concat(head, whole)).alias("content"))
 
@@ -151,7 +153,8 @@ def klv_round_trip(spark, sf_dir):
     size = F.length("set") / 2
     byte = lambda k: F.conv(F.substring(F.col("set"), 2 * k + 1, F.lit(2)), 16, 10).cast("long")
     check = F.aggregate(F.sequence(F.lit(0), (size - 1).cast("int")), F.lit(0).cast("long"), lambda a, k: a + byte(k) * F.when(k % 2 == 0, 256).otherwise(1)) % 65536
-    sound = F.when(i % 4 > 0, check).otherwise((check + 1) % 65536)
+    rows = rows.withColumn("check", check)
+    sound = F.when(i % 4 > 0, F.col("check")).otherwise((F.col("check") + 1) % 65536)
     found = readers.klv_rows(_contents(rows, F.concat("set", _hex(sound, 2))))
     return rounded(found.select("source", "t", "lat", "lon", "alt_gps", "yaw", "checksum_ok", "unknown_tags"), 7)
 
@@ -254,13 +257,15 @@ def mavlink_round_trip(spark, sf_dir):
     rows = rows.withColumn("covered", F.concat(F.when(i % 2 == 0, first).otherwise(second), F.lit(f"{autopilot.MAV_POSITION_SEED:02x}")))
     byte = lambda k: F.conv(F.substring(F.col("covered"), 2 * k + 1, F.lit(2)), 16, 10).cast("long")
 
+    # a byte's place in the table is read once; the shifts written out would read it again in each of their terms
+    table = F.array(*(F.lit(x) for x in autopilot.X25))
+
     def step(crc: Column, k: Column) -> Column:
-        t = byte(k).bitwiseXOR(crc.bitwiseAND(F.lit(255)))
-        t = t.bitwiseXOR(F.shiftleft(t, 4)).bitwiseAND(F.lit(255))
-        return F.shiftright(crc, 8).bitwiseXOR(F.shiftleft(t, 8)).bitwiseXOR(F.shiftleft(t, 3)).bitwiseXOR(F.shiftright(t, 4))
+        return F.shiftright(crc, 8).bitwiseXOR(F.get(table, byte(k).bitwiseXOR(crc).bitwiseAND(F.lit(255)).cast("int")))
 
     crc = F.aggregate(F.sequence(F.lit(0), (F.length("covered") / 2 - 1).cast("int")), F.lit(65535).cast("long"), step)
-    sound = F.when(i % 7 == 0, crc.bitwiseXOR(F.lit(1))).otherwise(crc)
+    rows = rows.withColumn("crc", crc)
+    sound = F.when(i % 7 == 0, F.col("crc").bitwiseXOR(F.lit(1))).otherwise(F.col("crc"))
     frame = F.concat(F.when(i % 2 == 0, "fe").otherwise("fd"), F.expr("substr(covered, 1, length(covered) - 2)"), _little(sound, 2), F.when((i % 2 == 1) & signed, F.lit("ab" * 13)).otherwise(F.lit("")))
     found = autopilot.mavlink_rows(_contents(rows, F.concat(_hex(F.lit(1704067200000000) + i * 1000000, 8), frame)))
     return rounded(found.select("source", "t", "lat", "lon", "alt_gps", "alt_baro", "yaw"), 7)

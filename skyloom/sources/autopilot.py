@@ -173,13 +173,21 @@ def flash_fixes(data: bytes) -> Iterator[dict]:
             yield {"n": n, "topic": name, "t_us": m.get("TimeUS"), "lat": m["Lat"], "lon": m["Lng"], "alt": m.get("Alt"), "week": m.get("GWk"), "ms": m.get("GMS"), "sats": m.get("NSats")}
 
 
+def _x25_of(byte: int) -> int:
+    for _ in range(8):
+        byte = byte >> 1 ^ (0x8408 if byte & 1 else 0)
+    return byte
+
+
+#: What each byte does to the checksum.
+X25 = [_x25_of(byte) for byte in range(256)]
+
+
 def x25(data: bytes) -> int:
     """The checksum of MAVLink frames: CRC-16 with the polynomial 0x1021, reflected."""
     crc = 0xFFFF
     for byte in data:
-        crc ^= byte
-        for _ in range(8):
-            crc = crc >> 1 ^ (0x8408 if crc & 1 else 0)
+        crc = crc >> 8 ^ X25[(crc ^ byte) & 0xFF]
     return crc
 
 

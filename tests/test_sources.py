@@ -185,3 +185,13 @@ def test_a_damaged_set_does_not_take_the_next_ones_bytes():
     for cut in range(1, len(good)):
         assert len(list(T.klv_sets(good + good[:-cut]))) == 1
     assert list(T.klv_sets(T.KLV_KEY + b"\x00" + good))[0] == rows[0]
+
+
+def test_checksums_of_made_files_are_worked_out_once_for_each_row(spark):
+    from skyloom.plans import source_queries
+    from skyloom.sources import autopilot
+
+    for name, most in (("mavlink_round_trip", 1), ("klv_round_trip", 1)):
+        plan = getattr(source_queries, name)(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("conv(") == most and "collect_list(struct" not in plan and "collect_list(named_struct" not in plan, name
+    assert autopilot.x25(b"123456789") == 0x6F91
