@@ -8,7 +8,7 @@ from skyloom.operators import anchoring
 from skyloom.operators.anchoring import AnchorLimits
 from skyloom.operators.distance import nearest_cells
 from skyloom.plans.catalog import register
-from skyloom.plans.tables import table
+from skyloom.plans.tables import halves_up, table
 
 LIMITS = AnchorLimits(least_region=8, least_band=20, band=2, pairs=60, near=0.3, near_share=0.002, residual=0.25, residual_share=0.001, holdout_share=0.006, blend=4, beyond_share=0.05)
 
@@ -61,7 +61,7 @@ def anchored_frames(spark, sf_dir):
     """Fit and gates of each frame."""
     r = anchoring.anchor_frames(_pixels(spark, sf_dir), LIMITS)[0]
     digits = {"scale": 5, "shift": 4, "inlier_share": 6, "residual": 5, "band_depth": 5, "holdout": 5, "holdout_pct": 5}
-    return r.withColumns({c: F.round(c, n) for c, n in digits.items()})
+    return r.withColumns({c: halves_up(F.col(c), n) for c, n in digits.items()})
 
 
 _FILLED_SQL = _ANCHOR_SQL + """,

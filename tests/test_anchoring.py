@@ -95,3 +95,15 @@ def test_consensus_survives_outliers(spark):
     r = consensus_lines(df, "k", "x", "y", F.lit(0.25), ["i"], 128).first()
     assert r.scale == pytest.approx(20, rel=0.01) and r.shift == pytest.approx(7, abs=0.1)
     assert consensus_lines(df.where("i = 0"), "k", "x", "y", F.lit(0.25), ["i"], 128).count() == 0
+
+
+def test_halves_are_rounded_as_in_the_sql(spark):
+    """Values whose shortest decimals are just below a half, as of a median of two values with six decimals."""
+    duckdb = pytest.importorskip("duckdb")
+    from skyloom.plans.tables import halves_up
+
+    values = [float(np.nextafter(k / 1e6 + 46, side)) for k in range(5, 2000, 10) for side in (0, 99)]
+    values += [-v for v in values]
+    got = spark.createDataFrame([(v,) for v in values], "v double").select(halves_up(F.col("v"), 5).alias("new"), F.round("v", 5).alias("old")).collect()
+    want = [duckdb.execute("select round(?::double, 5)", [v]).fetchone()[0] for v in values]
+    assert [r.new for r in got] == want and [r.old for r in got] != want
