@@ -33,11 +33,15 @@ def texel_size(faces: DataFrame, keys: list[str], xy: list[tuple[str, str]], uv:
 
 
 def welded(vertices: DataFrame, keys: list[str], xyz: list[str], colours: list[str], confidence: str, zone: str, digits: int = 3) -> DataFrame:
-    """One vertex for each rounded place: mean colours, mean of the known confidences (-1 without any), the least trusted zone."""
+    """One vertex for each rounded place: mean colours, mean of the known confidences (-1 without any), the least trusted zone.
+
+    Decimal colours are summed exactly, so that the order of rows doesn't show in their means.
+    """
+    mean = lambda c: F.sum(c).cast("double") / F.nullif(F.count(c), F.lit(0))
     by = [F.round(c, digits).alias(c) for c in xyz]
     known = F.when(F.col(confidence) >= 0, F.col(confidence))
     return vertices.groupBy(*keys, *by).agg(
-        F.count("*").alias("merged"), *(F.avg(c).alias(c) for c in colours), F.coalesce(F.avg(known), F.lit(-1.0)).alias(confidence), F.max(zone).alias(zone)
+        F.count("*").alias("merged"), *(mean(c).alias(c) for c in colours), F.coalesce(F.avg(known), F.lit(-1.0)).alias(confidence), F.max(zone).alias(zone)
     )
 
 

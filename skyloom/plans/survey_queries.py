@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from skyloom.operators import cloud, exports, footage, georef, stats, windows
 from skyloom.plans.catalog import register
-from skyloom.plans.tables import FRAMES_SQL, POINTS_SQL, TELEMETRY_SQL, frames, points, rounded, spread, spread_sql, table, telemetry
+from skyloom.plans.tables import FRAMES_SQL, POINTS_SQL, TELEMETRY_SQL, frames, halves_up, points, rounded, spread, spread_sql, table, telemetry
 from skyloom.plans.track_queries import UTM_SQL
 
 T, P, R = TELEMETRY_SQL, POINTS_SQL, FRAMES_SQL
@@ -94,9 +94,10 @@ def texel_size(spark, sf_dir):
 
 @register("lite_mesh", f"""select class, round(x, 0) as x, round(y, 0) as y, round(z, 0) as z, count(*) as merged, round(avg(weight), 6) as weight, round(coalesce(avg(case when view % 3 > 0 then view % 7 end), -1), 6) as confidence, max(case when source = 'F' then 2 else 3 end) as zone from {P} group by all""")
 def lite_mesh(spark, sf_dir):
-    """Vertices welded by rounded places, the least trusted zone kept."""
-    p = points(spark, sf_dir).select("class", *XYZ, "weight", F.when(F.col("view") % 3 > 0, (F.col("view") % 7).cast("double")).otherwise(-1.0).alias("confidence"), F.when(F.col("source") == "F", 2).otherwise(3).alias("zone"))
-    return rounded(exports.welded(p, ["class"], XYZ, ["weight"], "confidence", "zone", 0))
+    """Vertices welded by rounded places, the least trusted zone kept; weights count to six decimals, so that no order of rows shows."""
+    p = points(spark, sf_dir).select("class", *XYZ, F.col("weight").cast("decimal(12,6)"), F.when(F.col("view") % 3 > 0, (F.col("view") % 7).cast("double")).otherwise(-1.0).alias("confidence"), F.when(F.col("source") == "F", 2).otherwise(3).alias("zone"))
+    made = exports.welded(p, ["class"], XYZ, ["weight"], "confidence", "zone", 0)
+    return made.withColumns({c: halves_up(F.col(c), 6) for c in ("weight", "confidence")})
 
 
 @register("lite_faces", f"""select point_id from {P} where voxel % 10 <> view % 10 and view % 10 <> point_id % 10 and voxel % 10 <> point_id % 10""")

@@ -3,6 +3,7 @@
 import numpy as np
 
 from skyloom.operators import checks, recurrences
+from skyloom.plans import survey_queries
 
 
 def test_trimmed_fit_and_depth_anchor_gather_no_group(spark):
@@ -18,3 +19,11 @@ def test_trimmed_fit_and_depth_anchor_gather_no_group(spark):
         near = r <= np.quantile(r, 0.9)
         a, b = np.polyfit(x[near], y[near], 1)
     assert np.allclose(fit.select("gain", "bias").first(), (a, b))
+
+
+def test_lite_mesh_weights_by_halves_whatever_the_order(spark, tmp_path):
+    weights = [1, 3, 3, 2, 5, 2, 2, 6, 2, 4, 0, 4, 4, 5, 6, 2, 6, 8, 6, 8, 6, 6, 1, 0, 1, 0, 6, 1, 0, 1, 5, 1]  # 1.07 of 32: 0.0334375
+    rows = [(k, 1, 1, 3, "A", "F", 1.0, 0.05, 1500.0, w / 100) for k, w in enumerate(weights)]
+    columns = "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_returnflag string, l_linestatus string, l_quantity double, l_discount double, l_extendedprice double, l_tax double"
+    spark.createDataFrame(rows, columns).coalesce(1).write.parquet(f"{tmp_path}/lineitem.parquet")
+    assert [tuple(r) for r in survey_queries.lite_mesh(spark, str(tmp_path)).collect()] == [("A", 1.0, 5.0, 2.0, 32, 0.033438, -1.0, 2)]
