@@ -1,8 +1,11 @@
 """Groups that hold most rows are not gathered for their quantiles."""
 
+import hashlib
+
 import numpy as np
+from pyspark.sql import functions as F
 
-from skyloom.operators import checks, recurrences
+from skyloom.operators import checks, recurrences, stats
 from skyloom.plans import survey_queries
 
 
@@ -27,3 +30,28 @@ def test_lite_mesh_weights_by_halves_whatever_the_order(spark, tmp_path):
     columns = "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_returnflag string, l_linestatus string, l_quantity double, l_discount double, l_extendedprice double, l_tax double"
     spark.createDataFrame(rows, columns).coalesce(1).write.parquet(f"{tmp_path}/lineitem.parquet")
     assert [tuple(r) for r in survey_queries.lite_mesh(spark, str(tmp_path)).collect()] == [("A", 1.0, 5.0, 2.0, 32, 0.033438, -1.0, 2)]
+
+
+def _written(monkeypatch, module):
+    """Rows of what ``module`` writes, by label."""
+    rows, write = {}, module.materialise
+
+    def counted(df, label):
+        made = write(df, label)
+        rows[label] = made.count()
+        return made
+
+    monkeypatch.setattr(module, "materialise", counted)
+    return rows
+
+
+def test_hash_pairs_compare_whole_hashes_of_few_rows(spark, monkeypatch):
+    rows = _written(monkeypatch, stats)
+    df = spark.range(3000).selectExpr("id % 2 as k", "id as x")
+    got = {(r.k, r["__k"]): (r.p.x, r.q.x) for r in stats.hash_pairs(df, "k", F.col("x").cast("string"), ["x"], 10).collect()}
+    held = {}
+    for x in range(3000):
+        h = hashlib.md5(f"{x}:0".encode()).hexdigest()
+        held.setdefault((x % 2, int(h[:6], 16) % 10), []).append((h, x))
+    assert got == {k: (min(v)[1], max(v)[1]) for k, v in held.items()}
+    assert rows == {"hash-sizes": 2, "hash-bounds": 20}
