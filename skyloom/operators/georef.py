@@ -59,7 +59,10 @@ def robust_similarity(
     own = materialise(own, "similarity-pairs")
     dealt = own.withColumn("__round", F.explode(F.array(*map(F.lit, range(rounds)))))
     share = F.pmod(F.xxhash64(id_, "__round", F.lit(seed)), F.lit(samples * hypotheses // rounds))
-    picked = dealt.withColumn("__share", share).groupBy(*keys, "__round", "__share").agg(F.min(F.struct(F.xxhash64(id_, "__round"), *source, *target)).alias("p"))
+    dealt = dealt.withColumns({"__share": share, "__hash": F.xxhash64(id_, "__round")})
+    shares = [*keys, "__round", "__share"]
+    least = materialise(dealt.groupBy(*shares).agg(F.min("__hash").alias("__hash")), "similarity-least")  # a number, so no rows are sorted
+    picked = dealt.join(least, [*shares, "__hash"]).groupBy(*shares).agg(F.min(F.struct(*source, *target)).alias("p"))
     picked = picked.select(*keys, (F.col("__round") * hypotheses + F.floor(F.col("__share") / samples)).cast("int").alias("__h"), *(F.col(f"p.{c}").alias(c) for c in [*source, *target]), F.lit(1.0).alias("weight"))
     full = picked.groupBy(*keys, "__h").agg(F.count("*").alias("__n")).where(F.col("__n") == samples).select(*keys, "__h")
     picked = picked.join(full, [*keys, "__h"])

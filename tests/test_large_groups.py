@@ -5,7 +5,7 @@ import hashlib
 import numpy as np
 from pyspark.sql import functions as F
 
-from skyloom.operators import checks, recurrences, stats
+from skyloom.operators import checks, georef, recurrences, stats
 from skyloom.plans import survey_queries
 
 
@@ -55,3 +55,12 @@ def test_hash_pairs_compare_whole_hashes_of_few_rows(spark, monkeypatch):
         held.setdefault((x % 2, int(h[:6], 16) % 10), []).append((h, x))
     assert got == {k: (min(v)[1], max(v)[1]) for k, v in held.items()}
     assert rows == {"hash-sizes": 2, "hash-bounds": 20}
+
+
+def test_robust_similarity_picks_by_a_number(spark, monkeypatch):
+    rows = _written(monkeypatch, georef)
+    df = spark.range(2000).selectExpr("'a' as k", "id", "double(id % 50) as x", "double(id % 11) as y", "double(id % 7) as z")
+    df = df.selectExpr("*", "2 * y + 1 as u", "5 - 2 * x as v", "2 * z - 3 + if(id % 10 = 3, 300, 0) as w")
+    found = georef.robust_similarity(df, ["k"], "id", ["x", "y", "z"], ["u", "v", "w"], threshold=1.0).first()
+    assert np.allclose([found.scale, *found["shift"]], [2, 1, 5, -3]) and (found.cameras, found.inliers) == (2000, 1800)
+    assert rows["similarity-least"] == 4 * 48
