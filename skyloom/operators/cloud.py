@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -54,24 +55,32 @@ def radius_pairs(left: DataFrame, right: DataFrame, left_id: str, right_id: str,
     return joined.select(left_id, F.col("__rid").alias(right_id if right_id != left_id else "other"), "distance")
 
 
+def _crowds(right: DataFrame, coords: list[str], radius: float) -> tuple[float, int]:
+    """Pairs of rows that share a cell, and rows."""
+    n = cells(right, coords, 2 * radius).groupBy(*(f"c_{c}" for c in coords)).count()
+    near, rows = n.agg(F.sum(F.col("count").cast("double") * F.col("count")), F.sum("count")).first()
+    return near or 0.0, rows or 0
+
+
 def _first_radius(right: DataFrame, coords: list[str], radius: float, crowd: int, pairs: int) -> float:
     """``radius``, halved until a row shares its cell with few others, or until all cells together hold few pairs."""
     for _ in range(20):
-        n = cells(right, coords, 2 * radius).groupBy(*(f"c_{c}" for c in coords)).count()
-        near, rows = n.agg(F.sum(F.col("count").cast("double") * F.col("count")), F.sum("count")).first()
-        if near is None or near <= pairs or near <= crowd * rows:
+        near, rows = _crowds(right, coords, radius)
+        if near <= pairs or near <= crowd * rows:
             break
         radius /= 2
     return radius
 
 
-def k_nearest(left: DataFrame, right: DataFrame, left_id: str, right_id: str, coords: list[str], radius: float, k: int, *, exclude_self: bool = False, crowd: int = 32, pairs: int = 10_000_000) -> DataFrame:
+def k_nearest(left: DataFrame, right: DataFrame, left_id: str, right_id: str, coords: list[str], radius: float, k: int, *, exclude_self: bool = False, crowd: int = 32, pairs: int = 10_000_000, task: int = 2_000_000) -> DataFrame:
     """(left_id, __k, other, distance): the ``k`` nearest rows of ``right`` within ``radius``, ties by ``right_id``, exact.
 
     Pairs within ``radius`` grow with the square of a cloud's density, so places are first searched within a small radius;
     those with too few rows in it are searched again within twice as much, up to ``radius``. Each distinct place is searched
-    once, and of rows in one place only those that can be among the nearest count.
+    once, and of rows in one place only those that can be among the nearest count. Cells are dealt to as many tasks as
+    leave each about ``task`` pairs of a place and a row of its cells.
     """
+    least = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keep, bare = k + exclude_self, [f"__{c}" for c in coords]
     sound = lambda df: df.where(reduce(lambda a, c: a & F.col(c).isNotNull() & ~F.isnan(c), coords, F.lit(True)))
     rows = sound(right.select(F.col(right_id).alias("other"), *(F.col(c).cast("double").alias(c) for c in coords)))
@@ -83,12 +92,14 @@ def k_nearest(left: DataFrame, right: DataFrame, left_id: str, right_id: str, co
     while True:
         last = r >= radius
         r = radius if last else r
-        reach, at = r * (1 + 1e-9), todo
+        crowded, n = _crowds(rows, coords, r)
+        tasks = max(least, math.ceil(todo.count() * 2 ** len(coords) * crowded / max(n, 1) / task))
+        reach, at, held = r * (1 + 1e-9), todo, [f"c_{c}" for c in coords]
         for c, b in zip(coords, bare, strict=True):  # two cells of an axis at most
             ends = F.array(*(F.floor((F.col(b) + side * reach) / (2 * r)).cast("long") for side in (-1, 1)))
             at = at.withColumn(f"c_{c}", F.explode(F.array_distinct(ends)))
         d2 = sum((F.pow(F.col(b) - F.col(c), 2) for c, b in zip(coords, bare, strict=True)), F.lit(0.0))
-        near = at.join(cells(rows, coords, 2 * r), [f"c_{c}" for c in coords]).select(*bare, "other", F.sqrt(d2).alias("distance")).where(F.col("distance") <= r)
+        near = at.repartition(tasks, *held).join(cells(rows, coords, 2 * r).repartition(tasks, *held), held).select(*bare, "other", F.sqrt(d2).alias("distance")).where(F.col("distance") <= r)
         near = near.withColumn("__k", F.row_number().over(Window.partitionBy(*bare).orderBy("distance", "other"))).where(F.col("__k") <= keep)
         near = materialise(near, "near")
         if last:

@@ -29,3 +29,12 @@ def test_strip_pairs_join_on_heading_too(spark, tmp_path):
     spark.range(9).selectExpr("id as s_suppkey", "id * 7D as s_acctbal").write.parquet(f"{tmp_path}/supplier.parquet")
     plan = strip_pairs(spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()
     assert any("Join Inner" in line and "slot" in line for line in plan.splitlines())
+
+
+def test_cells_are_dealt_to_tasks_by_their_pairs(spark, monkeypatch):
+    near, write = [], cloud.materialise
+    monkeypatch.setattr(cloud, "materialise", lambda df, label: (near.append(df) if label == "near" else None) or write(df, label))
+    df = spark.range(300).selectExpr("id", "double(id % 17) as x").coalesce(1)
+    got = cloud.k_nearest(df, df, "id", "id", ["x"], 0.5, 1, task=500).collect()
+    assert {(r.id, r.other) for r in got} == {(k, k % 17) for k in range(300)}
+    assert near and all("RepartitionByExpression" in d._jdf.queryExecution().optimizedPlan().toString() for d in near)
