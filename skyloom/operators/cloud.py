@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from skyloom.operators.stats import quantiles
-from skyloom.session import materialise
+from skyloom.session import materialise, parts
 
 
 def cells(df: DataFrame, coords: list[str], size: Column | float, prefix: str = "c_") -> DataFrame:
@@ -174,11 +174,15 @@ def visible(projected: DataFrame, cam: str, u: str, v: str, depth: str, toleranc
     return projected.join(zbuf, [cam, u, v]).where(F.col(depth) <= F.col("__z") + tolerance).drop("__z")
 
 
-def weighted_fusion(df: DataFrame, key: str, frame: str, weight: str, values: list[str], least_weight: float, cap: float) -> DataFrame:
-    """Weighted means of each voxel over its frames, with enough weight, the weight capped.
+def weighted_fusion(df: DataFrame, key: str, frame: str, weight: str, values: list[str], least_weight: float, cap: float, without: DataFrame | None = None) -> DataFrame:
+    """Weighted means of each voxel over its frames, with enough weight, the weight capped; not of voxels in ``without``.
 
-    Weights and values count to six decimals: the sums are exact, so their order doesn't show.
+    Weights and values count to six decimals: the sums are exact, so their order doesn't show. Rows are dealt once, by voxel,
+    to as many tasks as they need, as few share a voxel and a frame.
     """
+    df = df.select(key, frame, weight, *values).repartition(parts(df), key)
+    if without is not None:  # its real size decides, as an anti join comes before rows are dealt
+        df = df.join(materialise(without, "fusion-without"), key, "left_anti")
     exact = lambda c: F.col(c).cast("decimal(12,6)")
     sums = [F.sum((exact(weight) * exact(v)).cast("decimal(24,12)")).cast("double").alias(v) for v in values]
     made = df.groupBy(key).agg(F.sum(exact(weight)).alias("w"), F.countDistinct(frame).alias("frames"), *sums).where(F.col("w") >= least_weight)

@@ -187,7 +187,7 @@ def weighted_fusion(spark, sf_dir):
     """Weighted fusion outside zone 1; sums are decimals, so that no order of rows shows."""
     p = points(spark, sf_dir)
     zone1 = p.where("class = 'A' and weight > 0.07").groupBy("voxel").agg(F.count("*").alias("n")).where("n >= 4").select("voxel")
-    return cloud.weighted_fusion(p.join(zone1, "voxel", "left_anti"), "voxel", "view", "weight", ["x", "z"], 0.5, 2.0)
+    return cloud.weighted_fusion(p, "voxel", "view", "weight", ["x", "z"], 0.5, 2.0, zone1)
 
 
 @register("error_stats_by_group", f"""with d as (select unnest([class, source, case when class = 'A' and source = 'F' then 'AF' end, 'all']) as grp, z - 35 as d from {P}), e as (select * from d where grp is not null),

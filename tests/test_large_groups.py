@@ -5,8 +5,9 @@ import hashlib
 import numpy as np
 from pyspark.sql import functions as F
 
-from skyloom.operators import checks, georef, recurrences, stats
+from skyloom.operators import checks, cloud, georef, recurrences, stats
 from skyloom.plans import survey_queries
+from skyloom.session import parts
 
 
 def test_trimmed_fit_and_depth_anchor_gather_no_group(spark):
@@ -64,3 +65,12 @@ def test_robust_similarity_picks_by_a_number(spark, monkeypatch):
     found = georef.robust_similarity(df, ["k"], "id", ["x", "y", "z"], ["u", "v", "w"], threshold=1.0).first()
     assert np.allclose([found.scale, *found["shift"]], [2, 1, 5, -3]) and (found.cameras, found.inliers) == (2000, 1800)
     assert rows["similarity-least"] == 4 * 48
+
+
+def test_weighted_fusion_deals_rows_by_their_number(spark, monkeypatch):
+    assert (parts(spark.range(20_000), 1000), parts(spark.range(20), 1000)) == (20, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    monkeypatch.setattr(cloud, "parts", lambda df: 13)
+    df = spark.range(600).selectExpr("id % 60 as v", "id as frame", "0.25D as w", "double(id % 60) as x")
+    made = cloud.weighted_fusion(df, "v", "frame", "w", ["x"], 0.5, 2.0, spark.range(50).withColumnRenamed("id", "v"))
+    assert made.rdd.getNumPartitions() == 13
+    assert sorted(map(tuple, made.collect())) == [(v, 2.0, 10, float(v)) for v in range(50, 60)]
