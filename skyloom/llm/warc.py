@@ -58,7 +58,8 @@ def resolved(text: Column) -> Column:
         n = F.when((n == 0) | n.between(0xD800, 0xDFFF) | (n > 0x10FFFF), 0xFFFD).otherwise(n)
         char = F.when(part.startswith("#"), F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")).otherwise(names[name])
         rest = F.substring(part, F.length(name) + 2, F.length(part))
-        return F.when(F.contains(part, F.lit(";")) & char.isNotNull(), F.concat(char, rest)).otherwise(F.concat(F.lit("&"), part))
+        known = F.when(F.contains(part, F.lit(";")), F.concat(char, rest))  # null where it names none, so it is looked up once
+        return F.coalesce(known, F.concat(F.lit("&"), part))
 
     parts = F.split(text, "&")
     return F.when(F.contains(text, F.lit("&")), F.array_join(F.transform(parts, lambda p, i: F.when(i == 0, p).otherwise(one(p))), "")).otherwise(text)

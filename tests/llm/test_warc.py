@@ -85,3 +85,8 @@ def test_damaged_and_gzipped_files(spark):
     rows = read_responses(spark.createDataFrame([(f,) for f in files], "content binary")).collect()
     found = sorted((r.target_uri, r.payload[:5]) for r in rows)
     assert found == [("a", "hello")] * 5 + [("b", ""), ("c", "hello"), ("d", "")]
+
+
+def test_names_of_characters_are_looked_up_once(spark):
+    plan = spark.range(1).selectExpr("string(id) as t").select(resolved(F.col("t")))._jdf.queryExecution().analyzed().toString()
+    assert plan.count("str_to_map(") == 2  # the name of the column and the expression
