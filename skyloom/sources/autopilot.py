@@ -124,7 +124,8 @@ def flash_messages(data: bytes, wanted: set[str]) -> Iterator[tuple[str, dict]]:
 
     A message starts with two fixed bytes and a known type; anything else is damage, and reading goes on at the next such start.
     These bytes may also stand within a whole message's values: a message counts as cut short only if none starts at its end
-    and one that starts within it is whole, that is, ends at a start or beyond this one's end without a start in itself.
+    and one that starts within it is whole, that is, ends at a start or beyond this one's end without a start in itself. What
+    starts within it is not whole if it runs over a message that starts beyond this one's end and ends at a start.
     """
     layouts: dict[int, tuple[str, struct.Struct, list[tuple[str, int]]]] = {}
     sizes = {FLASH_FMT: 89}
@@ -139,7 +140,8 @@ def flash_messages(data: bytes, wanted: set[str]) -> Iterator[tuple[str, dict]]:
         if b >= len(data) or starts(b):
             return False
         inner = ((p, p + sizes[data[p + 2]]) for p in within(a, b))
-        return any(q <= len(data) and (starts(q) or q > b and not within(p, q)) for p, q in inner)
+        runs_over = lambda q: any(starts(r + sizes[data[r + 2]]) for r in within(b, q))
+        return any(q <= len(data) and (starts(q) and not runs_over(q) or q > b and not within(p, q)) for p, q in inner)
 
     at = data.find(FLASH_HEAD)
     while 0 <= at and at + 3 <= len(data):

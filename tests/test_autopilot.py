@@ -55,6 +55,18 @@ def test_flash_damage():
     assert list(A.flash_messages(one(1), {"ATT"})) == [] == list(A.flash_messages(b"", {"ATT"}))
 
 
+def test_flash_message_whose_values_start_like_one_that_ends_at_a_start():
+    fmt = lambda kind, name, form, columns: A.FLASH_HEAD + bytes([128, kind, 3 + struct.calcsize("<" + "".join(A.FLASH_TYPES[c] for c in form))]) + name.ljust(4, b"\0") + form.encode().ljust(16, b"\0") + columns.ljust(64, b"\0")
+    gps = lambda t, lat: A.FLASH_HEAD + b"\x82" + struct.pack("<QBIHBii", t, 3, 7, 9, 6, lat, 5) + bytes(4)
+    att = lambda t: A.FLASH_HEAD + b"\x83" + struct.pack("<QhH", t, 0, 1234)
+    like = int.from_bytes(A.FLASH_HEAD + b"\x82\x21", "little", signed=True)
+    # 4 bytes of damage: what starts at ``lat`` would run over the heading and end where the next position starts
+    data = fmt(130, b"GPS", "QBIHBLLe", b"TimeUS,Status,GMS,GWk,NSats,Lat,Lng,Alt") + fmt(131, b"ATT", "QhC", b"TimeUS,Roll,Yaw")
+    data += gps(1, 10) + gps(2, like) + b"\xa3\x95\xf0\xa3" + att(3) + gps(3, 10) + b"\0" + gps(4, 10)[:7] + att(5) + gps(5, 10) + b"\0" + gps(6, 10)
+    found = [(n, m["TimeUS"]) for n, m in A.flash_messages(data, {"GPS", "ATT"})]
+    assert found == [("GPS", 1), ("GPS", 2), ("ATT", 3), ("GPS", 3), ("ATT", 5), ("GPS", 5), ("GPS", 6)]
+
+
 def test_checksum_of_frames():
     assert A.x25(b"123456789") == 0x6F91
 
