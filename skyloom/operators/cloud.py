@@ -133,8 +133,10 @@ def distinct_views(points: DataFrame, voxel: str, view: str) -> DataFrame:
 
 
 def zones(points: DataFrame, voxel: str, view: str, confidence: str, min_views: int, min_confidence: float) -> DataFrame:
-    """Zone of each voxel from its distinct views and mean confidence."""
-    per = points.groupBy(voxel).agg(F.countDistinct(F.when(F.col(view) >= 0, F.col(view))).alias("views"), F.avg(confidence).alias("confidence"))
+    """Zone of each voxel from its distinct views and mean confidence, to 12 digits: a mean that equals the limit
+    reaches it, in whatever order its terms were added."""
+    mean = F.round(F.avg(confidence), 12).alias("confidence")
+    per = points.groupBy(voxel).agg(F.countDistinct(F.when(F.col(view) >= 0, F.col(view))).alias("views"), mean)
     zone = F.when((F.col("views") >= min_views) & (F.col("confidence") >= min_confidence), 1).when(F.col("views") >= 1, 2).otherwise(3)
     return per.withColumn("zone", zone)
 

@@ -38,3 +38,14 @@ def test_cells_are_dealt_to_tasks_by_their_pairs(spark, monkeypatch):
     got = cloud.k_nearest(df, df, "id", "id", ["x"], 0.5, 1, task=500).collect()
     assert {(r.id, r.other) for r in got} == {(k, k % 17) for k in range(300)}
     assert near and all("RepartitionByExpression" in d._jdf.queryExecution().optimizedPlan().toString() for d in near)
+
+
+def test_zone_of_a_mean_that_equals_the_limit(spark):
+    rng = np.random.default_rng(7)
+    rows = []
+    for voxel in range(200):
+        values = rng.permutation(np.repeat([0.0, 0.01, 0.03, 0.05, 0.07, 0.08], 4))  # 24 values whose mean is 0.04
+        rows += [(voxel, k, float(v)) for k, v in enumerate(values)]
+    points = spark.createDataFrame(rows, "voxel long, view long, weight double")
+    got = cloud.zones(points, "voxel", "view", "weight", 20, 0.04).collect()
+    assert len(got) == 200 and {(r.views, r.confidence, r.zone) for r in got} == {(24, 0.04, 1)}
