@@ -1,8 +1,8 @@
 """Whether two views show one rigid scene (inventory R18): matches (pair, x, y, u, v) under a fundamental matrix and a homography.
 
 Candidates come from small classes of matches, dealt by a hash; each is the smallest eigenvector of a 9 x 9 normal matrix
-that Spark sums, and only its factorisation is NumPy. Every match judges every candidate of its pair; the best is fitted
-again to the matches near it, by the same sums. A scene is rigid as far as the better of the two models goes: flat ground
+that Spark sums, and its factorisation is NumPy. Every match judges every candidate of its pair, in blocks of matches that
+meet the pair's candidates once; the best is fitted again to the matches near it, by the same sums. A scene is rigid as far as the better of the two models goes: flat ground
 or a camera that turns makes fundamental matrices ambiguous, relief makes homographies fail.
 """
 
@@ -12,6 +12,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -54,6 +55,52 @@ def transfer(m: Column, x: Column, y: Column, u: Column, v: Column) -> Column:
     return F.hypot(a / c - u, b / c - v)
 
 
+def _sampson(m: np.ndarray, x: np.ndarray, y: np.ndarray, u: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """``sampson`` of every match from every model, a row of ``m`` each."""
+    m = m[:, :, None]
+    a, b, c = (m[:, 3 * i] * x + m[:, 3 * i + 1] * y + m[:, 3 * i + 2] for i in range(3))
+    d, e = m[:, 0] * u + m[:, 3] * v + m[:, 6], m[:, 1] * u + m[:, 4] * v + m[:, 7]
+    return np.abs(u * a + v * b + c) / np.sqrt(a * a + b * b + d * d + e * e)
+
+
+def _transfer(m: np.ndarray, x: np.ndarray, y: np.ndarray, u: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """``transfer`` of every match under every model, a row of ``m`` each."""
+    m = m[:, :, None]
+    a, b, c = (m[:, 3 * i] * x + m[:, 3 * i + 1] * y + m[:, 3 * i + 2] for i in range(3))
+    return np.hypot(a / c - u, b / c - v)
+
+
+#: Matches of a pair that are judged together.
+BLOCK = 4096
+
+
+def _blocks(matches: DataFrame, key: str) -> DataFrame:
+    """(key, __rows): the scaled coordinates of each pair's matches, in lists of about ``BLOCK`` at most."""
+    n = matches.groupBy(key).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("__b"))
+    dealt = matches.join(n, key).withColumn("__b", F.pmod(F.xxhash64(*SCALED), F.col("__b")))
+    return dealt.groupBy(key, "__b").agg(F.collect_list(F.array(*SCALED)).alias("__rows")).drop("__b")
+
+
+def _agreeing(blocks: DataFrame, models: DataFrame, key: str, limit: float, off: Callable) -> DataFrame:
+    """(key, __k, n): how many matches of ``blocks`` are nearer than ``limit`` to each of ``models(key, __models)``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            of, ks, ns = [], [], []
+            for at, (rows, models) in enumerate(zip(batch.column(1), batch.column(2), strict=True)):
+                x, y, u, v = rows.values.flatten().to_numpy(zero_copy_only=False).reshape(-1, 4).T
+                m = models.values.field("m").flatten().to_numpy(zero_copy_only=False).reshape(-1, 9)
+                with np.errstate(all="ignore"):
+                    ns += (off(m, x, y, u, v) < limit).sum(1).tolist()
+                ks += models.values.field("__k").to_pylist()
+                of += [at] * len(m)
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(of, pa.int64())), pa.array(ks, pa.int64()), pa.array(ns, pa.int64())], [key, "__k", "n"])
+
+    kind = dict(blocks.dtypes)[key]
+    counts = blocks.join(models, key).select(key, "__rows", "__models").mapInArrow(run, f"`{key}` {kind}, __k long, n long")
+    return counts.groupBy(key, "__k").agg(F.sum("n").alias("n")).where("n > 0")
+
+
 def _solved(sums: DataFrame, keys: list[str], flat: bool) -> DataFrame:
     """(keys, m array<double>): the smallest eigenvector of each normal matrix; ``flat`` makes its 3 x 3 singular."""
     kinds = dict(sums.dtypes)
@@ -74,8 +121,11 @@ def _solved(sums: DataFrame, keys: list[str], flat: bool) -> DataFrame:
     return sums.mapInPandas(run, "".join(f"`{k}` {kinds[k]}, " for k in keys) + "m array<double>")
 
 
-def consensus(matches: DataFrame, key: str, size: tuple[int, int], near: float, rows: Callable, off: Callable, flat: bool, *, candidates: int = 96, sample: int = 8, rounds: int = 2) -> DataFrame:
-    """(key, agree, m) of ``matches`` with scaled coordinates: how many matches the best model has within ``near`` cells, and the model in scaled coordinates."""
+def consensus(matches: DataFrame, blocks: DataFrame, key: str, size: tuple[int, int], near: float, rows: Callable, off: Callable, judge: Callable, flat: bool, *, candidates: int = 96, sample: int = 8, rounds: int = 2) -> DataFrame:
+    """(key, agree, m) of ``matches`` with scaled coordinates: how many matches the best model has within ``near`` cells, and the model in scaled coordinates.
+
+    ``blocks`` are those of ``_blocks``; ``judge`` is ``off`` on arrays.
+    """
     c, limit = [F.col(k) for k in SCALED], near / max(size)
     n = matches.groupBy(key).agg(F.count("*").alias("__n")).withColumn("__m", F.greatest(F.lit(1), F.floor(F.col("__n") / sample)).cast("long"))
     times = F.sequence(F.lit(0).cast("long"), F.ceil(F.lit(candidates) / F.col("__m")) - 1)
@@ -84,9 +134,10 @@ def consensus(matches: DataFrame, key: str, size: tuple[int, int], near: float,
     dealt = dealt.withColumn("__k", F.col("__t") * F.col("__m") + F.conv(F.substring(h, 1, 8), 16, 10).cast("long") % F.col("__m"))
     # a class stays small however many matches there are, else each would hold a wrong one; about half have ``sample`` of them
     sums = dealt.where(F.col("__k") < 2 * candidates).groupBy(key, "__k").agg(F.count("*").alias("__n"), *_products(rows(*c))).where(F.col("__n") >= sample)
-    models = _solved(sums, [key, "__k"], flat).groupBy(key).agg(F.collect_list(F.struct("__k", "m")).alias("__models"))  # at most twice ``candidates``
-    tried = matches.join(materialise(models, "rigid-models"), key).withColumn("c", F.explode("__models")).where(off(F.col("c.m"), *c) < limit)
-    best = tried.groupBy(key, "c").agg(F.count("*").alias("n")).groupBy(key).agg(F.max(F.struct("n", -F.col("c.__k"), F.col("c.m"))).alias("b"))
+    solved = materialise(_solved(sums, [key, "__k"], flat), "rigid-models")
+    models = solved.groupBy(key).agg(F.collect_list(F.struct("__k", "m")).alias("__models"))  # at most twice ``candidates``
+    tried = _agreeing(blocks, models, key, limit, judge).join(solved, [key, "__k"])
+    best = tried.groupBy(key).agg(F.max(F.struct("n", -F.col("__k"), "m")).alias("b"))
     best = materialise(best.select(key, F.col("b.n").alias("agree"), F.col("b.m").alias("m")), "rigid-best")
     for _ in range(rounds):
         inside = matches.join(best, key).where(off(F.col("m"), *c) < limit)
@@ -107,8 +158,9 @@ def rigid_pairs(matches: DataFrame, key: str, size: tuple[int, int], *, near: fl
     rows = materialise(rows.withColumns(dict(zip(SCALED, _scaled(size), strict=True))), "rigid-matches")
     n = rows.groupBy(key).agg(F.count("*").alias("matches"))
     enough = rows.join(n.where(F.col("matches") >= least).select(key), key)
-    f = consensus(enough, key, size, near, epipolar_rows, sampson, True, candidates=candidates).select(key, F.col("agree").alias("__f"))
-    h = consensus(enough, key, size, near_plane, homography_rows, transfer, False, candidates=candidates).select(key, F.col("agree").alias("__h"), F.col("m").alias("h"))
+    blocks = materialise(_blocks(enough, key), "rigid-blocks")
+    f = consensus(enough, blocks, key, size, near, epipolar_rows, sampson, _sampson, True, candidates=candidates).select(key, F.col("agree").alias("__f"))
+    h = consensus(enough, blocks, key, size, near_plane, homography_rows, transfer, _transfer, False, candidates=candidates).select(key, F.col("agree").alias("__h"), F.col("m").alias("h"))
     m = F.col("h")
     rigid = F.greatest(F.coalesce("__f", F.lit(0)), F.coalesce("__h", F.lit(0)))
     many = F.col("matches") >= least

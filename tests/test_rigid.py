@@ -58,3 +58,21 @@ def test_many_matches_of_which_a_fifth_moved(spark):
         rows += [(k, *map(float, r)) for r in zip(x, y, x - 40 / depth, v)]
     got = rigid_pairs(spark.createDataFrame(rows, "pair int, x double, y double, u double, v double"), "pair", (W, H), candidates=32)
     assert [(r.pair, r.rigid) for r in got.orderBy("pair").collect()] == [(k, 1600) for k in range(3)]
+
+
+def test_candidates_are_judged_in_blocks_as_by_columns(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from skyloom.operators import rigid
+
+    monkeypatch.setattr(rigid, "BLOCK", 50)
+    rng = np.random.default_rng(11)
+    matches = spark.createDataFrame([(k % 2, *map(float, rng.normal(0, 0.3, 4))) for k in range(400)], ["pair", *rigid.SCALED])
+    models = spark.createDataFrame([(p, [(k, [float(x) for x in rng.normal(0, 1, 9)]) for k in range(80)]) for p in (0, 1)], "pair long, __models array<struct<__k long, m array<double>>>")
+    blocks = rigid._blocks(matches, "pair")
+    assert blocks.select(F.max(F.size("__rows"))).first()[0] < 100 and blocks.count() > 4
+    for off, judge in ((rigid.sampson, rigid._sampson), (rigid.transfer, rigid._transfer)):
+        got = rigid._agreeing(blocks, models, "pair", 0.2, judge).collect()
+        each = matches.join(models, "pair").withColumn("c", F.explode("__models"))
+        want = each.where(off(F.col("c.m"), *map(F.col, rigid.SCALED)) < 0.2).groupBy("pair", "c.__k").count().collect()
+        assert sorted(map(tuple, got)) == sorted(map(tuple, want)) and len(want) > 20
